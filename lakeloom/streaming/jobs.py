@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeloom.operators.history import apply_batch
-from lakeloom.session import cut
+from lakeloom.operators.history import apply_batch, replay
 
 
 def new_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int | None = None,
@@ -51,25 +50,31 @@ def overwrite_each(df: DataFrame, path: str, checkpoint: str, fmt: str = "parque
     )
 
 
-def history_sink(changes: DataFrame, path: str, checkpoint: str, empty: DataFrame, natural: str, id: str, date: str,
-                 op: str, fmt: str = "parquet") -> StreamingQuery:
+def history_sink(changes: DataFrame, path: str, checkpoint: str, natural: str, id: str, date: str, op: str,
+                 fmt: str = "parquet") -> StreamingQuery:
     """Maintain a type-2 history from a stream of change files.
 
-    A batch may hold several dates; they are applied in date order. Each batch writes a new
-    generation of the history named by its number and built on the last one, so a batch that is
-    retried after a failure repeats its own generation and applies nothing twice.
+    Each batch is first kept in a change log under its number, then the history is written as a
+    new generation of that number. A batch of one date later than all before is applied to the
+    last generation; a batch that holds several dates, or a late one, replays the log. A batch
+    retried after a failure rewrites its own log part and generation, so nothing counts twice.
     """
-    def generation(spark: SparkSession, number: int) -> DataFrame:
-        return empty if number < 0 else spark.read.format(fmt).load(f"{path}/generation={number}")
-
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch = cut(batch)
-        history = generation(spark, number - 1)
-        for (day,) in sorted(batch.select(date).distinct().collect()):
-            rows = batch.where(F.col(date) == F.lit(day)).drop(date)
-            history = cut(apply_batch(history, rows, natural, id, op, F.lit(day)))
-        history.write.mode("overwrite").format(fmt).save(f"{path}/generation={number}")
+        batch.write.mode("overwrite").format(fmt).save(f"{path}/log/batch={number}")
+        mine = spark.read.format(fmt).load(f"{path}/log/batch={number}")
+        first, last = mine.agg(F.min(date), F.max(date)).first()
+        before = None
+        if number > 0:
+            earlier = spark.read.format(fmt).load([f"{path}/log/batch={n}" for n in range(number)])
+            before = earlier.agg(F.max(date)).first()[0]
+        if number > 0 and (first is None or (first == last and first > before)):
+            history = apply_batch(latest_generation(spark, path, number - 1, fmt), mine.drop(date), natural, id, op,
+                                  F.lit(first).cast("date"))
+        else:
+            log = spark.read.format(fmt).load([f"{path}/log/batch={n}" for n in range(number + 1)])
+            history = replay(log, natural, id, date, op)
+        history.write.mode("overwrite").format(fmt).save(f"{path}/history/generation={number}")
 
     return (
         changes.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
@@ -78,4 +83,4 @@ def history_sink(changes: DataFrame, path: str, checkpoint: str, empty: DataFram
 
 
 def latest_generation(spark: SparkSession, path: str, last_batch: int, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(f"{path}/generation={last_batch}")
+    return spark.read.format(fmt).load(f"{path}/history/generation={last_batch}")
