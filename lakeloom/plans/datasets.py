@@ -139,15 +139,17 @@ def copay_tiers(tiers: DataFrame, members: DataFrame, number: str, member: str,
     return keep_and_rename(first_by(known, [member], [number, *tie]), [number, member, *tie])
 
 
-def gold_members(members: DataFrame, tiers: DataFrame, as_of: Column, max_group_rows: int | None = None) -> DataFrame:
+def gold_members(members: DataFrame, tiers: DataFrame, as_of: Column,
+                 tie: Sequence[str] = ("unit", "coverage_start", "coverage_end"),
+                 max_group_rows: int | None = None) -> DataFrame:
     """Members with a unique key, current flags, coverage and ages.
 
     members: client, unit, effective_date, end_date, applied_on, eligible_on, birth_date,
-    coverage_start, coverage_end, enrolled (boolean)
+    coverage_start, coverage_end, enrolled (boolean); ``tie`` decides between rows that tie
     """
     df = with_filled_count(members)
     df = surrogate_key(df, "client", "unit", ["effective_date", "applied_on", F.desc("filled"), "end_date"],
-                       ["unit", "coverage_start", "coverage_end"], "member_key", max_group_rows)
+                       list(tie), "member_key", max_group_rows)
     df = lookup(df, tiers, {"client": "client"}, ["tier"])
     df = current_flag(df, ["client"], ["key_rank", "key_number"], "current_client")
     df = current_flag(df, ["unit"], ["key_rank", "key_number"], "current_unit")

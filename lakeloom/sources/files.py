@@ -19,17 +19,20 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: str |
     return (reader.schema(schema) if schema else reader.option("inferSchema", "false")).csv(path)
 
 
-def file_name() -> Column:
-    return F.col("_metadata.file_name")
+def origin_name(by: str = "file") -> Column:
+    """Name of the file a row came from, or of its folder where a drop is a folder of parts."""
+    if by == "file":
+        return F.col("_metadata.file_name")
+    return F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
 
 
-def with_source_date(df: DataFrame, name: str = "source") -> DataFrame:
-    """Date held by the name of the file a row came from."""
-    return df.select("*", date_from_name(file_name()).alias(name))
+def with_source_date(df: DataFrame, name: str = "source", by: str = "file") -> DataFrame:
+    """Date held by the name of the file (or folder) a row came from."""
+    return df.select("*", date_from_name(origin_name(by)).alias(name))
 
 
 def read_enveloped(spark: SparkSession, path: str | Sequence[str], schema: str, delimiter: str = ",",
-                   has_header: bool = True, name: str = "source") -> DataFrame:
+                   has_header: bool = True, name: str = "source", by: str = "file") -> DataFrame:
     """Files with a preamble line before the header and a trailer line after the data.
 
     Both are told from data by their number of fields, so files are split across tasks and no
@@ -38,7 +41,7 @@ def read_enveloped(spark: SparkSession, path: str | Sequence[str], schema: str,
     columns = spark.createDataFrame([], schema).columns
     fields = rf'(?:"(?:[^"]|"")*"|[^{delimiter}"]*)'
     shape = "^" + delimiter.join([fields] * len(columns)) + "$"
-    lines = spark.read.text(path).select("value", date_from_name(file_name()).alias(name))
+    lines = spark.read.text(path).select("value", date_from_name(origin_name(by)).alias(name))
     data = lines.where(F.col("value").rlike(shape))
     if has_header:
         data = data.where(F.col("value") != F.lit(delimiter.join(columns)))
@@ -46,9 +49,10 @@ def read_enveloped(spark: SparkSession, path: str | Sequence[str], schema: str,
     return data.select(F.from_csv("value", schema, options).alias("_r"), name).select("_r.*", name)
 
 
-def read_parquet(spark: SparkSession, path: str | Sequence[str], date: Column | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str | Sequence[str], date: Column | None = None,
+                 by: str = "file") -> DataFrame:
     df = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    return df.select("*", (date if date is not None else date_from_name(file_name())).alias("source"))
+    return df.select("*", (date if date is not None else date_from_name(origin_name(by))).alias("source"))
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*", changed_after: str | None = None) -> DataFrame:

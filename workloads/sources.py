@@ -1 +1,157 @@
-"""Pending."""
+"""Readers and writers, over files that Spark derives from the given tables.
+
+Files go to new folders below the session's shared checkpoint folder.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeloom.operators.reshape import child_table
+from lakeloom.session import scratch
+from lakeloom.sources import files, tables
+from lakeloom.sources.contracts import Contract
+from workloads.registry import Tables, query
+
+c = F.col
+
+ORDER_FILE = Contract(
+    name="orders", read_schema="`order key` string, status string, placed string, priority string, price string",
+    dates=["placed"], keep=["order key", "priority", "placed", "price"],
+    renames={"order key": "order_id", "placed": "placed_on"},
+    write_schema="order_id string, placed_on date, price double, priority string",
+    options={"multiLine": "true", "escape": '"'},
+    transform=lambda df: df.where("status <> 'F'"),
+)
+
+
+@query("""SELECT lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS order_id, CAST(o_orderdate AS DATE) AS placed_on, o_totalprice AS price,
+o_orderpriority || chr(10) || 'a "quoted", part' AS priority FROM orders WHERE o_orderstatus <> 'F'""", text=["placed_on"])
+def csv_contract(t: Tables):
+    """Quoted fields with line breaks, read by contract and matched by name."""
+    path = scratch(t.spark, "orders-csv")
+    tables_out = t.orders.select(
+        F.lpad(c("o_orderkey").cast("string"), 9, "0").alias("order key"), c("o_orderstatus").alias("status"),
+        F.date_format("o_orderdate", "yyyy_MM_dd").alias("placed"), F.concat("o_orderpriority", F.lit('\na "quoted", part')).alias("priority"),
+        c("o_totalprice").cast("decimal(18,2)").alias("price"))
+    tables_out.write.option("header", "true").option("escape", '"').csv(path)
+    return ORDER_FILE.shape(ORDER_FILE.read(t.spark, path))
+
+
+def _drops(t: Tables, label: str) -> str:
+    """Order lines as text files below one dated folder per month, each with a preamble and a trailer line."""
+    path = scratch(t.spark, label)
+    month = F.concat(F.lit("orders_"), F.date_format(F.last_day(c("o_orderdate").cast("date")), "yyyy-MM-dd"))
+    rows = t.orders.select(month.alias("drop"), F.concat_ws(
+        ",", "o_orderkey", "o_custkey", F.concat(F.lit('"'), F.format_number("o_totalprice", 2), F.lit('"')), "o_orderpriority").alias("value"))
+    marks = rows.select("drop").distinct().select("drop", F.explode(F.array(
+        F.lit("REPORT OF ORDERS"), F.lit("order_id,member,price,priority"), F.lit("END,123"))).alias("value"))
+    rows.unionByName(marks).repartition("drop").write.partitionBy("drop").text(path)
+    return path
+
+
+@query("""SELECT o_orderkey AS order_id, o_custkey AS member, round(o_totalprice, 2) AS price, o_orderpriority AS priority, last_day(o_orderdate) AS source FROM orders""", text=["source"])
+def enveloped_csv(t: Tables):
+    path = _drops(t, "enveloped")
+    df = files.read_enveloped(t.spark, path, "order_id bigint, member bigint, price string, priority string", by="folder")
+    return df.withColumn("price", F.regexp_replace("price", ",", "").cast("double"))
+
+
+@query("""SELECT last_day(o_orderdate) AS source, count(*) AS n_rows FROM orders GROUP BY ALL""", text=["source"])
+def dated_files(t: Tables):
+    """Many dated drops as one frame with the date of each drop, and no trailing sums."""
+    path = scratch(t.spark, "dated")
+    day = F.date_format(F.last_day(c("o_orderdate").cast("date")), "yyyyMMdd")
+    tables.export_by(t.orders.select("o_orderkey", F.concat(F.lit("orders_"), day).alias("drop")), path, "drop")
+    raw = files.with_source_date(files.read_delimited(t.spark, f"{path}/*", "o_orderkey bigint"), by="folder")
+    return raw.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("""SELECT DISTINCT 'drop=orders_' || strftime(last_day(o_orderdate), '%Y-%m-%d') AS folder, last_day(o_orderdate) AS source_date, 'txt' AS file_type, 'part' AS source_key FROM orders""",
+       text=["source_date"])
+def list_files(t: Tables):
+    """Newest file of each folder among those changed since long ago."""
+    listing = files.list_files(t.spark, _drops(t, "listing"), "*.txt", changed_after="2020-01-01T00:00:00")
+    newest = files.newest_per_folder(listing).select("folder", "path")
+    dated = listing.join(newest, ["folder", "path"])
+    from lakeloom.functions.dates import date_from_name
+
+    return dated.select("folder", date_from_name(c("folder")).alias("source_date"), "file_type", "source_key")
+
+
+@query("""SELECT s_suppkey AS code, s_acctbal AS price, CAST(s_nationkey % 5 AS VARCHAR) AS region, DATE '2024-04-01' AS valid_from, DATE '2025-03-31' AS valid_to, 'general' AS provider_type FROM supplier""",
+       text=["valid_from", "valid_to"])
+def price_list(t: Tables):
+    path = scratch(t.spark, "prices")
+    tables.export_by(t.supplier.select(c("s_suppkey").alias("code"), c("s_acctbal").alias("price"), (c("s_nationkey") % 5).alias("region")), path, "region")
+    return files.price_list(t.spark, {str(r): f"{path}/region={r}" for r in range(5)}, 2024, "general", "code bigint, price double")
+
+
+@query("SELECT o_orderpriority, count(*) AS n_rows FROM orders WHERE o_totalprice > 50000 AND o_orderstatus <> 'F' GROUP BY o_orderpriority")
+def catalogue_view(t: Tables):
+    """A table of another layer under a name of its own, read by a projected and filtered scan."""
+    tables.expose(t.spark, {"silver_orders": t.orders})
+    return t.spark.sql("SELECT o_orderpriority, count(*) AS n_rows FROM silver_orders WHERE o_totalprice > 50000 AND o_orderstatus <> 'F' GROUP BY o_orderpriority")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_returnflag <> 'A' AND l_quantity > 45")
+def projected_scan(t: Tables):
+    return tables.read(t.spark, t.path("lineitem")).where("l_returnflag <> 'A' and l_quantity > 45").select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("SELECT o_orderpriority AS load, o_orderkey, o_totalprice FROM orders")
+def export_by_value(t: Tables):
+    path = scratch(t.spark, "split")
+    tables.export_by(t.orders.select("o_orderkey", "o_totalprice", c("o_orderpriority").alias("load")), path, "load")
+    return t.spark.read.option("header", "true").schema("o_orderkey bigint, o_totalprice double, load string").csv(path)
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE NOT (coalesce(o_orderstatus = 'F', FALSE) AND o_totalprice > 200000)")
+def remove_rows(t: Tables):
+    path = scratch(t.spark, "table")
+    tables.overwrite(t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice"), path)
+    tables.remove_rows(t.spark, path, (c("o_orderstatus") == "F") & (c("o_totalprice") > 200000))
+    return tables.read(t.spark, path).drop("o_totalprice")
+
+
+@query("SELECT c_custkey AS k, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")
+def append_rows(t: Tables):
+    path = scratch(t.spark, "appended")
+    tables.overwrite(t.part.select(c("p_partkey").alias("other")), path)
+    tables.overwrite(t.customer.select(c("c_custkey").alias("k"), c("c_name").alias("name")), path)
+    tables.append(t.supplier.select(c("s_suppkey").alias("k"), c("s_name").alias("name")), path)
+    return tables.read(t.spark, path)
+
+
+@query("""SELECT 'main' AS part, count(*) AS n_rows FROM customer UNION ALL SELECT 'segments', count(DISTINCT c_mktsegment) FROM customer
+UNION ALL SELECT 'rich', count(*) FROM customer WHERE c_acctbal > 5000""")
+def companion_tables(t: Tables):
+    path = scratch(t.spark, "companions")
+    people = t.customer
+    tables.write_with_companions(people, path, {"segments": people.select("c_mktsegment").distinct(), "rich": people.where("c_acctbal > 5000")})
+    n = lambda p, label: tables.read(t.spark, p).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(label).alias("part"), "n_rows")
+    return n(path, "main").unionByName(n(f"{path}_segments", "segments")).unionByName(n(f"{path}_rich", "rich"))
+
+
+@query("""SELECT o_orderstatus AS universe, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS report_date, o_orderstatus || '_' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS report_key,
+CAST(o_orderkey AS VARCHAR) AS o_orderkey, TRUE AS stamped FROM orders""")
+def report_rows(t: Tables):
+    keyed = tables.report_keys(t.orders.select("o_orderkey", "o_orderstatus", "o_orderdate"), c("o_orderstatus"), c("o_orderdate").cast("date"))
+    out = tables.report_rows(keyed.drop("o_orderstatus", "o_orderdate"), "America/New_York")
+    return out.withColumn("stamped", c("validated_at").isNotNull()).drop("validated_at")
+
+
+@query("""SELECT id || '|' || source AS parent, kind, amount FROM (
+SELECT 'L' || l_orderkey || '.' || l_linenumber || '.' || l_partkey AS id, strftime(l_shipdate, '%Y-%m-%d') AS source, 'tax' AS kind, l_tax AS amount, l_returnflag FROM lineitem
+UNION ALL SELECT 'L' || l_orderkey || '.' || l_linenumber || '.' || l_partkey, strftime(l_shipdate, '%Y-%m-%d'), 'discount', l_discount, l_returnflag FROM lineitem) WHERE l_returnflag <> 'A'""")
+def nested_parquet(t: Tables):
+    """Arrays of structs written to Parquet, read by a declared schema, as a child table."""
+    path = scratch(t.spark, "nested")
+    part = lambda kind, v: F.struct(F.lit(kind).alias("kind"), c(v).alias("amount"))
+    t.lineitem.select(
+        F.concat(F.lit("L"), F.concat_ws(".", "l_orderkey", "l_linenumber", "l_partkey")).alias("id"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("source"),
+        F.when(c("l_returnflag") != "A", F.array(part("tax", "l_tax"), part("discount", "l_discount"))).alias("details"),
+    ).write.parquet(path)
+    contract = Contract("nested", "id string, source string, details array<struct<kind: string, amount: double>>",
+                        "id string, source string, details array<struct<kind: string, amount: double>>", fmt="parquet", mode="append")
+    return child_table(contract.shape(contract.read(t.spark, path)), "details", ["id", "source"], ["kind", "amount"], "parent")

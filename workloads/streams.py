@@ -1 +1,50 @@
-"""Pending."""
+"""Streaming jobs over files of the given tables; results equal their batch forms."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeloom.session import scratch
+from lakeloom.streaming import jobs
+from workloads.histories import _replay_sql, change_feed
+from workloads.registry import Tables, query
+
+c = F.col
+
+
+def _event_files(t: Tables) -> str:
+    """Events as one folder of files per day."""
+    path = scratch(t.spark, "events")
+    t.events.withColumn("day", c("ts").cast("date")).repartition("day").write.partitionBy("day").parquet(path)
+    return path
+
+
+@query("SELECT date_trunc('hour', ts) AS bin_start, event_type, count(*) AS n_rows FROM events GROUP BY ALL", text=["bin_start"])
+def stream_hourly_counts(t: Tables):
+    src = jobs.new_files(t.spark, _event_files(t), t.events.schema)
+    counts = jobs.counts_per_window(jobs.with_event_time(src, "ts", "2 hours"), "ts", by=("event_type",))
+    out = scratch(t.spark, "hourly")
+    jobs.overwrite_each(counts, out, scratch(t.spark, "ck")).awaitTermination()
+    return t.spark.read.parquet(out)
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def stream_file_pickup(t: Tables):
+    """Files are picked up once each, a few per batch, and appended to a table."""
+    src = jobs.new_files(t.spark, _event_files(t), t.events.schema, files_per_trigger=10)
+    out = scratch(t.spark, "picked")
+    jobs.append_to(src.select("event_id", "user_id", "event_type"), out, scratch(t.spark, "ck")).awaitTermination()
+    return t.spark.read.parquet(out)
+
+
+@query(_replay_sql(), text=["effective_date", "end_date"])
+def stream_history(t: Tables):
+    """The history kept by a stream of change files in whatever order they arrive."""
+    path = scratch(t.spark, "changes")
+    feed = change_feed(t)
+    feed.withColumn("part", F.date_trunc("week", "day").cast("date")).repartition("part").write.partitionBy("part").parquet(path)
+    out = scratch(t.spark, "history")
+    stream = jobs.new_files(t.spark, path, feed.schema, files_per_trigger=3).select(*feed.columns)
+    q = jobs.history_sink(stream, out, scratch(t.spark, "ck"), "user_id", "id", "day", "op")
+    q.awaitTermination()
+    return jobs.latest_generation(t.spark, out, q.lastProgress["batchId"])
