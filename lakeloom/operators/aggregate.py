@@ -10,21 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.operators.ordered import Scan, attach, scan
+from lakeloom.operators.ordered import Scan, group_values, is_hot, scan
+from lakeloom.session import cut
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
 
 
-def group_values(df: DataFrame, by: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
-    """Add per-group aggregates to each row: a combined aggregate joined back, not a window.
-
-    A window would move whole groups to one task each; the aggregate moves one row per group.
-    """
-    return attach(df, df.groupBy(*by).agg(*[c.alias(n) for n, c in values.items()]), by)
-
-
 def collapse(df: DataFrame, key: str, sep: str = "|") -> DataFrame:
     """One row per key, other columns packed as sorted distinct values; rows without key stay."""
     others = [c for c in df.columns if c != key]
@@ -60,9 +53,10 @@ def row_sum(cols: Sequence[str]) -> Column:
     return reduce(add, [F.coalesce(F.col(c), F.lit(0)) for c in cols])
 
 
-def group_remaining(df: DataFrame, by: Sequence[str], total: Column, used: Column, name: str) -> DataFrame:
+def group_remaining(df: DataFrame, by: Sequence[str], total: Column, used: Column, name: str,
+                    max_group_rows: int | None = None, hot: bool | None = None) -> DataFrame:
     """Group total less the row's own value."""
-    return group_values(df, by, {"_total": F.sum(total)}).withColumn(name, F.col("_total") - used).drop("_total")
+    return group_values(df, by, {"_total": F.sum(total)}, max_group_rows, hot).withColumn(name, F.col("_total") - used).drop("_total")
 
 
 def pivot_first(df: DataFrame, by: Sequence[str], column: str, value: Column, values: Sequence) -> DataFrame:
@@ -106,20 +100,21 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def quantiles(df: DataFrame, cols: Sequence[str], probabilities: Mapping[str, float],
+def quantiles(values: DataFrame, by: Sequence[str], probabilities: Mapping[str, float],
               max_group_rows: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per column.
+    """Exact quantiles of a column ``value`` per group, with linear interpolation.
 
-    Values are counted first; ranks are a running sum over the counted values, which stays
-    parallel for a column of many distinct values. No task sees a whole column.
+    Values are counted first, and the counts are kept so that the data is read once. Ranks are a
+    running sum over the counts, which stays parallel for a group of many distinct values.
     """
-    counts = (
-        long_values(df, cols, "double").where("value is not null")
-        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    by = list(by)
+    counts = cut(
+        values.where("value is not null").groupBy(*by, "value").agg(F.count(F.lit(1)).alias("_n"))
     )
+    hot = is_hot(counts, by, max_group_rows)
     ranked = group_values(
-        scan(counts, ["column"], ["value"], Scan(sums={"_upto": F.col("_n")}), max_group_rows),
-        ["column"], {"_total": F.sum("_n")},
+        scan(counts, by, ["value"], Scan(sums={"_upto": F.col("_n")}), max_group_rows, hot),
+        by, {"_total": F.sum("_n")}, hot=hot,
     )
     # a value covers the zero-based positions [_upto - _n, _upto - 1]
     picks = []
@@ -127,29 +122,31 @@ def quantiles(df: DataFrame, cols: Sequence[str], probabilities: Mapping[str, fl
         at = (F.col("_total") - 1) * F.lit(p)
         low, high = F.floor(at), F.ceil(at)
         holds = lambda position: (position >= F.col("_upto") - F.col("_n")) & (position < F.col("_upto"))
-        part = at - low
         picks += [
             F.max(F.when(holds(low), F.col("value"))).alias(f"_low_{name}"),
             F.max(F.when(holds(high), F.col("value"))).alias(f"_high_{name}"),
-            F.max(part).alias(f"_part_{name}"),
+            F.max(at - low).alias(f"_part_{name}"),
         ]
-    edges = ranked.groupBy("column").agg(*picks)
-    return edges.select("column", *[
+    edges = ranked.groupBy(*by).agg(*picks)
+    return edges.select(*by, *[
         (F.col(f"_low_{n}") + (F.col(f"_high_{n}") - F.col(f"_low_{n}")) * F.col(f"_part_{n}")).alias(n)
         for n in probabilities
     ])
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 2,
-             max_group_rows: int | None = None) -> DataFrame:
-    """Count, mean, standard deviation, minimum, quartiles and maximum per numeric column."""
-    cols = list(cols or numeric_columns(df))
-    values = long_values(df, cols, "double")
-    basic = values.groupBy("column").agg(
+def describe_values(values: DataFrame, by: Sequence[str], digits: int = 2,
+                    max_group_rows: int | None = None) -> DataFrame:
+    """Count, mean, standard deviation, minimum, quartiles and maximum of ``value`` per group."""
+    basic = values.groupBy(*by).agg(
         F.count("value").alias("n_values"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    quarts = quantiles(df, cols, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, max_group_rows)
-    both = basic.join(quarts, "column", "left")
+    both = basic.join(quantiles(values, by, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, max_group_rows), list(by), "left")
     stats = ["mean", "std", "min", "q25", "q50", "q75", "max"]
-    return both.select("column", "n_values", *[F.round(c, digits).alias(c) for c in stats])
+    return both.select(*by, "n_values", *[F.round(c, digits).alias(c) for c in stats])
+
+
+def describe(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 2,
+             max_group_rows: int | None = None) -> DataFrame:
+    """The statistics of describe_values, one row per numeric column."""
+    return describe_values(long_values(df, cols or numeric_columns(df), "double"), ["column"], digits, max_group_rows)

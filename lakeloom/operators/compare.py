@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.functions.text import row_hash
-from lakeloom.operators.aggregate import describe, long_values, numeric_columns
+from lakeloom.operators.aggregate import describe_values, long_values, numeric_columns
 from lakeloom.operators.quality import distinct_counts
 
 
@@ -80,17 +80,16 @@ def duplicates(a: DataFrame, b: DataFrame) -> DataFrame:
     return counted.where("copies_1 > 1 or copies_2 > 1")
 
 
-def statistics(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Statistics of shared numeric columns, one row per column and statistic."""
+def statistics(a: DataFrame, b: DataFrame, max_group_rows: int | None = None) -> DataFrame:
+    """Statistics of shared numeric columns, one row per column and statistic, both sides at once."""
     cols = [c for c in numeric_columns(a) if c in numeric_columns(b)]
     names = ["n_values", "mean", "std", "min", "q25", "q50", "q75", "max"]
-
-    def side(df: DataFrame, out: str) -> DataFrame:
-        stats = describe(df, cols)
-        typed = stats.select("column", *[F.col(n).cast("double").alias(n) for n in names])
-        return typed.unpivot(["column"], names, "statistic", out)
-
-    both = side(a, "value_1").join(side(b, "value_2"), ["column", "statistic"], "full_outer")
+    side = lambda df, n: long_values(df, cols, "double").withColumn("_side", F.lit(n))
+    stats = describe_values(side(a, 1).unionByName(side(b, 2)), ["_side", "column"], max_group_rows=max_group_rows)
+    long = stats.select("_side", "column", *[F.col(n).cast("double").alias(n) for n in names]).unpivot(
+        ["_side", "column"], names, "statistic", "value")
+    of = lambda n: F.max(F.when(F.col("_side") == n, F.col("value"))).alias(f"value_{n}")
+    both = long.groupBy("column", "statistic").agg(of(1), of(2))
     return both.withColumn("result", _verdict(F.col("value_1").eqNullSafe(F.col("value_2"))))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lakeloom.operators.aggregate import first_by
 from lakeloom.operators.joins import anti, semi
 from lakeloom.operators.ordered import Scan, attach, scan
+from lakeloom.session import cut
 
 OPEN_END = "9999-12-31"
 PACK = r"\|"
@@ -56,7 +57,8 @@ def replay(changes: DataFrame, natural: str, id: str, date: str, op: str, full:
            which_delete: str = "last", close_on_upsert: bool = False,
            max_group_rows: int | None = None) -> DataFrame:
     """History of all change files at once: effective_date, end_date and version (1 = newest)."""
-    versions = versions_of(changes, natural, id, date, op)
+    # kept once: chains, marks and the result all read the packed versions
+    versions = cut(versions_of(changes, natural, id, date, op))
     closed = reached(versions, closings_of(changes, versions, id, date, op, full), id, date, max_group_rows)
     pick = F.max_by if which_delete == "last" else F.min_by
     ends = closed.groupBy(id, "_version").agg(pick("_end", "_at").alias("_end")).withColumnsRenamed({"_version": date})
@@ -114,7 +116,7 @@ def version_id(id: str = "id", version: str = "version") -> Column:
 def audit(changes: DataFrame, natural: str, id: str, date: str, op: str,
           max_group_rows: int | None = None) -> DataFrame:
     """Planned and actual counts per change file, from one pass instead of a count per step."""
-    versions = versions_of(changes, natural, id, date, op)
+    versions = cut(versions_of(changes, natural, id, date, op))
     is_delete = F.col(op) == "delete"
     raw = changes.groupBy(date).agg(
         F.count(F.lit(1)).alias("delta_raw"), F.count_if(is_delete).alias("delete_raw"),

@@ -5,6 +5,9 @@ pre-aggregated count). Groups of ordinary size go through plain windows that sha
 Where a group is larger than ``max_group_rows`` the rows are range-partitioned by group and
 order, so that a group spans many partitions; each partition is scanned by itself, and the
 one summary row per group and partition carries totals and last values across.
+
+The measurement can be made once on a narrow input with ``is_hot`` and handed on as ``hot``:
+steps that keep rows and keys keep the group sizes too.
 """
 
 from __future__ import annotations
@@ -62,6 +65,11 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
     return row["top"] or 0, row["total"] or 0
 
 
+def is_hot(df: DataFrame, by: Sequence[str], max_group_rows: int | None = None) -> bool:
+    """True where one group is too large for one task."""
+    return largest_group(df, by)[0] > (max_group_rows or MAX_GROUP_ROWS)
+
+
 def attach(df: DataFrame, values: DataFrame, key: Sequence[str]) -> DataFrame:
     """Left join on null-safe key columns; the key columns of the second frame are dropped."""
     names = {c: f"_key{i}" for i, c in enumerate(key)}
@@ -70,12 +78,30 @@ def attach(df: DataFrame, values: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.join(other, match, "left").drop(*names.values())
 
 
+def group_values(df: DataFrame, by: Sequence[str], values: Mapping[str, Column],
+                 max_group_rows: int | None = None, hot: bool | None = None) -> DataFrame:
+    """Add per-group aggregates to each row.
+
+    Groups of ordinary size use a window: one shuffle, and none where the rows are already
+    partitioned by these keys. With a huge group the aggregate, which combines before its
+    shuffle, is joined back, so that no task receives the group.
+    """
+    if is_hot(df, by, max_group_rows) if hot is None else hot:
+        return attach(df, df.groupBy(*by).agg(*[c.alias(n) for n, c in values.items()]), by)
+    w = Window.partitionBy(*by)
+    return df.withColumns({n: c.over(w) for n, c in values.items()})
+
+
 def scan(df: DataFrame, by: Sequence[str], order: Sequence, what: Scan,
-         max_group_rows: int | None = None) -> DataFrame:
+         max_group_rows: int | None = None, hot: bool | None = None) -> DataFrame:
     """Add running values per group. The order must be total for row numbers to be repeatable."""
     limit = max_group_rows or MAX_GROUP_ROWS
-    top, total = largest_group(df, by)
-    if top <= limit:
+    if hot is None:
+        top, total = largest_group(df, by)
+        hot = top > limit
+    elif hot:
+        total = df.count()
+    if not hot:
         return df.withColumns(_columns(what, _window(by, order)))
     return _scan_split(df, list(by), order, what, parts=-(-total // limit) + 1)
 
@@ -132,13 +158,12 @@ def _scan_split(df: DataFrame, by: list[str], order: Sequence, what: Scan, parts
 
 
 def lag_by(df: DataFrame, by: Sequence[str], order: Sequence, lags: Mapping[str, tuple[str, int]],
-           max_group_rows: int | None = None) -> DataFrame:
+           max_group_rows: int | None = None, hot: bool | None = None) -> DataFrame:
     """Value of a column n rows earlier in the group, null where there is no such row."""
-    limit = max_group_rows or MAX_GROUP_ROWS
-    if largest_group(df, by)[0] <= limit:
+    if not (is_hot(df, by, max_group_rows) if hot is None else hot):
         w = _window(by, order)
         return df.withColumns({name: F.lag(c, n).over(w) for name, (c, n) in lags.items()})
-    numbered = cut(scan(df, by, order, Scan(row_number=_ROW), limit))
+    numbered = cut(scan(df, by, order, Scan(row_number=_ROW), max_group_rows, hot=True))
     out = numbered
     for name, (c, n) in lags.items():
         earlier = numbered.select(*by, (F.col(_ROW) + n).alias(_ROW), F.col(c).alias(name))

@@ -12,6 +12,7 @@ from lakeloom.functions.names import drop_present, keep_and_rename, replace_in_n
 from lakeloom.operators.aggregate import first_by, group_remaining, row_sum
 from lakeloom.operators.filters import differs, drop_all_null
 from lakeloom.operators.joins import lookup, lookup_each
+from lakeloom.operators.ordered import is_hot
 from lakeloom.operators.reshape import explode_matches, rows_per_system, split_into, wide_to_long
 from lakeloom.operators.windows import (
     current_flag, fill_forward, group_number, latest_value, resubmissions, running_total, surrogate_key,
@@ -69,9 +70,10 @@ def contract_cost(raw: DataFrame, year: str, month: str, budgets: Mapping[str, s
                   max_group_rows: int | None = None) -> DataFrame:
     """Spending to date within a year and the remaining budget; budgets map spending to budget columns."""
     df, money = raw, lambda c: F.col(c).cast("decimal(18,2)")
+    hot = is_hot(raw, [year], max_group_rows)
     for spent, budget in budgets.items():
-        df = running_total(df, [year], [month], money(spent), f"{spent}_to_date", max_group_rows)
-        df = group_remaining(df, [year], money(budget), F.col(f"{spent}_to_date"), f"{budget}_remaining")
+        df = running_total(df, [year], [month], money(spent), f"{spent}_to_date", max_group_rows, hot)
+        df = group_remaining(df, [year], money(budget), F.col(f"{spent}_to_date"), f"{budget}_remaining", hot=hot)
     return df
 
 
@@ -102,8 +104,9 @@ def code_reference(raw: DataFrame, document: str, seq: str, schedules: Sequence[
                    own_specialties: Sequence[str], surgeon: str, max_group_rows: int | None = None) -> DataFrame:
     """Code list from an outline: descriptions carried down, packed codes split, one row per key."""
     df = drop_all_null(raw, schedules)
-    df = group_number(df, [document], [seq], "description", "procedure", max_group_rows)
-    df = fill_forward(df, [document], [seq], ["description"], max_group_rows=max_group_rows)
+    hot = is_hot(df, [document], max_group_rows)
+    df = group_number(df, [document], [seq], "description", "procedure", max_group_rows, hot)
+    df = fill_forward(df, [document], [seq], ["description"], max_group_rows=max_group_rows, hot=hot)
     df = explode_matches(df, second_codes, r"(\d{5}\s*[A-Z]{2})", "second_code")
     df = text.trim_strings(df)
     df = df.withColumns({
@@ -147,13 +150,17 @@ def gold_members(members: DataFrame, tiers: DataFrame, as_of: Column,
     members: client, unit, effective_date, end_date, applied_on, eligible_on, birth_date,
     coverage_start, coverage_end, enrolled (boolean); ``tie`` decides between rows that tie
     """
+    # group sizes are measured once on the input; no later step changes them
+    many = is_hot(members, ["client"], max_group_rows)
+    many_units = is_hot(members, ["unit"], max_group_rows)
     df = with_filled_count(members)
     df = surrogate_key(df, "client", "unit", ["effective_date", "applied_on", F.desc("filled"), "end_date"],
-                       list(tie), "member_key", max_group_rows)
+                       list(tie), "member_key", max_group_rows, many)
+    key = ["key_rank", "key_number"]
+    df = current_flag(df, ["client"], key, "current_client", hot=many)
+    df = current_flag(df, ["unit"], key, "current_unit", hot=many_units)
+    df = current_flag(df, ["unit"], ["effective_date"], "current_record", hot=many_units)
     df = lookup(df, tiers, {"client": "client"}, ["tier"])
-    df = current_flag(df, ["client"], ["key_rank", "key_number"], "current_client")
-    df = current_flag(df, ["unit"], ["key_rank", "key_number"], "current_unit")
-    df = current_flag(df, ["unit"], ["effective_date"], "current_record")
     c = F.col
     return df.withColumns({
         "covered": dates.active_on(c("enrolled"), c("coverage_start"), c("coverage_end"), as_of),
@@ -162,13 +169,16 @@ def gold_members(members: DataFrame, tiers: DataFrame, as_of: Column,
     }).drop("filled", "key_rank", "key_number")
 
 
-def gold_claims(claims: DataFrame, tiers: DataFrame, dimension: DataFrame) -> DataFrame:
+def gold_claims(claims: DataFrame, tiers: DataFrame, dimension: DataFrame,
+                max_group_rows: int | None = None) -> DataFrame:
     """Claims with the latest type per provider, latest region and age per member, tier and validity.
 
     claims: claim, provider, site, member, kind, region, age, service_date, claim_date
     """
-    df = latest_value(claims, ["provider"], ["service_date", "claim_date", "kind"], {"kind": "current_kind"})
-    df = latest_value(df, ["member"], ["service_date", "claim"], {"region": "latest_region", "age": "latest_age"})
+    df = latest_value(claims, ["provider"], ["service_date", "claim_date", "kind"], {"kind": "current_kind"},
+                      max_group_rows)
+    df = latest_value(df, ["member"], ["service_date", "claim"], {"region": "latest_region", "age": "latest_age"},
+                      hot=is_hot(claims, ["member"], max_group_rows))
     df = df.withColumn("uid", text.key_of(["provider", "site"]))
     df = lookup(df, tiers, {"member": "member"}, ["tier"])
     return lookup(df, dimension, {"uid": "uid"}, ["valid", "active"])
@@ -188,5 +198,6 @@ def gold_estimates(estimates: DataFrame, groups: Sequence[tuple[str, Sequence[st
         "outcome": rules.outcome_group(F.col("paid"), [F.col("reason"), F.col("remark")], incomplete),
         "uid": text.key_of(["provider", "site"]),
     })
-    df = latest_value(df, ["member"], ["service_date", "estimate"], {"region": "latest_region"})
+    df = latest_value(df, ["member"], ["service_date", "estimate"], {"region": "latest_region"},
+                      hot=is_hot(estimates, ["member"], max_group_rows))
     return lookup(df, tiers, {"member": "member"}, ["tier"])

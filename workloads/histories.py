@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeloom.operators import catalog, history
+from lakeloom.session import cut
 from workloads.registry import Tables, query
 
 c = F.col
@@ -57,9 +58,9 @@ def scd2_apply(t: Tables):
     """Replay up to a day, then the files after it one by one."""
     feed = change_feed(t)
     day = lambda s: F.lit(s).cast("date")
-    df = history.replay(feed.where(c("day") <= day("2024-01-27")), "user_id", "id", "day", "op")
+    df = cut(history.replay(feed.where(c("day") <= day("2024-01-27")), "user_id", "id", "day", "op"))
     for later in ("2024-01-28", "2024-01-29", "2024-01-30"):
-        df = history.apply_batch(df, feed.where(c("day") == day(later)).drop("day"), "user_id", "id", "op", day(later))
+        df = cut(history.apply_batch(df, feed.where(c("day") == day(later)).drop("day"), "user_id", "id", "op", day(later)))
     return df
 
 
