@@ -140,6 +140,12 @@ def hash_reconcile(a: DataFrame, b: DataFrame, by: str, cols: Sequence[str], sam
     return report.withColumn("identical", (F.col("only_1") == 0) & (F.col("only_2") == 0))
 
 
+def sample_rows(df: DataFrame, cols: Sequence[str], report: DataFrame, sample: str) -> DataFrame:
+    """Full rows behind the sample hashes of a reconciliation report, which holds one per date."""
+    wanted = report.select(F.col(sample).alias("_h")).where("_h is not null").distinct()
+    return df.withColumn("_h", row_hash(cols)).join(wanted, "_h", "left_semi").drop("_h")
+
+
 def suite(a: DataFrame, b: DataFrame) -> DataFrame:
     """All checks as one list of metric and result."""
     cols = shared_columns(a, b)

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from lakeloom.session import cut
 
 MAX_GROUP_ROWS = 5_000_000
-_CHUNK = "_chunk"
-_ROW = "_row"
+_CHUNK = "_scan_chunk"
+_ROW = "_scan_row"
+_N = "_scan_n"
 
 
 @dataclass
@@ -72,7 +73,7 @@ def is_hot(df: DataFrame, by: Sequence[str], max_group_rows: int | None = None)
 
 def attach(df: DataFrame, values: DataFrame, key: Sequence[str]) -> DataFrame:
     """Left join on null-safe key columns; the key columns of the second frame are dropped."""
-    names = {c: f"_key{i}" for i, c in enumerate(key)}
+    names = {c: f"_attach_key{i}" for i, c in enumerate(key)}
     other = values.withColumnsRenamed(names)
     match = reduce(and_, [F.col(c).eqNullSafe(F.col(k)) for c, k in names.items()])
     return df.join(other, match, "left").drop(*names.values())
@@ -110,8 +111,8 @@ def _scan_split(df: DataFrame, by: list[str], order: Sequence, what: Scan, parts
     # the bounds come from a sample, so the split is written down once and both passes read it
     ranged = cut(df.repartitionByRange(parts, *by, *order).withColumn(_CHUNK, F.spark_partition_id()))
     key = [*by, _CHUNK]
-    tails = {f"_t{i}": c for i, c in enumerate([*what.last.values(), *what.prev.values()])}
-    heads = {f"_h{i}": c for i, c in enumerate(what.next.values())}
+    tails = {f"_scan_t{i}": c for i, c in enumerate([*what.last.values(), *what.prev.values()])}
+    heads = {f"_scan_h{i}": c for i, c in enumerate(what.next.values())}
     w = _window(key, order)
     local = Scan(row_number=_ROW, rank=what.rank, sums=what.sums, last=what.last, prev=what.prev, next=what.next)
     rows = ranged.withColumns(_columns(local, w))
@@ -122,8 +123,8 @@ def _scan_split(df: DataFrame, by: list[str], order: Sequence, what: Scan, parts
         ranged.withColumns({**_columns(position, w), **tails, **heads})
         .groupBy(*key)
         .agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.sum(c).alias(f"_s{i}") for i, c in enumerate(what.sums.values())],
+            F.count(F.lit(1)).alias(_N),
+            *[F.sum(c).alias(f"_scan_s{i}") for i, c in enumerate(what.sums.values())],
             *[F.max_by(t, F.when(F.col(t).isNotNull(), F.col(_ROW))).alias(t) for t in tails],
             *[F.min_by(h, F.when(F.col(h).isNotNull(), F.col(_ROW))).alias(h) for h in heads],
         )
@@ -133,8 +134,8 @@ def _scan_split(df: DataFrame, by: list[str], order: Sequence, what: Scan, parts
     after = across.rowsBetween(1, Window.unboundedFollowing)
     carried = ends.select(
         *key,
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"),
-        *[F.sum(f"_s{i}").over(before).alias(f"_s{i}") for i in range(len(what.sums))],
+        F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_N),
+        *[F.sum(f"_scan_s{i}").over(before).alias(f"_scan_s{i}") for i in range(len(what.sums))],
         *[F.last(t, ignorenulls=True).over(before).alias(t) for t in tails],
         *[F.first(h, ignorenulls=True).over(after).alias(h) for h in heads],
     )
@@ -142,16 +143,16 @@ def _scan_split(df: DataFrame, by: list[str], order: Sequence, what: Scan, parts
     joined = attach(rows, carried, key)
     final = {}
     for i, name in enumerate(what.sums):
-        both = F.coalesce(F.col(name) + F.col(f"_s{i}"), F.col(name), F.col(f"_s{i}"))
+        both = F.coalesce(F.col(name) + F.col(f"_scan_s{i}"), F.col(name), F.col(f"_scan_s{i}"))
         final[name] = both.cast(rows.schema[name].dataType)
     for i, name in enumerate([*what.last, *what.prev]):
-        final[name] = F.coalesce(F.col(name), F.col(f"_t{i}"))
+        final[name] = F.coalesce(F.col(name), F.col(f"_scan_t{i}"))
     for i, name in enumerate(what.next):
-        final[name] = F.coalesce(F.col(name), F.col(f"_h{i}"))
+        final[name] = F.coalesce(F.col(name), F.col(f"_scan_h{i}"))
     if what.row_number:
-        final[what.row_number] = F.col(_ROW) + F.col("_n")
+        final[what.row_number] = F.col(_ROW) + F.col(_N)
     if what.rank:
-        final[what.rank] = F.col(what.rank) + F.col("_n")
+        final[what.rank] = F.col(what.rank) + F.col(_N)
     added = [c for c in _columns(what, w)]
     kept = [c for c in df.columns if c not in final]
     return joined.select(*kept, *[final[c].alias(c) for c in added])

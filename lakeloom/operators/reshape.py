@@ -19,7 +19,7 @@ def wide_to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str], varia
     if drop_null:
         long = long.where(F.col(value).isNotNull())
     if drop_zero:
-        long = long.where(~F.coalesce(F.col(value) == 0, F.lit(False)))
+        long = long.where(~F.coalesce(F.col(value).try_cast("double") == 0, F.lit(False)))
     return long
 
 

@@ -11,7 +11,7 @@ from lakeloom.functions import dates, rules, text
 from lakeloom.functions.names import drop_present, keep_and_rename, replace_in_names
 from lakeloom.operators.aggregate import first_by, group_remaining, row_sum
 from lakeloom.operators.filters import differs, drop_all_null
-from lakeloom.operators.joins import lookup, lookup_each
+from lakeloom.operators.joins import lookup, lookup_each, resolve_code
 from lakeloom.operators.ordered import is_hot
 from lakeloom.operators.reshape import explode_matches, rows_per_system, split_into, wide_to_long
 from lakeloom.operators.windows import (
@@ -201,3 +201,84 @@ def gold_estimates(estimates: DataFrame, groups: Sequence[tuple[str, Sequence[st
     df = latest_value(df, ["member"], ["service_date", "estimate"], {"region": "latest_region"},
                       hot=is_hot(estimates, ["member"], max_group_rows))
     return lookup(df, tiers, {"member": "member"}, ["tier"])
+
+
+def roster_silver(raw: DataFrame, snapshot: Column, regions: Mapping[str, str], specialties: Mapping[str, str]) -> DataFrame:
+    """Provider roster: snapshot date, mapped specialty, padded id, billing flag, region, prefix and area.
+
+    raw: provider, specialty, postal, direct (Y/N), joined_on
+    """
+    df = text.map_values(text.trim_strings(raw), ["specialty"], specialties)
+    postal = F.col("postal")
+    return df.withColumns({
+        "provider": text.zero_pad(F.col("provider"), 9), "direct": rules.yes_no(F.col("direct")),
+        "region": text.region_from_code(postal, regions), "prefix": text.leading(postal), "area": text.area_type(postal),
+        "snapshot": snapshot, "enrolled": F.lit(True),
+    })
+
+
+def applications_silver(raw: DataFrame, labels: Sequence[str], words: Mapping[str, str], first: Sequence[str]) -> DataFrame:
+    """Counts by label: blanks to Unknown, labels in a second language, first filled of several columns."""
+    df = text.map_values(raw, labels, {})
+    second = {f"{c}_2": text.mapped(F.col(c), words) for c in labels}
+    return df.withColumns({**second, "channel": F.coalesce(*[F.col(c) for c in first])}).drop(*first)
+
+
+def postal_silver(raw: DataFrame, active: str, names_by_region: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Postal codes in use with area and region name, and the prefix table derived from them.
+
+    raw: postal (without blank), region, status, place
+    """
+    df = text.map_values(raw.where(F.col("status") == active), ["place"], {})
+    df = df.withColumns({"area": text.area_type(F.col("postal")), "postal": text.insert_at(F.col("postal"), " ", [3])})
+    df = lookup(df, names_by_region, {"region": "region"}, ["region_name"])
+    codes = keep_and_rename(df, ["postal", "region", "region_name", "area", "place"])
+    prefixes = codes.withColumn("prefix", text.leading(F.col("postal")))
+    return codes, first_by(prefixes.drop("place", "postal"), ["prefix"], ["region", "area", "region_name"])
+
+
+def members_silver(raw: DataFrame, zone: str, regions: Mapping[str, str], kinds: Sequence[str]) -> DataFrame:
+    """Member records: local times, address in use, eligibility and enrolment.
+
+    raw: id, kind, home_street, home_region, mail_street, mail_region, applied_at, enrolled_at,
+    coverage_start, coverage_end
+    """
+    df = text.map_values(raw, ["home_region", "mail_region"], regions)
+    local = lambda c: dates.to_local(F.col(c), zone).cast("date")
+    df = df.withColumns({"applied_on": local("applied_at"), "enrolled_on": local("enrolled_at")}).drop("applied_at", "enrolled_at")
+    df = df.withColumns(rules.either_address(
+        {"street": "home_street", "region": "home_region"}, {"street": "mail_street", "region": "mail_region"}, "region"))
+    df = df.withColumn("empty_period", rules.same_day(F.col("coverage_start"), F.col("coverage_end")))
+    df = df.withColumn("eligible", rules.eligible(F.col("empty_period"), F.col("kind"), kinds))
+    return df.withColumn("enrolled", rules.enrolled(F.col("eligible"), F.col("enrolled_on")))
+
+
+def wide_counts(raw: DataFrame, ids: Sequence[str], counts: Sequence[str], totals: Sequence[str]) -> DataFrame:
+    """Monthly counts in columns as rows, without their totals."""
+    return wide_to_long(drop_present(raw, totals), ids, counts, "kind", "count")
+
+
+def gold_funding(funding: DataFrame, dimension: DataFrame, tiers: DataFrame,
+                 max_group_rows: int | None = None) -> DataFrame:
+    """Funding with site validity, the member's latest region and tier.
+
+    funding: claim, provider, site, member, region, claim_date
+    """
+    df = funding.withColumn("uid", text.key_of(["provider", "site"]))
+    df = latest_value(df, ["member"], ["claim_date", "claim"], {"region": "latest_region"}, max_group_rows)
+    df = lookup(df, dimension, {"uid": "uid"}, ["valid", "active"])
+    return lookup(df, tiers, {"member": "member"}, ["tier"])
+
+
+def code_investigation(claims: DataFrame, reference: DataFrame, stand_ins: DataFrame, excluded: str) -> DataFrame:
+    """Claims by list tag and resolved code, with paid totals, for codes of paid claims.
+
+    claims: code, specialty, paid; reference: code; stand_ins: code, dummy
+    """
+    paid = claims.where((F.col("paid") > 0) & (F.col("specialty") != excluded))
+    # codes repeat over the claims: totals per code come first, so each code is resolved once
+    per_code = paid.groupBy("code", "specialty").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("paid").cast("decimal(18,2)")).alias("amount"))
+    found = resolve_code(per_code, "code", reference, "code", stand_ins, "code", "dummy")
+    return found.groupBy("list_tag", "resolved", "specialty").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("amount").alias("amount"), F.count_distinct("code").alias("n_codes"))

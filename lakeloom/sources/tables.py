@@ -70,8 +70,12 @@ def export_csv(df: DataFrame, path: str, delimiter: str = ",") -> None:
 
 
 def export_by(df: DataFrame, path: str, by: str, fmt: str = "csv") -> None:
-    """One folder per value in one job; rows of a value are written by all tasks that hold some."""
-    df.write.mode("overwrite").option("header", "true").format(fmt).partitionBy(by).save(path)
+    """One folder per value in one job.
+
+    Rows are rebalanced by value first: small values share no files, a huge one is split over
+    several tasks, and no task writes a file for every value.
+    """
+    df.hint("rebalance", F.col(by)).write.mode("overwrite").option("header", "true").format(fmt).partitionBy(by).save(path)
 
 
 def remove_rows(spark: SparkSession, path: str, doomed: Column, fmt: str = "parquet") -> None:

@@ -261,3 +261,121 @@ def site_dimension(t: Tables):
     mapping = t.customer.where("c_acctbal > 0").select(c("c_custkey").cast("string").alias("member"), c("c_name").alias("school"), c("c_mktsegment").alias("school_specialty"))
     return build_sites(facts, roster, mapping, "1996-01-01", "Office", {"General": "GP", "Surgeon": "OS"}, {"NATION_3": "N3"},
                        {"language": {"English": "anglais", "French": "français"}, "area": {"Urban": "urbaine", "Rural": "rurale"}})
+
+
+@query("""SELECT lpad(s_suppkey::VARCHAR, 9, '0') AS provider, CASE WHEN s_acctbal > 5000 THEN 'GP' ELSE 'Unknown' END AS specialty, chr(65 + s_nationkey) || s_nationkey % 10 || 'A 1B1' AS postal,
+  CASE WHEN s_nationkey < 8 THEN TRUE WHEN s_nationkey < 16 THEN FALSE END AS direct, CASE WHEN s_nationkey = 3 THEN 'D3' WHEN s_nationkey < 10 THEN 'low' END AS region,
+  chr(65 + s_nationkey) || s_nationkey % 10 || 'A' AS prefix, CASE WHEN s_nationkey % 10 = 0 THEN 'Rural' ELSE 'Urban' END AS area, DATE '2024-05-01' AS snapshot, TRUE AS enrolled FROM supplier""", text=["snapshot"])
+def roster_silver(t: Tables):
+    n = c("s_nationkey")
+    raw = t.supplier.select(
+        F.concat(F.lit(" "), "s_suppkey").alias("provider"), F.when(c("s_acctbal") > 5000, "General Practitioner").otherwise(" ").alias("specialty"),
+        F.concat(F.char(n + 65), n % 10, F.lit("A 1B1 ")).alias("postal"), F.when(n < 8, "Yes").when(n < 16, "N").otherwise("?").alias("direct"))
+    return datasets.roster_silver(raw, F.lit("2024-05-01").cast("date"), {"D3A": "D3"} | {chr(65 + i): "low" for i in range(10)}, {"General Practitioner": "GP"})
+
+
+@query("""SELECT o_orderstatus AS status, CASE o_orderpriority WHEN '5-LOW' THEN 'Unknown' ELSE o_orderpriority END AS priority, CASE o_orderstatus WHEN 'F' THEN 'fini' ELSE o_orderstatus END AS status_2,
+  CASE o_orderpriority WHEN '5-LOW' THEN 'Inconnu' ELSE o_orderpriority END AS priority_2, CASE WHEN o_totalprice > 300000 THEN 'web' WHEN o_totalprice > 100000 THEN 'mail' END AS channel, count(*) AS n
+FROM orders GROUP BY ALL""")
+def applications_silver(t: Tables):
+    p = c("o_totalprice")
+    raw = t.orders.select(c("o_orderstatus").alias("status"), F.when(c("o_orderpriority") != "5-LOW", c("o_orderpriority")).alias("priority"),
+                          F.when(p > 300000, "web").alias("online"), F.when(p > 100000, "mail").alias("paper"))
+    out = datasets.applications_silver(raw, ["status", "priority"], {"F": "fini", "Unknown": "Inconnu"}, ["online", "paper"])
+    return out.groupBy(*out.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+POSTAL = """(SELECT chr(65 + c_nationkey) || c_custkey % 10 || chr(65 + CAST(c_custkey % 20 AS INTEGER)) AS prefix, c_custkey % 10 AS d, c_nationkey, n_name, c_custkey, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0)"""
+
+
+@query(f"""SELECT 'code' AS part, prefix || ' 1B' || c_custkey % 7 AS code, c_nationkey::VARCHAR AS region, n_name AS region_name, CASE WHEN d = 0 THEN 'Rural' ELSE 'Urban' END AS area, coalesce(nullif(c_mktsegment, 'BUILDING'), 'Unknown') AS place FROM {POSTAL}
+UNION ALL SELECT DISTINCT 'prefix', prefix, c_nationkey::VARCHAR, n_name, CASE WHEN d = 0 THEN 'Rural' ELSE 'Urban' END, NULL FROM {POSTAL}""")
+def postal_silver(t: Tables):
+    k = c("c_custkey")
+    raw = t.customer.select(
+        F.concat(F.char(c("c_nationkey") + 65), k % 10, F.char(k % 20 + 65), F.lit("1B"), k % 7).alias("postal"), c("c_nationkey").cast("string").alias("region"),
+        F.when(c("c_acctbal") > 0, "1").otherwise("0").alias("status"), F.when(c("c_mktsegment") != "BUILDING", c("c_mktsegment")).alias("place"))
+    named = t.nation.select(c("n_nationkey").cast("string").alias("region"), c("n_name").alias("region_name"))
+    codes, prefixes = datasets.postal_silver(raw, "1", named)
+    a = codes.withColumnRenamed("postal", "code").withColumn("part", F.lit("code"))
+    return a.unionByName(prefixes.withColumnRenamed("prefix", "code").withColumns({"part": F.lit("prefix"), "place": F.lit(None).cast("string")}))
+
+
+@query("""SELECT *, CASE WHEN eligible = 1 AND enrolled_on IS NOT NULL THEN 1 ELSE 0 END AS enrolled FROM (SELECT *, CASE WHEN empty_period <> 1 AND kind IN ('view', 'click') THEN 1 ELSE 0 END AS eligible FROM (
+SELECT event_id AS id, event_type AS kind, CAST(ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York' AS DATE) AS applied_on, CASE WHEN value > 20 THEN CAST(ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York' AS DATE) END AS enrolled_on,
+  CASE WHEN user_id < 100 THEN 'h' ELSE 'm' END AS street, CASE WHEN user_id < 50 THEN 'Ontario' WHEN user_id < 100 THEN 'QC' ELSE 'Unknown' END AS region, CASE WHEN user_id < 100 THEN 'Home' ELSE 'Mailing' END AS address_kind,
+  CASE WHEN value < 40 THEN 1 ELSE 0 END AS empty_period FROM events))""", text=["applied_on", "enrolled_on"])
+def members_silver(t: Tables):
+    u, at = c("user_id"), c("ts").cast("timestamp")
+    day = c("ts").cast("date")
+    raw = t.events.select(
+        c("event_id").alias("id"), c("event_type").alias("kind"), F.lit("h").alias("home_street"), F.when(u < 50, "ON").when(u < 100, "QC").alias("home_region"),
+        F.lit("m").alias("mail_street"), F.lit(" ").alias("mail_region"), at.alias("applied_at"), F.when(c("value") > 20, at).alias("enrolled_at"),
+        day.alias("coverage_start"), F.when(c("value") < 40, day).alias("coverage_end"))
+    out = datasets.members_silver(raw, "America/New_York", {"ON": "Ontario"}, ["view", "click"])
+    return out.select("id", "kind", "applied_on", "enrolled_on", "street", "region", "address_kind", "empty_period", "eligible", "enrolled")
+
+
+@query("""SELECT strftime(o_orderdate, '%Y-%m') AS month, 'new' AS kind, count(*) FILTER (WHERE o_orderstatus = 'O') AS count FROM orders GROUP BY 1
+UNION ALL SELECT strftime(o_orderdate, '%Y-%m'), 'renewed', count(*) FILTER (WHERE o_orderstatus = 'F') FROM orders GROUP BY 1""")
+def wide_counts(t: Tables):
+    wide = t.orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(
+        F.count_if(c("o_orderstatus") == "O").alias("new"), F.count_if(c("o_orderstatus") == "F").alias("renewed"), F.count(F.lit(1)).alias("total"))
+    return datasets.wide_counts(wide, ["month"], ["new", "renewed"], ["total"])
+
+
+@query(f"""SELECT claim, provider || '-' || site AS uid, first_value(region) OVER m AS latest_region, CASE WHEN site < 5 THEN site > 2 END AS valid, CASE WHEN site < 5 THEN site > 3 END AS active, CASE WHEN c_acctbal > 5000 THEN 'B' ELSE 'A' END AS tier
+FROM {LINES} JOIN customer ON member = c_custkey WINDOW m AS (PARTITION BY member ORDER BY claim_date DESC, claim DESC)""")
+def gold_funding(t: Tables):
+    rows = t.lineitem.join(t.orders, c("l_orderkey") == c("o_orderkey")).select(
+        F.concat_ws(".", "l_orderkey", "l_linenumber", "l_partkey").alias("claim"), c("l_suppkey").alias("provider"), c("l_linenumber").alias("site"),
+        c("o_custkey").alias("member"), c("l_linestatus").alias("region"), c("o_orderdate").cast("date").alias("claim_date"))
+    tiers = t.customer.select(c("c_custkey").alias("member"), F.when(c("c_acctbal") > 5000, "B").otherwise("A").alias("tier"))
+    sites = t.lineitem.where("l_linenumber < 5").select("l_suppkey", "l_linenumber").distinct().select(
+        F.concat_ws("-", "l_suppkey", "l_linenumber").alias("uid"), (c("l_linenumber") > 2).alias("valid"), (c("l_linenumber") > 3).alias("active"))
+    return datasets.gold_funding(rows, sites, tiers).select("claim", "uid", "latest_region", "valid", "active", "tier")
+
+
+@query("""SELECT CASE WHEN p_type <> 'PROMO' THEN 'In list' ELSE 'Not in list' END AS list_tag, CASE WHEN p_type <> 'PROMO' THEN l_partkey::VARCHAR WHEN p_size <= 25 THEN 'S' || p_size ELSE 'Unknown' END AS resolved,
+  l_returnflag AS specialty, count(*) AS n_rows, CAST(sum(l_extendedprice::DECIMAL(18,2)) AS DOUBLE) AS amount, count(DISTINCT l_partkey) AS n_codes
+FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag <> 'N' AND l_extendedprice > 20000 GROUP BY ALL""")
+def code_investigation(t: Tables):
+    code = lambda k: c(k).cast("string").alias("code")
+    claims = t.lineitem.select(code("l_partkey"), c("l_returnflag").alias("specialty"), F.when(c("l_extendedprice") > 20000, c("l_extendedprice")).otherwise(0).alias("paid"))
+    stand_ins = t.part.where("p_size <= 25").select(code("p_partkey"), F.concat(F.lit("S"), "p_size").alias("dummy"))
+    out = datasets.code_investigation(claims, t.part.where("p_type <> 'PROMO'").select(code("p_partkey")), stand_ins, "N")
+    return out.withColumn("amount", c("amount").cast("double"))
+
+
+@query("""SELECT lpad(o_orderkey::VARCHAR, 9, '0') AS id, CASE o_orderstatus WHEN 'F' THEN 'Final' ELSE 'Unknown' END AS status, k AS amount_type, CAST(v AS DOUBLE) AS amount FROM (
+SELECT o_orderkey, o_orderstatus, 'price' AS k, CASE WHEN o_orderpriority <> '5-LOW' THEN floor(o_totalprice) END AS v FROM orders UNION ALL SELECT o_orderkey, o_orderstatus, 'fee', CASE WHEN o_orderpriority = '2-HIGH' THEN 0 ELSE 5 END FROM orders)
+WHERE (v IS NULL OR v <> 0) AND o_orderstatus <> 'P'""")
+def clean_for_comparison(t: Tables):
+    from lakeloom.plans.reconciliation import Cleaning, clean
+
+    p = c("o_orderpriority")
+    raw = t.orders.select(
+        F.concat(F.lit(" "), "o_orderkey", F.lit(".0")).alias("order  id"), F.when(c("o_orderstatus") == "O", "n/a").otherwise(c("o_orderstatus")).alias("order status"),
+        F.when(p == "5-LOW", "null").otherwise(F.format_number(F.floor("o_totalprice"), 0)).alias("price"), F.when(p == "2-HIGH", "0").otherwise("5").alias("fee"), F.lit("x").alias("junk"))
+    raw = raw.where(c("order status") != "P")
+    how = Cleaning(style="collapse", renames={"order id": "id", "order status": "status"}, melt_ids=["id", "status"], melt_values=["price", "fee"], pad={"id": 9},
+                   values={"status": {"F": "Final"}}, unknown={"status": "Unknown"}, types={"amount": "double"}, blacklist={"status": ["WRITEOFF"]}, drop=["junk"])
+    return clean(raw, how)
+
+
+@query("""SELECT * FROM (VALUES ('metrics', 'orders_2024-05-04'), ('row_counts', 'orders_2024-05-04'), ('statistics', 'orders_2024-05-04'), ('by_date', 'orders_2024-05-04'), ('profile_1', 'orders_2024-05-04')) v(report, report_key)
+CROSS JOIN (SELECT count(*) > 0 AS filled FROM orders)""")
+def reconciliation_reports(t: Tables):
+    """The report tables of two extracts, appended as text and read back."""
+    from lakeloom.plans.reconciliation import keep_reports, reports
+    from lakeloom.session import scratch
+    from workloads.quality import _dated_pair
+
+    found = reports(*_dated_pair(t), "load")
+    path = scratch(t.spark, "reports")
+    keep_reports(found, path, "orders", "2024-05-04")
+    read = lambda n: t.spark.read.parquet(f"{path}/{n}").groupBy("report_key").agg((F.count(F.lit(1)) > 0).alias("filled")).withColumn("report", F.lit(n))
+    out = read("metrics")
+    for name in ("row_counts", "statistics", "by_date", "profile_1"):
+        out = out.unionByName(read(name))
+    return out

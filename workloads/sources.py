@@ -46,7 +46,7 @@ def _drops(t: Tables, label: str) -> str:
         ",", "o_orderkey", "o_custkey", F.concat(F.lit('"'), F.format_number("o_totalprice", 2), F.lit('"')), "o_orderpriority").alias("value"))
     marks = rows.select("drop").distinct().select("drop", F.explode(F.array(
         F.lit("REPORT OF ORDERS"), F.lit("order_id,member,price,priority"), F.lit("END,123"))).alias("value"))
-    rows.unionByName(marks).repartition("drop").write.partitionBy("drop").text(path)
+    rows.unionByName(marks).hint("rebalance", c("drop")).write.partitionBy("drop").text(path)
     return path
 
 

@@ -15,7 +15,7 @@ c = F.col
 def _event_files(t: Tables) -> str:
     """Events as one folder of files per day."""
     path = scratch(t.spark, "events")
-    t.events.withColumn("day", c("ts").cast("date")).repartition("day").write.partitionBy("day").parquet(path)
+    t.events.withColumn("day", c("ts").cast("date")).hint("rebalance", c("day")).write.partitionBy("day").parquet(path)
     return path
 
 
@@ -42,7 +42,7 @@ def stream_history(t: Tables):
     """The history kept by a stream of change files in whatever order they arrive."""
     path = scratch(t.spark, "changes")
     feed = change_feed(t)
-    feed.withColumn("part", F.date_trunc("week", "day").cast("date")).repartition("part").write.partitionBy("part").parquet(path)
+    feed.withColumn("part", F.date_trunc("week", "day").cast("date")).hint("rebalance", c("part")).write.partitionBy("part").parquet(path)
     out = scratch(t.spark, "history")
     stream = jobs.new_files(t.spark, path, feed.schema, files_per_trigger=3).select(*feed.columns)
     q = jobs.history_sink(stream, out, scratch(t.spark, "ck"), "user_id", "id", "day", "op")
