@@ -51,8 +51,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder; nothing is written here yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, in a folder named after the application.
+
+    Nothing is written yet. Once the application has ended its folder can be dropped whole.
+    """
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark).rstrip('/')}/lakeloom/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
