@@ -24,8 +24,9 @@ def _verdict(same: Column) -> Column:
 
 
 def row_counts(a: DataFrame, b: DataFrame) -> DataFrame:
-    n = lambda df, name: df.agg(F.count(F.lit(1)).alias(name)).withColumn("_k", F.lit(1))
-    both = n(a, "rows_1").join(n(b, "rows_2"), "_k").drop("_k")
+    n = lambda df, side: df.agg(F.count(F.lit(1)).alias("_n")).select(F.lit(side).alias("_side"), "_n")
+    of = lambda side: F.max(F.when(F.col("_side") == side, F.col("_n"))).alias(f"rows_{side}")
+    both = n(a, 1).unionByName(n(b, 2)).agg(of(1), of(2))
     return both.withColumn("result", _verdict(F.col("rows_1") == F.col("rows_2")))
 
 

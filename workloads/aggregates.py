@@ -103,7 +103,8 @@ def conditional_counts(t: Tables):
     counts = aggregate.conditional_counts(t.orders, {
         "total": F.lit(True), "final": c("o_orderstatus") == "F", "large": c("o_totalprice") > 200000})
     members = t.orders.select("o_custkey").distinct().agg(F.count(F.lit(1)).alias("members"))
-    return counts.withColumn("_k", F.lit(1)).join(members.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    both = counts.unionByName(members, allowMissingColumns=True)
+    return both.agg(*[F.max(n).alias(n) for n in both.columns])
 
 
 @query("SELECT date_trunc('hour', ts) AS bin_start, count(*) AS n_rows FROM events GROUP BY ALL", text=["bin_start"])
