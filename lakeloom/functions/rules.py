@@ -38,12 +38,13 @@ def prefix_group(c: Column, groups: Sequence[tuple[str, Sequence[str]]], default
     return first_match(rules, F.lit(default))
 
 
-def outcome_group(paid: Column, codes: Sequence[Column], incomplete: Sequence[str]) -> Column:
+def outcome_group(paid: Column, codes: Sequence[Column], incomplete: Sequence[str],
+                  labels: Sequence[str] = ("Approved", "Incomplete", "Declined", "Other")) -> Column:
     """Approved, incomplete, declined or other; null and negative amounts are other."""
+    approved, lacking, declined, other = (F.lit(x) for x in labels)
     listed = reduce(or_, [F.coalesce(code.isin(*incomplete), F.lit(False)) for code in codes])
     return first_match(
-        [(paid > 0, F.lit("Approved")), ((paid == 0) & listed, F.lit("Incomplete")), (paid == 0, F.lit("Declined"))],
-        F.lit("Other"),
+        [(paid > 0, approved), ((paid == 0) & listed, lacking), (paid == 0, declined)], other,
     )
 
 

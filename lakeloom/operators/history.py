@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators.aggregate import first_by
 from lakeloom.operators.joins import anti, semi
-from lakeloom.operators.ordered import Scan, attach, scan
+from lakeloom.operators.ordered import Scan, attach, is_hot, scan
 from lakeloom.session import cut
 
 OPEN_END = "9999-12-31"
@@ -57,14 +57,16 @@ def replay(changes: DataFrame, natural: str, id: str, date: str, op: str, full:
            which_delete: str = "last", close_on_upsert: bool = False,
            max_group_rows: int | None = None) -> DataFrame:
     """History of all change files at once: effective_date, end_date and version (1 = newest)."""
-    # kept once: chains, marks and the result all read the packed versions
+    # kept once: chains, marks and the result all read the packed versions, and each size is measured
     versions = cut(versions_of(changes, natural, id, date, op))
-    closed = reached(versions, closings_of(changes, versions, id, date, op, full), id, date, max_group_rows)
+    closings = cut(closings_of(changes, versions, id, date, op, full))
+    closed = reached(versions, closings, id, date, max_group_rows)
     pick = F.max_by if which_delete == "last" else F.min_by
     ends = closed.groupBy(id, "_version").agg(pick("_end", "_at").alias("_end")).withColumnsRenamed({"_version": date})
     numbered = scan(
         attach(versions, ends, [id, date]), [id], [F.desc(date)],
         Scan(row_number="version", prev={"_following": F.col(date)}), max_group_rows,
+        hot=is_hot(versions, [id], max_group_rows),
     )
     end = F.coalesce(F.col("_end"), F.lit(OPEN_END).cast("date"))
     if close_on_upsert:
@@ -134,7 +136,8 @@ def audit(changes: DataFrame, natural: str, id: str, date: str, op: str,
         .groupBy(date).agg(F.count_if(F.coalesce(F.col("_first") >= F.col(date), F.lit(True)))
                            .alias("delete_without_match"))
     )
-    closed = reached(versions, closings_of(changes, versions, id, date, op), id, date, max_group_rows)
+    closings = cut(closings_of(changes, versions, id, date, op))
+    closed = reached(versions, closings, id, date, max_group_rows)
     reach = closed.groupBy(F.col("_at").alias(date)).agg(F.count(F.lit(1)).alias("delete_actual"))
     out = raw
     for part in (repeated, actual, unmatched, reach):

@@ -66,9 +66,14 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
     return row["top"] or 0, row["total"] or 0
 
 
+def group_limit(df: DataFrame, given: int | None = None) -> int:
+    """Rows of a group one task may hold: as given, else as the session sets it for its row widths."""
+    return given or int(df.sparkSession.conf.get("spark.lakeloom.maxGroupRows", str(MAX_GROUP_ROWS)))
+
+
 def is_hot(df: DataFrame, by: Sequence[str], max_group_rows: int | None = None) -> bool:
     """True where one group is too large for one task."""
-    return largest_group(df, by)[0] > (max_group_rows or MAX_GROUP_ROWS)
+    return largest_group(df, by)[0] > group_limit(df, max_group_rows)
 
 
 def attach(df: DataFrame, values: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -96,7 +101,7 @@ def group_values(df: DataFrame, by: Sequence[str], values: Mapping[str, Column],
 def scan(df: DataFrame, by: Sequence[str], order: Sequence, what: Scan,
          max_group_rows: int | None = None, hot: bool | None = None) -> DataFrame:
     """Add running values per group. The order must be total for row numbers to be repeatable."""
-    limit = max_group_rows or MAX_GROUP_ROWS
+    limit = group_limit(df, max_group_rows)
     if hot is None:
         top, total = largest_group(df, by)
         hot = top > limit

@@ -101,7 +101,8 @@ def population_long(raw: DataFrame, region: str, groups: Mapping[str, int], tota
 
 def code_reference(raw: DataFrame, document: str, seq: str, schedules: Sequence[str], first_code: str,
                    second_codes: str, replacements: DataFrame, exceptions: DataFrame, systems: tuple[str, str],
-                   own_specialties: Sequence[str], surgeon: str, max_group_rows: int | None = None) -> DataFrame:
+                   own_specialties: Sequence[str], surgeon: str, valid: tuple[str, str] = ("2024-01-01", "9999-12-31"),
+                   max_group_rows: int | None = None) -> DataFrame:
     """Code list from an outline: descriptions carried down, packed codes split, one row per key."""
     df = drop_all_null(raw, schedules)
     hot = is_hot(df, [document], max_group_rows)
@@ -125,7 +126,7 @@ def code_reference(raw: DataFrame, document: str, seq: str, schedules: Sequence[
     df = lookup(df, replacements, {"code": "code"}, {"description": "_replaced"})
     df = df.withColumn("description", text.overwrite_where_present(F.col("description"), F.col("_replaced")))
     df = lookup(df.drop("_replaced"), exceptions, {"code": "code"}, {"starts": "exception_start"})
-    return df.withColumns({"start_date": F.lit("2024-01-01").cast("date"), "end_date": F.lit("9999-12-31").cast("date")})
+    return df.withColumns({n: F.lit(d).cast("date") for n, d in zip(("start_date", "end_date"), valid)})
 
 
 def contact_centre(raw: DataFrame, seconds: Sequence[str], label: str, words: Mapping[str, str]) -> DataFrame:

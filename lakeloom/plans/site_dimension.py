@@ -13,17 +13,16 @@ from lakeloom.operators.aggregate import first_by
 from lakeloom.operators.joins import anti, lookup
 from lakeloom.operators.ordered import attach
 
-JOINED, SINGLE, UNKNOWN = "Participating", "Per claim", "Unknown"
-
-
 def site_dimension(facts: DataFrame, roster: DataFrame, mapping: DataFrame, start: str, excluded: str,
                    specialties: Mapping[str, str], regions: Mapping[str, str],
-                   labels: Mapping[str, Mapping[str, str]]) -> DataFrame:
+                   labels: Mapping[str, Mapping[str, str]], joined: str = "Participating",
+                   single: str = "Per claim", unknown: str = "Unknown") -> DataFrame:
     """Members with claims at their sites, then roster members without any.
 
     facts: member, site, prefix, region, kind, specialty, service_date, submitted_date, paid, coordinated
     roster: member, specialty, region, prefix, joined_on, enrolled (Y/N), language, snapshot_date
     mapping: member, school, school_specialty
+    ``joined``, ``single`` and ``unknown`` are the kinds the rules know; other kinds pass through.
     """
     facts = facts.where(F.col("specialty") != excluded).withColumn("uid", key_of(["member", "site"]))
     first_day = F.lit(start).cast("date")
@@ -51,14 +50,14 @@ def site_dimension(facts: DataFrame, roster: DataFrame, mapping: DataFrame, star
 
     kind = F.col("kind")
     both = both.withColumn("joined_on", first_match([
-        (kind == SINGLE, F.col("first_claim")),
-        ((kind == JOINED) & F.col("joined_on").isNull(), F.col("first_claim")),
+        (kind == single, F.col("first_claim")),
+        ((kind == joined) & F.col("joined_on").isNull(), F.col("first_claim")),
     ], F.col("joined_on")))
     both = both.withColumn("kind", first_match([
-        ((F.col("enrolled") == "Y") & kind.isNull(), F.lit(JOINED)),
-        ((F.col("enrolled") == "N") & kind.isNull(), F.lit(UNKNOWN)),
+        ((F.col("enrolled") == "Y") & kind.isNull(), F.lit(joined)),
+        ((F.col("enrolled") == "N") & kind.isNull(), F.lit(unknown)),
     ], kind))
-    unpaid = kind.isin(JOINED, UNKNOWN) & F.col("paid_status").isNull()
+    unpaid = kind.isin(joined, unknown) & F.col("paid_status").isNull()
     both = both.withColumn("paid_status", F.when(unpaid, F.lit("N")).otherwise(F.col("paid_status")))
 
     both = lookup(both, mapping, {"member": "member"}, ["school", "school_specialty"])
@@ -69,8 +68,8 @@ def site_dimension(facts: DataFrame, roster: DataFrame, mapping: DataFrame, star
         "uid", "member", "site", "prefix", "region", "area", "kind", "specialty", "joined_on", "last_service",
         "paid_status", "language", "left_on", "school", "school_specialty",
         key_of(["prefix", "specialty"]).alias("billing_key"),
-        is_true(kind.isin(JOINED, SINGLE)).alias("valid"),
-        is_true(kind == JOINED).alias("active"),
+        is_true(kind.isin(joined, single)).alias("valid"),
+        is_true(kind == joined).alias("active"),
         *[mapped(F.col(c), words, on_missing="null").alias(f"{c}_2") for c, words in labels.items()],
     )
     return first_by(out, ["uid"], ["school", "school_specialty", "joined_on", "left_on"])

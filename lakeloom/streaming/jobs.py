@@ -64,17 +64,18 @@ def history_sink(changes: DataFrame, path: str, checkpoint: str, natural: str, i
         batch.write.mode("overwrite").format(fmt).save(f"{path}/log/batch={number}")
         mine = spark.read.format(fmt).load(f"{path}/log/batch={number}")
         first, last = mine.agg(F.min(date), F.max(date)).first()
-        before = None
-        if number > 0:
-            earlier = spark.read.format(fmt).load([f"{path}/log/batch={n}" for n in range(number)])
-            before = earlier.agg(F.max(date)).first()[0]
-        if number > 0 and (first is None or (first == last and first > before)):
+        before = _newest_date(spark, path, number - 1, fmt)
+        late = before is not None and first is not None and first <= before
+        if before is not None and not late and first == last:
             history = apply_batch(latest_generation(spark, path, number - 1, fmt), mine.drop(date), natural, id, op,
                                   F.lit(first).cast("date"))
         else:
-            log = spark.read.format(fmt).load([f"{path}/log/batch={n}" for n in range(number + 1)])
+            log = spark.read.format(fmt).load(f"{path}/log").where(F.col("batch") <= number).drop("batch")
             history = replay(log, natural, id, date, op)
         history.write.mode("overwrite").format(fmt).save(f"{path}/history/generation={number}")
+        newest = max((d for d in (before, last) if d is not None), default=None)
+        kept = spark.range(1).select(F.lit(newest).cast("date").alias("newest"))
+        kept.write.mode("overwrite").format(fmt).save(f"{path}/newest/batch={number}")
 
     return (
         changes.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
@@ -82,5 +83,10 @@ def history_sink(changes: DataFrame, path: str, checkpoint: str, natural: str, i
     )
 
 
+def _newest_date(spark: SparkSession, path: str, number: int, fmt: str):
+    """Newest date applied up to a batch, from the one row kept for it."""
+    return spark.read.format(fmt).load(f"{path}/newest/batch={number}").first()["newest"] if number >= 0 else None
+
+
 def latest_generation(spark: SparkSession, path: str, last_batch: int, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(f"{path}/history/generation={last_batch}")
