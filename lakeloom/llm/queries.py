@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import ngram_join, quality, sharding, url_filters
+from lakeloom.llm import decontaminate, ngram_join, quality, sharding, url_filters
 from lakeloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,9 @@ def op6_quality(spark, table):
 @query()
 def op7_sharding(spark, table):
     return sharding.shard(table("documents"), [1.0] * 8, [1.0] * 9)
+
+
+@query()
+def op9_decontamination(spark, table):
+    found = decontaminate.matches(table("documents"), table("benchmark"))
+    return found.filter("leaked").drop("key", "leaked")

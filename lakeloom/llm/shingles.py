@@ -55,7 +55,11 @@ def sets(texts: pa.Array) -> Iterator[np.ndarray]:
         yield from _sets(texts.slice(i, 256))
 
 
-def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
+def word_hashes(texts: pa.Array, word: np.ndarray = _WORD) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts in order, and for each text the number of words up to its end.
+
+    ``word`` says which bytes, A-Z lowered, belong to words. Null texts have none.
+    """
     parts = [(x.as_buffer() if x.is_valid else None) for x in texts.cast(pa.large_string())]
     sizes = np.array([0 if x is None else x.size for x in parts], dtype=np.int64)
     ends_of = np.cumsum(sizes + 1)
@@ -64,29 +68,43 @@ def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
         if size:
             data[end - 1 - size:end - 1] = np.frombuffer(x, dtype=np.uint8)
     data = _LOWER[data]
-    word = _WORD[data]
-    edge = np.flatnonzero(word[1:] != word[:-1]) + 1
-    if len(word) and word[0]:
+    inside = word[data]
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(inside) and inside[0]:
         edge = np.concatenate([[0], edge])
     starts, ends = edge[0::2], edge[1::2]
-    hashes = _word_hashes(data, starts, ends)
-    upto = np.searchsorted(starts, ends_of)
+    return _word_hashes(data, starts, ends), np.searchsorted(starts, ends_of)
+
+
+def grams(hashes: np.ndarray, n: int = N) -> np.ndarray:
+    """A hash of every run of n words."""
+    if len(hashes) < n:
+        return np.empty(0, dtype=np.uint64)
+    return _mixed(sum(hashes[k:len(hashes) - n + 1 + k] * _PLACE[k] for k in range(n)))
+
+
+def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
+    hashes, upto = word_hashes(texts)
+    rolled = grams(hashes)
     low = 0
-    if len(hashes) >= N:
-        rolled = sum(hashes[k:len(hashes) - N + 1 + k] * _PLACE[k] for k in range(N))
-        rolled = _mixed(rolled)
     for high in upto:
         n = high - low
         if n >= N:
             own = np.sort(rolled[low:high - N + 1])
             yield own[np.concatenate([[True], own[1:] != own[:-1]])]
         elif n:
-            yield _mixed(np.array([sum(int(h) * int(p) for h, p in zip(hashes[low:high], _PLACE)) + int(n) & (1 << 64) - 1], dtype=np.uint64))
+            yield np.array([_short(hashes[low:high])], dtype=np.uint64)
         else:
             yield np.empty(0, dtype=np.uint64)
         low = high
 
 
+def _short(hashes: np.ndarray) -> int:
+    """The hash of a sequence too short for a shingle, its length included."""
+    total = sum(int(h) * int(p) for h, p in zip(hashes, _PLACE)) + len(hashes)
+    return int(_mixed(np.array([total & (1 << 64) - 1], dtype=np.uint64))[0])
+
+
 def node(shingles: np.ndarray) -> int | None:
     """A signed 64-bit name of a set: equal for equal sets."""
     if not len(shingles):
