@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, ngram_join, quality, sharding, url_filters
+from lakeloom.llm import decontaminate, mixing, ngram_join, quality, sharding, url_filters
 from lakeloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,12 @@ def op7_sharding(spark, table):
 def op9_decontamination(spark, table):
     found = decontaminate.matches(table("documents"), table("benchmark"))
     return found.filter("leaked").drop("key", "leaked")
+
+
+@query()
+def op5_mixing(spark, table):
+    # domains: the sources by their number's parity; weights: even sources count double, English half
+    number = F.regexp_extract("source", "([0-9]+)$", 1).cast("int") % 2
+    domain = F.when(number == 0, F.lit("even")).otherwise(F.lit("odd"))
+    weight = F.when(F.col("domain") == "even", 2.0).otherwise(1.0) * F.when(F.col("lang") == "en", 0.5).otherwise(1.0)
+    return mixing.mix(table("documents"), weight, domain=domain)
