@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, mixing, ngram_join, quality, sharding, url_filters
-from lakeloom.session import tune
+from lakeloom.llm import decontaminate, mixing, ngram_join, quality, sharding, url_filters, warc
+from lakeloom.session import scratch, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -154,3 +154,17 @@ def op5_mixing(spark, table):
     domain = F.when(number == 0, F.lit("even")).otherwise(F.lit("odd"))
     weight = F.when(F.col("domain") == "even", 2.0).otherwise(1.0) * F.when(F.col("lang") == "en", 0.5).otherwise(1.0)
     return mixing.mix(table("documents"), weight, domain=domain)
+
+
+@query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+f AS (SELECT page_id, strlen(html) AS n, sha256(html) AS digest, min(page_id) OVER (PARTITION BY html) AS lo FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 100 AND page_id > lo THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id > lo THEN lo END AS refers_to, TRUE AS verified
+FROM f
+""")
+def op10_warc(spark, table):
+    path = scratch(spark, "warc")
+    warc.write(table("pages"), path)
+    return warc.pages_of(warc.read(spark, path))
