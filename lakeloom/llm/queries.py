@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, mixing, ngram_join, quality, sharding, url_filters, warc
+from lakeloom.llm import decontaminate, mixing, ngram_join, quality, sharding, token_counts, url_filters, warc
 from lakeloom.session import scratch, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,11 @@ def op10_warc(spark, table):
     path = scratch(spark, "warc")
     warc.write(table("pages"), path)
     return warc.pages_of(warc.read(spark, path))
+
+
+@query()
+def op1_token_counts(spark, table):
+    import public_tokenizers
+
+    counted = token_counts.prefix_counts(table("documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > token_counts.LIMIT).alias("over_limit"), "limit_chars")
