@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, mixing, ngram_join, quality, sharding, token_counts, url_filters, warc
+from lakeloom.llm import decontaminate, mixing, ngram_join, quality, sharding, suffix_dedup, token_counts, url_filters, warc
 from lakeloom.session import scratch, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,9 @@ def op1_token_counts(spark, table):
 
     counted = token_counts.prefix_counts(table("documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > token_counts.LIMIT).alias("over_limit"), "limit_chars")
+
+
+@query()
+def op4_suffix_dedup(spark, table):
+    found = suffix_dedup.dedup(table("documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
