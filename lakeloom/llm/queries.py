@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, mixing, ngram_join, quality, sharding, suffix_dedup, token_counts, url_filters, warc
+from lakeloom.llm import decontaminate, mixing, ngram_join, quality, sharding, suffix_dedup, token_counts, token_files, url_filters, warc
 from lakeloom.session import scratch, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +183,12 @@ def op1_token_counts(spark, table):
 def op4_suffix_dedup(spark, table):
     found = suffix_dedup.dedup(table("documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op8_token_files(spark, table):
+    import public_tokenizers
+
+    path = scratch(spark, "tokens")
+    token_files.write(table("documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read(spark, path, token_files.checksum, pa.schema([("ids_crc32", pa.int64())]))
