@@ -127,9 +127,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     marks = cut(candidates(parts))
     true = reachable(marks)
     order = Window.partitionBy("file").orderBy("at")
-    spans = marks.join(true.withColumn("true", F.lit(True)), ["file", "at"], "left")
-    spans = spans.withColumn("owner", F.last(F.when(F.col("true"), F.col("at")), ignorenulls=True).over(order)).filter("owner IS NOT NULL")
-    shared = spans.filter("true IS NULL").select("file", "owner").distinct().withColumn("several", F.lit(True))
+    spans = marks.join(true.withColumn("reached", F.lit(True)), ["file", "at"], "left")
+    spans = spans.withColumn("owner", F.last(F.when(F.col("reached"), F.col("at")), ignorenulls=True).over(order)).filter("owner IS NOT NULL")
+    shared = spans.filter("reached IS NULL").select("file", "owner").distinct().withColumn("several", F.lit(True))
     spans = cut(spans.join(shared, ["file", "owner"], "left").select("file", "at", "owner", F.coalesce("several", F.lit(False)).alias("several")))
     rows = parts.join(spans, ["file", "at"])
     single = rows.filter("NOT several").select("file", "at", "chunk")
