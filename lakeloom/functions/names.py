@@ -3,28 +3,38 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _title(name: str) -> str:
-    return re.sub(r"\s+", " ", name).strip().title().replace(" ", "_")
+@dataclass(frozen=True)
+class Naming:
+    """How a name is cleaned: characters that go, white space and characters that become the joiner, letter case.
 
+    With ``runs`` a run of joined characters becomes one joiner, else each becomes its own.
+    """
 
-STYLES: dict[str, Callable[[str], str]] = {
-    "underscore": lambda n: re.sub(r"\s+", "_", n),
-    "collapse": lambda n: re.sub(r"\s+", " ", n.strip()),
-    "title": _title,
-    "bare": lambda n: re.sub(r"[?/-]", "", n).replace(" ", "_"),
-    "table": lambda n: re.sub(r"[(),=]", "", n).replace("-", "_").replace(" ", "_"),
-}
+    drop: str = ""
+    join: str = ""
+    joiner: str = "_"
+    runs: bool = True
+    trim: bool = True
+    title: bool = False
 
+    def __call__(self, name: str) -> str:
+        name = "".join(ch for ch in name if ch not in self.drop)
+        name = name.strip() if self.trim else name
+        name = name.title() if self.title else name
+        joined = rf"[\s{re.escape(self.join)}]" + ("+" if self.runs else "")
+        return re.sub(joined, lambda _: self.joiner, name)
 
-def normalize_names(df: DataFrame, style: str = "underscore") -> DataFrame:
+
+def normalize_names(df: DataFrame, how: Naming = Naming()) -> DataFrame:
     """Clean all column names; two names that become one are an error, not a silent loss."""
-    names = [STYLES[style](n) for n in df.columns]
+    names = [how(n) for n in df.columns]
     if len({n.lower() for n in names}) < len(names):
         raise ValueError(f"column names collide: {sorted(names)}")
     return df.toDF(*names)

@@ -6,13 +6,13 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.functions.text import row_hash
 from lakeloom.operators.aggregate import describe_values, long_values, numeric_columns
-from lakeloom.operators.quality import distinct_counts
+from lakeloom.session import cut
 
 
 def shared_columns(a: DataFrame, b: DataFrame) -> list[str]:
@@ -57,19 +57,17 @@ def missing_values(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.withColumns({"share_1": share("1"), "share_2": share("2"), "result": _verdict(same)})
 
 
-def distinct_values(a: DataFrame, b: DataFrame, sample_limit: int = 100) -> DataFrame:
-    """Distinct counts per column, with the values themselves where there are few."""
-    def side(df: DataFrame, s: str) -> DataFrame:
-        counts = distinct_counts(df, df.columns)
-        few = counts.where((F.col("n_distinct") <= sample_limit) & ~F.lower("column").contains("date"))
-        # only columns known to have few values are packed
-        cells = long_values(df, df.columns).where("value is not null").distinct().join(few, "column")
-        packed = cells.groupBy("column").agg(F.array_join(F.array_sort(F.collect_list("value")), ", ").alias(f"values_{s}"))
-        names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column string")
-        return names.join(counts, "column", "left").join(packed, "column", "left").select(
-            "column", F.coalesce("n_distinct", F.lit(0)).alias(f"distinct_{s}"), f"values_{s}")
+def distinct_values(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Every value of every column with its copies on either side, from one grouping; nothing is left out."""
+    side = lambda df, flag: long_values(df, df.columns).where("value is not null").withColumn("_l", F.lit(flag))
+    return side(a, 1).unionByName(side(b, 0)).groupBy("column", "value").agg(
+        F.sum("_l").alias("copies_1"), F.sum(1 - F.col("_l")).alias("copies_2"))
 
-    both = side(a, "1").join(side(b, "2"), "column", "full_outer")
+
+def distinct_totals(values: DataFrame) -> DataFrame:
+    """Distinct counts per column of ``distinct_values``; a column passes when they are equal."""
+    both = values.groupBy("column").agg(F.count_if(F.col("copies_1") > 0).alias("distinct_1"),
+                                        F.count_if(F.col("copies_2") > 0).alias("distinct_2"))
     return both.withColumn("result", _verdict(F.col("distinct_1") == F.col("distinct_2")))
 
 
@@ -125,26 +123,33 @@ def cell_differences(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFram
     return both.select(*key, origin.alias("origin"), F.explode(found).alias("_c")).select(*key, "origin", "_c.*")
 
 
-def hash_reconcile(a: DataFrame, b: DataFrame, by: str, cols: Sequence[str], samples: int = 2) -> DataFrame:
-    """Per load date: are the distinct row hashes equal, and how many exist on one side only.
+def hash_reconcile(a: DataFrame, b: DataFrame, by: str, cols: Sequence[str], key: Sequence[str], samples: int = 2) -> DataFrame:
+    """Per load date: are the distinct row hashes equal, how many exist on one side only, and whose they are.
 
-    All dates go through one grouping of hashes. Copies of a row do not count.
+    All dates go through one grouping of hashes. Copies of a row do not count. ``keys_1`` and ``keys_2`` hold the
+    key values, joined by '|', of up to ``samples`` rows of one side only, in order of hash and key; only
+    so many rows of a date and side leave a task.
     """
-    side = lambda df, flag: df.select(by, row_hash(cols).alias("_h"), F.lit(flag).alias("_l"))
-    seen = side(a, 1).unionByName(side(b, 0)).groupBy(by, "_h").agg(
-        F.max("_l").alias("_in_1"), F.max(1 - F.col("_l")).alias("_in_2"))
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
+    side = lambda df, flag: df.select(by, row_hash(cols).alias("_h"), text.alias("_k"), F.lit(flag).alias("_l"))
+    seen = cut(side(a, 1).unionByName(side(b, 0)).groupBy(by, "_h").agg(
+        F.max("_l").alias("_in_1"), F.max(1 - F.col("_l")).alias("_in_2"), F.min("_k").alias("_k")))
     left, right = F.col("_in_2") == 0, F.col("_in_1") == 0
-    report = seen.groupBy(by).agg(
-        F.count_if(left).alias("only_1"), F.count_if(right).alias("only_2"),
-        F.min(F.when(left, F.col("_h"))).alias("sample_1"), F.min(F.when(right, F.col("_h"))).alias("sample_2"),
-    )
-    return report.withColumn("identical", (F.col("only_1") == 0) & (F.col("only_2") == 0))
+    report = seen.groupBy(by).agg(F.count_if(left).alias("only_1"), F.count_if(right).alias("only_2"))
+    first = Window.partitionBy(by, "_in_1").orderBy("_h", "_k")
+    some = seen.where(left | right).withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= samples)
+    listed = lambda flag: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_in_1") == flag, F.struct("_n", "_k")))), lambda x: x["_k"]), ", ")
+    keys = some.groupBy(by).agg(listed(1).alias("keys_1"), listed(0).alias("keys_2"))
+    keys = keys.select(F.col(by).alias("_by"), "keys_1", "keys_2")
+    report = report.join(keys, report[by].eqNullSafe(keys["_by"]), "left").drop("_by")
+    return report.withColumns({"keys_1": F.coalesce("keys_1", F.lit("")), "keys_2": F.coalesce("keys_2", F.lit("")),
+                               "identical": (F.col("only_1") == 0) & (F.col("only_2") == 0)})
 
 
-def sample_rows(df: DataFrame, cols: Sequence[str], report: DataFrame, sample: str) -> DataFrame:
-    """Full rows behind the sample hashes of a reconciliation report, which holds one per date."""
-    wanted = report.select(F.col(sample).alias("_h")).where("_h is not null").distinct()
-    return df.withColumn("_h", row_hash(cols)).join(wanted, "_h", "left_semi").drop("_h")
+def unmatched_rows(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """All rows of the first side whose hash the other side does not hold."""
+    other = b.select(row_hash(cols).alias("_h")).distinct()
+    return a.withColumn("_h", row_hash(cols)).join(other, "_h", "left_anti").drop("_h")
 
 
 def suite(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -167,22 +172,17 @@ def suite(a: DataFrame, b: DataFrame) -> DataFrame:
         static,
         overall("row_count", row_counts(a, b), bad),
         overall("missing_values", missing_values(x, y), bad),
-        overall("distinct_values", _distinct_pairs(x, y), bad),
+        overall("distinct_values", distinct_totals(distinct_values(x, y)), bad),
         overall("duplicates", sided.where("n_1 > 1 or n_2 > 1"), F.greatest("n_1", F.lit(1)) != F.greatest("n_2", F.lit(1))),
         overall("rows", sided, F.col("n_1") != F.col("n_2")),
-        overall("distributions", distributions(x, y), bad),
     ]
-    if numeric_columns(x):
+    if [c for c in text_columns(x) if c in text_columns(y)]:
+        parts.append(overall("distributions", distributions(x, y), bad))
+    if [c for c in numeric_columns(x) if c in numeric_columns(y)]:
         parts.append(overall("statistics", statistics(x, y), bad))
     return reduce(lambda p, q: p.unionByName(q), parts)
 
 
-def _distinct_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
-    both = distinct_counts(a, a.columns).withColumnRenamed("n_distinct", "distinct_1").join(
-        distinct_counts(b, b.columns).withColumnRenamed("n_distinct", "distinct_2"), "column", "full_outer")
-    return both.withColumn("result", _verdict(F.col("distinct_1") == F.col("distinct_2")))
-
-
 def failures(report: DataFrame) -> DataFrame:
     return report.where("result <> 'Passed'")
 

@@ -23,8 +23,11 @@ PACK = r"\|"
 
 
 def versions_of(changes: DataFrame, natural: str, id: str, date: str, op: str) -> DataFrame:
-    """Upserts packed per file and natural key: distinct values joined, ids sorted."""
-    rows = changes.where(F.col(op) != "delete").drop(op)
+    """Upserts packed per file and natural key: distinct values joined, ids sorted.
+
+    Whatever is no delete is an upsert, a missing op too. Rows without id stay as they are.
+    """
+    rows = changes.where(~F.col(op).eqNullSafe("delete")).drop(op)
     others = [c for c in rows.columns if c not in (natural, date)]
     packed = [
         F.nullif(F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), "|"), F.lit("")).alias(c)
@@ -34,8 +37,10 @@ def versions_of(changes: DataFrame, natural: str, id: str, date: str, op: str) -
     loose = rows.where(F.col(natural).isNull()).select(
         natural, date, *[F.col(c).cast("string").alias(c) for c in others]
     )
-    # two rows of one file may carry the same id under different natural keys: keep one version
-    return first_by(keyed.unionByName(loose), [id, date], [natural])
+    # two rows of one file may carry the same id under different natural keys: keep one version, by a total order
+    both = keyed.unionByName(loose)
+    named = first_by(both.where(F.col(id).isNotNull()), [id, date], [natural, *sorted(c for c in others if c != id)])
+    return named.unionByName(both.where(F.col(id).isNull()))
 
 
 def closings_of(changes: DataFrame, versions: DataFrame, id: str, date: str, op: str,

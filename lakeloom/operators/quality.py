@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -149,7 +150,7 @@ def related_columns(tables: Mapping[str, DataFrame], name_at_least: float = 0.7,
     )
 
 
-def lineage_depth(edges: DataFrame, source: str = "source", target: str = "target", max_depth: int = 1000) -> DataFrame:
+def lineage_depth(edges: DataFrame, source: str = "source", target: str = "target") -> DataFrame:
     """Longest path from a root to each node of an acyclic edge list.
 
     Nodes are released once all their inputs have a depth. Each round joins the new nodes to
@@ -164,7 +165,7 @@ def lineage_depth(edges: DataFrame, source: str = "source", target: str = "targe
         "node", F.coalesce("open", F.lit(0)).alias("open"), F.lit(0).alias("depth"),
         F.col("open").isNull().alias("fresh"), F.col("open").isNull().alias("done"),
     ))
-    for _ in range(max_depth):
+    while True:
         reach = state.where("fresh").join(e, F.col("node") == F.col("s")).groupBy("t").agg(
             F.count(F.lit(1)).alias("closed"), F.max(F.col("depth") + 1).alias("via")
         )
@@ -177,7 +178,7 @@ def lineage_depth(edges: DataFrame, source: str = "source", target: str = "targe
         if state.where("fresh").isEmpty():
             break
     if not state.where("not done").isEmpty():
-        raise ValueError("the edge list has a cycle or exceeds max_depth")
+        raise ValueError("the edge list has a cycle")
     return state.select("node", F.col("depth").cast("int").alias("depth"))
 
 
@@ -199,18 +200,27 @@ def parse_log(lines: DataFrame, line: str = "value") -> DataFrame:
 
 
 def coerce_by_name(df: DataFrame) -> DataFrame:
-    """Types by column-name rule: dates, ids as text, ages as integers, amounts as numbers."""
-    out = {}
+    """Types by the last part of column names: dates, ids as text, ages as integers, amounts as numbers.
+
+    Parts are what underscores, blanks and case changes divide. A date or amount column with a value that does
+    not parse stays as it is; one pass over those columns finds out. Ages that do not parse are 0.
+    """
+    out, strict = {}, {}
     for f in df.schema.fields:
-        c, low = F.col(f.name), f.name.lower()
-        if "date" in low:
-            out[f.name] = c.try_cast("date")
-        elif low.endswith("id"):
+        c = F.col(f"`{f.name}`")
+        kind = re.split(r"[^a-z0-9]+", re.sub("([a-z0-9])([A-Z])", r"\1_\2", f.name).lower())[-1]
+        if kind == "date":
+            strict[f.name] = c.try_cast("date")
+        elif kind == "id":
             out[f.name] = c.cast("string")
-        elif low.split("_")[-1] == "age" or low == "age":
+        elif kind == "age":
             out[f.name] = F.coalesce(c.try_cast("int"), F.lit(0))
-        elif "amount" in low:
-            out[f.name] = F.regexp_replace(c.cast("string"), ",", "").try_cast("double")
+        elif kind == "amount":
+            strict[f.name] = F.regexp_replace(c.cast("string"), ",", "").try_cast("double")
+    if strict:
+        lost = [F.count_if(F.col(f"`{n}`").isNotNull() & x.isNull()).alias(str(i)) for i, (n, x) in enumerate(strict.items())]
+        kept = df.agg(*lost).first()
+        out |= {n: x for i, (n, x) in enumerate(strict.items()) if not kept[i]}
     return df.withColumns(out) if out else df
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,39 +16,42 @@ def span_of(df: DataFrame, col: str) -> DataFrame:
     return ends.select(F.explode(F.sequence("a", "b")).alias("date"))
 
 
-def attributes(days: DataFrame, base_year: int = 2023) -> DataFrame:
-    """Calendar attributes of each day, all from one projection."""
+#: Periods a day lies in: first day, months or days until the next one, number, and date patterns of its names.
+PERIODS = {
+    "year": ("year", 12, F.year, {"label": "yyyy"}),
+    "quarter": ("quarter", 3, F.quarter, {"label": "QQQ", "name": "QQQQ"}),
+    "month": ("month", 1, F.month, {"label": "yyyy-MM", "name": "MMMM", "abbreviation": "MMM"}),
+    "week": ("week", None, F.weekofyear, {}),
+    "weekday": (None, None, lambda d: F.weekday(d) + 1, {"name": "EEEE", "abbreviation": "EEE"}),
+}
+
+
+def attributes(days: DataFrame, periods: Sequence[str] = tuple(PERIODS)) -> DataFrame:
+    """Number, bounds and names of the periods asked for, as ``<period>_<what>``, and the fiscal year and quarter."""
+    d, out = F.col("date"), {}
+    for period in periods:
+        unit, months, number, patterns = PERIODS[period]
+        out[f"{period}_number"] = number(d)
+        if unit:
+            first = F.trunc(d, unit)
+            after = F.add_months(first, months) if months else F.date_add(first, 7)
+            out |= {f"{period}_first": first, f"{period}_last": F.date_sub(after, 1)}
+        out |= {f"{period}_{what}": F.date_format(d, pattern) for what, pattern in patterns.items()}
+    out |= {"fiscal_year": fiscal_year(d), "fiscal_quarter": fiscal_quarter(d)}
+    return days.select("date", *[column.alias(name) for name, column in out.items()])
+
+
+def reporting_weeks(days: DataFrame, base_year: int) -> DataFrame:
+    """The reporting week of each day, and its number from the base year on.
+
+    A reporting week takes the number of the calendar week of the Friday before it; the days of a new year
+    before its first such week are week 0. Every year counts 52 weeks.
+    """
     d = F.col("date")
-    week = F.weekofyear(d)
-    week_text = F.lpad(week.cast("string"), 2, "0")
-    named = {
-        "year": F.year(d), "quarter": F.quarter(d), "month": F.month(d), "day": F.day(d), "week": week,
-        "date_id": F.year(d) * 10000 + F.month(d) * 100 + F.day(d),
-        "day_of_week": F.weekday(d) + 1, "day_of_month": F.dayofmonth(d), "day_of_year": F.dayofyear(d),
-        "fiscal_quarter": fiscal_quarter(d), "fiscal_year": fiscal_year(d),
-        "year_start": F.make_date(F.year(d), F.lit(1), F.lit(1)),
-        "year_end": F.make_date(F.year(d), F.lit(12), F.lit(31)),
-        "quarter_start": F.trunc(d, "quarter"),
-        "quarter_end": F.last_day(F.add_months(F.trunc(d, "quarter"), 2)),
-        "month_start": F.trunc(d, "month"), "month_end": F.last_day(d),
-        "week_start": F.trunc(d, "week"), "week_end": F.date_add(F.trunc(d, "week"), 6),
-        "year_month": F.date_format(d, "yyyy-MM"),
-        "quarter_long": F.date_format(d, "QQQQ"), "quarter_short": F.date_format(d, "QQQ"),
-        "quarter_text": F.date_format(d, "QQ"),
-        "month_long": F.date_format(d, "MMMM"), "month_short": F.date_format(d, "MMM"),
-        "month_text": F.date_format(d, "MM"),
-        "week_long": F.concat(F.lit("week"), week_text), "week_short": F.concat(F.lit("w"), week_text),
-        "week_text": week_text, "day_text": F.date_format(d, "dd"),
-        "day_long": F.date_format(d, "EEEE"), "day_short": F.date_format(d, "EEE"),
-    }
-    friday_week = F.weekofyear(previous_friday(d))
-    friday_week = F.when((F.dayofyear(d) < 7) & (friday_week == 52), 0).otherwise(friday_week)
-    year_number = F.year(d) - base_year
-    named |= {
-        "year_number": year_number, "friday_week": friday_week,
-        "friday_week_running": year_number * 52 + friday_week,
-    }
-    return days.select("date", *[c.alias(n) for n, c in named.items()])
+    number = F.weekofyear(previous_friday(d))
+    early = (F.dayofyear(d) < 7) & (number == 52)
+    week = F.when(early, F.lit(0)).otherwise(number)
+    return days.select("date", week.alias("reporting_week"), ((F.year(d) - base_year) * 52 + week).alias("running_week"))
 
 
 def with_holidays(calendar: DataFrame, holidays: DataFrame, holiday: str = "date") -> DataFrame:

@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from lakeloom.operators.joins import lookup
 
 
+#: Digits after the point that amounts keep; sums are exact to it.
+SCALE = 6
+
+
 @dataclass(frozen=True)
 class Distinct:
     """Number of distinct values among the rows that meet a condition."""
@@ -110,7 +114,7 @@ def evaluate(fact: DataFrame, measures: Mapping[str, Measure], by: Sequence[str]
 
 
 def _type(m: Measure) -> str:
-    return "bigint" if isinstance(m, Distinct) else "decimal(38,2)"
+    return "bigint" if isinstance(m, Distinct) else f"decimal(38,{SCALE})"
 
 
 def _inputs(fact: DataFrame, measures: Mapping[str, Measure]) -> list[Column]:
@@ -122,7 +126,7 @@ def _inputs(fact: DataFrame, measures: Mapping[str, Measure]) -> list[Column]:
             met = F.lit(True) if m.where is None else F.coalesce(m.where, F.lit(False))
             out[name] = F.when(met & F.col(m.column).isNotNull(), F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
         elif isinstance(m, Total):
-            amount = m.value.cast("decimal(18,2)")
+            amount = m.value.cast(f"decimal(28,{SCALE})")
             out[name] = amount if m.where is None else F.when(m.where, amount)
     return [c.alias(n) for n, c in out.items()]
 

@@ -20,7 +20,7 @@ from lakeloom.sources.tables import append, report_keys, report_rows
 class Cleaning:
     """How an extract is made comparable; every step skips columns the extract lacks."""
 
-    style: str = "collapse"
+    naming: names.Naming = names.Naming(joiner=" ")
     renames: Mapping[str, str] = field(default_factory=dict)
     melt_ids: Sequence[str] = ()
     melt_values: Sequence[str] = ()
@@ -34,7 +34,7 @@ class Cleaning:
 
 def clean(df: DataFrame, how: Cleaning) -> DataFrame:
     """Headers out, names and values normalised, amounts in rows, ids padded, types set."""
-    df = names.rename_present(names.normalize_names(drop_repeated_headers(df), how.style), how.renames)
+    df = names.rename_present(names.normalize_names(drop_repeated_headers(df), how.naming), how.renames)
     df = text.clean_placeholders(text.trim_strings(df))
     if how.melt_values:
         df = wide_to_long(df, how.melt_ids, how.melt_values, "amount_type", "amount", drop_zero=True)

@@ -30,8 +30,12 @@ class Contract:
     date_formats: Sequence[str] = DATE_FORMATS
 
     def read(self, spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-        options = {"header": "true", **self.options} if self.fmt == "csv" else dict(self.options)
-        raw = spark.read.format(self.fmt).options(**options).schema(self.read_schema).load(path)
+        """Columns of the read schema. A delimited file's are found by its header, in any order; all files must have the same one."""
+        if self.fmt == "csv" and self.options.get("header", "true") == "true":
+            options = {"header": "true", "inferSchema": "false", "enforceSchema": "false", **self.options}
+            raw = enforce(spark.read.options(**options).csv(path), self.read_schema)
+        else:
+            raw = spark.read.format(self.fmt).options(**self.options).schema(self.read_schema).load(path)
         return raw.withColumns({c: parse_date(F.col(c), self.date_formats) for c in self.dates}) if self.dates else raw
 
     def shape(self, raw: DataFrame) -> DataFrame:
@@ -51,12 +55,4 @@ def enforce(df: DataFrame, ddl: str) -> DataFrame:
     missing = [f.name for f in want if f.name not in df.columns]
     if missing:
         raise ValueError(f"columns missing from the data: {missing}")
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in want])
-
-
-REGISTRY: dict[str, Contract] = {}
-
-
-def register(contract: Contract) -> Contract:
-    REGISTRY[contract.name] = contract
-    return contract
+    return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in want])

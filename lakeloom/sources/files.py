@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,22 +32,39 @@ def with_source_date(df: DataFrame, name: str = "source", by: str = "file") -> D
     return df.select("*", date_from_name(origin_name(by)).alias(name))
 
 
-def read_enveloped(spark: SparkSession, path: str | Sequence[str], schema: str, delimiter: str = ",",
-                   has_header: bool = True, name: str = "source", by: str = "file") -> DataFrame:
-    """Files with a preamble line before the header and a trailer line after the data.
+def enveloped_records(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], delimiter: str = ",", lead: int = 1,
+                      has_header: bool = True, trail: int = 1, name: str = "source", by: str = "file") -> DataFrame:
+    """Lines between each file's ``lead`` lines with header and its ``trail`` lines: text columns, origin date, ``reject``.
 
-    Both are told from data by their number of fields, so files are split across tasks and no
-    line numbers are needed. Quoted delimiters do not count.
+    Lead and trail are told by their place in the file: a line's split and its number in it order a file's
+    lines, whatever tasks read them. ``reject`` holds a line that does not have one field a column, else null.
     """
+    lines = spark.read.text(path).select(
+        "value", date_from_name(origin_name(by)).alias(name), F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
+    place = F.struct("_block", "_line")
+    ends = lines.groupBy("_file").agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
+    skipped = lead + int(has_header)
+    inside = lines.join(ends, "_file").where(~(
+        ((F.col("_block") == F.col("_first._block")) & (F.col("_line") < F.col("_first._line") + skipped))
+        | ((F.col("_block") == F.col("_last._block")) & (F.col("_line") > F.col("_last._line") - trail))))
+    schema = ", ".join(f"`{c}` string" for c in [*columns, "_reject"])
+    options = {"sep": delimiter, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_reject"}
+    parsed = inside.select(F.from_csv("value", schema, options).alias("_r"), name)
+    return parsed.select(*[F.col(f"_r.`{c}`").alias(c) for c in columns], name, F.col("_r._reject").alias("reject"))
+
+
+def read_enveloped(spark: SparkSession, path: str | Sequence[str], schema: str, **how) -> DataFrame:
+    """The records that fit, typed by the schema; what does not fit a type becomes null."""
+    fields = spark.createDataFrame([], schema).schema
+    rows = enveloped_records(spark, path, fields.names, **how)
+    return rows.where("reject is null").drop("reject").withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in fields})
+
+
+def enveloped_rejects(spark: SparkSession, path: str | Sequence[str], schema: str, name: str = "source", **how) -> DataFrame:
+    """The records that do not fit, by date of origin; with the others they add up to the files' records."""
     columns = spark.createDataFrame([], schema).columns
-    fields = rf'(?:"(?:[^"]|"")*"|[^{delimiter}"]*)'
-    shape = "^" + delimiter.join([fields] * len(columns)) + "$"
-    lines = spark.read.text(path).select("value", date_from_name(origin_name(by)).alias(name))
-    data = lines.where(F.col("value").rlike(shape))
-    if has_header:
-        data = data.where(F.col("value") != F.lit(delimiter.join(columns)))
-    options = {"sep": delimiter, "escape": '"', "mode": "PERMISSIVE"}
-    return data.select(F.from_csv("value", schema, options).alias("_r"), name).select("_r.*", name)
+    return enveloped_records(spark, path, columns, name=name, **how).where("reject is not null").select(name, "reject")
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], date: Column | None = None,
@@ -56,29 +74,34 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str], date: Column |
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*", changed_after: str | None = None) -> DataFrame:
-    """Path, name, type, size, modification time and source date of files; contents are not read."""
+    """Path, name, type, size, modification time and source date of files; contents are not read.
+
+    The source key is the whole folder path below the root, '' for files in the root itself.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     if changed_after:
         reader = reader.option("modifiedAfter", changed_after)
     name = F.element_at(F.split("path", "/"), -1)
+    inside = F.regexp_replace("path", "^.*?" + re.escape(re.sub("^[a-z0-9]+:/*(?=/)", "", root).rstrip("/")) + "/", "")
+    key = F.when(F.contains(inside, F.lit("/")), F.regexp_replace(inside, "/[^/]*$", "")).otherwise("")
     folder = F.element_at(F.split("path", "/"), -2)
     return reader.load(root).select(
         "path", folder.alias("folder"), name.alias("file_name"),
         F.lower(F.element_at(F.split(name, r"\."), -1)).alias("file_type"),
-        F.substring(name, 1, 4).alias("source_key"), date_from_name(name).alias("source_date"),
+        key.alias("source_key"), date_from_name(name).alias("source_date"),
         F.col("modificationTime").alias("modified"), "length",
     )
 
 
 def with_source_facts(files: DataFrame, sources: DataFrame) -> DataFrame:
-    """Add source name, priority and write mode from a table keyed by the start of the file name."""
+    """Add source name, priority and write mode from a table keyed by the folder path below the root."""
     return files.join(sources, "source_key", "left")
 
 
 def newest_per_folder(files: DataFrame) -> DataFrame:
-    """The newest file of each folder, an aggregate."""
-    pick = F.max_by(F.struct("path", "file_name", "modified"), F.struct("modified", "path"))
-    return files.groupBy("folder").agg(pick.alias("_f")).select("folder", "_f.*")
+    """The newest file of each folder path, an aggregate."""
+    pick = F.max_by(F.struct("folder", "path", "file_name", "modified"), F.struct("modified", "path"))
+    return files.groupBy("source_key").agg(pick.alias("_f")).select("source_key", "_f.*")
 
 
 def column_inventory(spark: SparkSession, files: Mapping[str, str], fmt: str = "csv") -> DataFrame:

@@ -15,12 +15,6 @@ def read(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -
     return spark.read.format(fmt).options(**options).load(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan of few unsplittable files over all cores; one with enough splits is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def expose(spark: SparkSession, frames: Mapping[str, DataFrame]) -> None:
     """Give tables of other layers names of their own in this session."""
     for name, df in frames.items():

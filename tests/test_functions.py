@@ -151,10 +151,10 @@ def test_age_falls_back_and_stops_at_zero(spark):
 
 def test_names(spark):
     df = spark.createDataFrame([(1, 2)], "`a  b` int, `c?` int")
-    assert names.normalize_names(df, "underscore").columns == ["a_b", "c?"]
-    assert names.normalize_names(df, "title").columns == ["A_B", "C?"]
+    assert names.normalize_names(df).columns == ["a_b", "c?"]
+    assert names.normalize_names(df, names.Naming(title=True, drop="?")).columns == ["A_B", "C"]
     with pytest.raises(ValueError):
-        names.normalize_names(spark.createDataFrame([(1, 2)], "`a b` int, `a_b` int"), "underscore")
+        names.normalize_names(spark.createDataFrame([(1, 2)], "`a b` int, `a_b` int"))
     assert names.to_front(spark.createDataFrame([(1, 2, 3)], "z int, b int, a int"), ["b", "none"]).columns == ["b", "a", "z"]
 
 

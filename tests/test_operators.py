@@ -169,9 +169,37 @@ def test_compare_names_and_samples(spark):
     a = spark.createDataFrame([(1, "x", D(2024, 1, 1)), (2, "y", D(2024, 1, 1))], "k int, v string, d date")
     b = spark.createDataFrame([(1, "x", D(2024, 1, 1)), (2, "z", D(2024, 1, 1))], "k long, v string, d date")
     assert rows(compare.column_names(a, b).where("result = 'Failed'"), "column") == [("k",)]
-    report = compare.hash_reconcile(a, b, "d", ["k", "v"])
-    assert rows(report, "only_1", "only_2", "identical") == [(1, 1, False)]
-    assert rows(compare.sample_rows(a, ["k", "v"], report, "sample_1"), "k", "v") == [(2, "y")]
+    report = compare.hash_reconcile(a, b, "d", ["k", "v"], ["k", "v"])
+    assert rows(report, "only_1", "only_2", "keys_1", "keys_2", "identical") == [(1, 1, "2|y", "2|z", False)]
+    assert rows(compare.unmatched_rows(a, b, ["k", "v"]), "k", "v") == [(2, "y")]
+
+
+def test_compare_without_text_or_numbers(spark):
+    a = spark.createDataFrame([(D(2024, 1, 1),)], "d date")
+    assert rows(compare.failures(compare.suite(a, a))) == []
+
+
+def test_coerce_by_whole_name_parts(spark):
+    df = spark.createDataFrame([("12", "x", "paid in full", "2024-01-05", "soon", "1,5", "7"), ("13", "y", None, None, "2024-01-05", None, "n")],
+                               "candidate_id string, amount_type string, paid string, load_date string, updateDate string, `paid amount` string, age string")
+    got = quality.coerce_by_name(df)
+    assert [f.dataType.simpleString() for f in got.schema] == ["string", "string", "string", "date", "string", "double", "int"]
+    assert rows(got, "amount_type", "paid", "updateDate") == [("x", "paid in full", "soon"), ("y", None, "2024-01-05")]
+
+
+def test_depth_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(6)], "source string, target string")
+    assert dict(map(tuple, quality.lineage_depth(edges).collect()))["n6"] == 6
+
+
+def test_history_keeps_what_it_cannot_name(spark):
+    from lakeloom.operators.history import versions_of
+
+    changes = spark.createDataFrame([("p", None, D(2024, 1, 1), "upsert", "1"), (None, None, D(2024, 1, 1), "upsert", "2"), (None, None, D(2024, 1, 1), None, "3"),
+                                     (None, "a", D(2024, 1, 1), None, "5"), (None, "a", D(2024, 1, 1), None, "0")],
+                                    "person string, id string, day date, op string, v string")
+    for order in (changes, changes.orderBy("v")):
+        assert rows(versions_of(order, "person", "id", "day", "op"), "id", "v") == [("a", "0"), (None, "1"), (None, "2"), (None, "3")]
 
 
 def test_lexicon(spark):

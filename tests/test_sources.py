@@ -51,7 +51,7 @@ def test_listing_and_inventory(spark, folder):
     put(f"{folder}/x/CL90_20240106.csv", "a,b\n1,2\n")
     os.utime(f"{folder}/x/CL90_20240106.csv", (2_000_000_000, 2_000_000_000))
     listing = files.list_files(spark, folder, "*.csv")
-    sources = spark.createDataFrame([("CL90", "claims", 1, "append")], "source_key string, source string, priority int, write_mode string")
+    sources = spark.createDataFrame([("x", "claims", 1, "append")], "source_key string, source string, priority int, write_mode string")
     assert rows(files.with_source_facts(listing, sources), "file_type", "source", "priority") == [("csv", "claims", 1)] * 2
     assert rows(files.newest_per_folder(listing), "file_name") == [("CL90_20240106.csv",)]
     assert files.list_files(spark, folder, "*.csv", changed_after="2030-01-01T00:00:00").count() == 1
@@ -106,3 +106,26 @@ def test_appending_stream_reads_each_file_once(spark, folder):
         spark.range(day * 10).write.mode("append").parquet(f"{folder}/in")
         jobs.append_to(jobs.new_files(spark, f"{folder}/in", "id long"), f"{folder}/out", f"{folder}/ck").awaitTermination()
     assert spark.read.parquet(f"{folder}/out").count() == 30
+
+
+def test_listing_keeps_the_whole_folder_path(spark, folder):
+    for name in ("a/claims/x.csv", "b/claims/x.csv", "claims90_1.csv", "claims_1.csv"):
+        put(f"{folder}/{name}", "a\n1\n")
+    listing = files.list_files(spark, folder, "*.csv")
+    assert rows(listing, "source_key", "file_name") == sorted([("a/claims", "x.csv"), ("b/claims", "x.csv"), ("", "claims90_1.csv"), ("", "claims_1.csv")], key=str)
+    assert len(rows(files.newest_per_folder(listing))) == 3
+
+
+def test_contract_finds_columns_by_header(spark, folder):
+    put(f"{folder}/a.csv", "b,a\n1,2\n")
+    how = Contract("t", "a string, b string", "a string, b int")
+    assert rows(how.shape(how.read(spark, f"{folder}/a.csv"))) == [("2", 1)]
+    with pytest.raises(ValueError):
+        Contract("t", "a string, c string", "a string").read(spark, f"{folder}/a.csv")
+
+
+def test_enveloped_rejects_are_counted(spark, folder):
+    put(f"{folder}/d_20240105.csv", "REPORT,1,2\nx,y,z\n1,a,b\n2,a\n3,a,b,c\nEND,9,9\n")
+    schema = "id int, k string, v string"
+    assert rows(files.read_enveloped(spark, folder, schema), "id") == [(1,)]
+    assert rows(files.enveloped_rejects(spark, folder, schema), "reject") == [("2,a",), ("3,a,b,c",)]

@@ -15,8 +15,8 @@ M = "decimal(18,2)"
 def _raw_claims(t: Tables):
     """Line items of an order as claims: member = customer, provider = supplier, codes = parts."""
     places = F.concat(F.char(c("c_nationkey") + 65), c("c_nationkey") % 10, F.lit("A 1B2"))
-    orders = t.wide("orders").join(t.customer, c("o_custkey") == c("c_custkey"))
-    lines = t.wide("lineitem").join(orders, c("l_orderkey") == c("o_orderkey")).join(t.supplier, c("l_suppkey") == c("s_suppkey"))
+    orders = t.orders.join(t.customer, c("o_custkey") == c("c_custkey"))
+    lines = t.lineitem.join(orders, c("l_orderkey") == c("o_orderkey")).join(t.supplier, c("l_suppkey") == c("s_suppkey"))
     text = lambda n: c(n).cast("string")
     return lines.select(
         F.concat(F.date_format("o_orderdate", "ddMMyy"), F.lit("-"), "l_orderkey", F.lit("-"), "l_linenumber", F.lit("-"), "l_partkey").alias("reference"),
@@ -73,8 +73,8 @@ def claims_silver(t: Tables):
 SELECT c.*, CASE WHEN kind <> 'N' THEN l_quantity END AS q, l_tax AS tax FROM ({CLAIMS.replace('SELECT strftime', 'SELECT l_quantity, l_tax, strftime', 1)}) c)""", text=["claim_date"])
 def funding_silver(t: Tables):
     places = F.concat(F.char(c("c_nationkey") + 65), c("c_nationkey") % 10, F.lit("A 1B2"))
-    orders = t.wide("orders").join(t.customer, c("o_custkey") == c("c_custkey"))
-    raw = t.wide("lineitem").join(orders, c("l_orderkey") == c("o_orderkey")).select(
+    orders = t.orders.join(t.customer, c("o_custkey") == c("c_custkey"))
+    raw = t.lineitem.join(orders, c("l_orderkey") == c("o_orderkey")).select(
         c("l_suppkey").cast("string").alias("provider"),
         F.concat(F.date_format("o_orderdate", "ddMMyy"), F.lit("-"), "l_orderkey", F.lit("-"), "l_linenumber", F.lit("-"), "l_partkey").alias("reference"),
         places.alias("member_postal"), F.when(c("l_returnflag") != "N", c("l_quantity")).alias("q"), c("l_tax").alias("tax"))
@@ -358,7 +358,7 @@ def clean_for_comparison(t: Tables):
         F.concat(F.lit(" "), "o_orderkey", F.lit(".0")).alias("order  id"), F.when(c("o_orderstatus") == "O", "n/a").otherwise(c("o_orderstatus")).alias("order status"),
         F.when(p == "5-LOW", "null").otherwise(F.format_number(F.floor("o_totalprice"), 0)).alias("price"), F.when(p == "2-HIGH", "0").otherwise("5").alias("fee"), F.lit("x").alias("junk"))
     raw = raw.where(c("order status") != "P")
-    how = Cleaning(style="collapse", renames={"order id": "id", "order status": "status"}, melt_ids=["id", "status"], melt_values=["price", "fee"], pad={"id": 9},
+    how = Cleaning(renames={"order id": "id", "order status": "status"}, melt_ids=["id", "status"], melt_values=["price", "fee"], pad={"id": 9},
                    values={"status": {"F": "Final"}}, unknown={"status": "Unknown"}, types={"amount": "double"}, blacklist={"status": ["WRITEOFF"]}, drop=["junk"])
     return clean(raw, how)
 

@@ -170,10 +170,9 @@ def compare_missing(t: Tables):
     return compare.missing_values(*_pair(t))
 
 
-@query(PAIR + "SELECT *, CASE WHEN distinct_1 = distinct_2 THEN 'Passed' ELSE 'Failed' END AS result FROM ("
-       + " UNION ALL ".join(f"""SELECT '{x}' AS "column", (SELECT count(DISTINCT {x}) FROM a) AS distinct_1, (SELECT count(DISTINCT {x}) FROM b) AS distinct_2,
-       (SELECT CASE WHEN count(DISTINCT {x}) BETWEEN 1 AND 100 THEN array_to_string(list_sort(list(DISTINCT CAST({x} AS VARCHAR))), ', ') END FROM a) AS values_1,
-       (SELECT CASE WHEN count(DISTINCT {x}) BETWEEN 1 AND 100 THEN array_to_string(list_sort(list(DISTINCT CAST({x} AS VARCHAR))), ', ') END FROM b) AS values_2""" for x in PAIR_COLUMNS) + ")")
+@query(PAIR + """SELECT "column", value, CAST(sum(l) AS BIGINT) AS copies_1, CAST(sum(1 - l) AS BIGINT) AS copies_2 FROM (""" + " UNION ALL ".join(
+    f"""SELECT '{x}' AS "column", CAST({x} AS VARCHAR) AS value, {side} AS l FROM {name}""" for x in PAIR_COLUMNS for name, side in (("a", 1), ("b", 0)))
+    + """) WHERE value IS NOT NULL GROUP BY "column", value""")
 def compare_distinct(t: Tables):
     return compare.distinct_values(*_pair(t))
 
@@ -234,12 +233,13 @@ db AS (SELECT b.*, load FROM b JOIN m USING (o_orderkey) WHERE load <> DATE '199
 """
 
 
-@query(DATED + """, h AS (SELECT load, '=' || o_orderkey || chr(31) || coalesce('=' || o_orderstatus, '0') || chr(31) || '=' || o_orderpriority AS h, l FROM (SELECT *, 1 AS l FROM da UNION ALL SELECT *, 0 FROM db)),
-g AS (SELECT load, md5(h) AS h, max(l) AS x, max(1 - l) AS y FROM h GROUP BY ALL)
-SELECT load, count(*) FILTER (WHERE y = 0) AS only_1, count(*) FILTER (WHERE x = 0) AS only_2, min(h) FILTER (WHERE y = 0) AS sample_1, min(h) FILTER (WHERE x = 0) AS sample_2,
+@query(DATED + """, h AS (SELECT load, '=' || o_orderkey || chr(31) || coalesce('=' || o_orderstatus, '0') || chr(31) || '=' || o_orderpriority AS h, CAST(o_orderkey AS VARCHAR) AS k, l FROM (SELECT *, 1 AS l FROM da UNION ALL SELECT *, 0 FROM db)),
+g AS (SELECT load, md5(h) AS h, max(l) AS x, max(1 - l) AS y, min(k) AS k FROM h GROUP BY ALL)
+SELECT load, count(*) FILTER (WHERE y = 0) AS only_1, count(*) FILTER (WHERE x = 0) AS only_2,
+  coalesce(array_to_string((list(k ORDER BY h) FILTER (WHERE y = 0))[:2], ', '), '') AS keys_1, coalesce(array_to_string((list(k ORDER BY h) FILTER (WHERE x = 0))[:2], ', '), '') AS keys_2,
   count(*) FILTER (WHERE x = 0 OR y = 0) = 0 AS identical FROM g GROUP BY load""", text=["load"])
 def hash_reconcile(t: Tables):
-    return compare.hash_reconcile(*_dated_pair(t), "load", ["o_orderkey", "o_orderstatus", "o_orderpriority"])
+    return compare.hash_reconcile(*_dated_pair(t), "load", ["o_orderkey", "o_orderstatus", "o_orderpriority"], ["o_orderkey"])
 
 
 @query(DATED + """, g AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, amount, member, load, sum(l) AS x, sum(1 - l) AS y FROM (SELECT *, 1 AS l FROM da UNION ALL SELECT *, 0 FROM db) GROUP BY ALL)

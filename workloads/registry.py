@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.session import tune
-from lakeloom.sources.tables import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,10 +22,6 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
-    def wide(self, name: str) -> DataFrame:
-        """A table on whose rows much work is done: spread over all cores if it is one small file."""
-        return spread(self.spark.read.parquet(self.path(name)))
-
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 

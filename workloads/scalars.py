@@ -394,14 +394,14 @@ def fiscal_years(t: Tables):
 # ---- names ----
 
 @query("""
-SELECT c_custkey AS Customer_Key, c_name AS "Name_of_customer", c_mktsegment AS segment_part FROM customer""")
+SELECT c_custkey AS Customer_Key, c_name AS "_name_of_customer", c_mktsegment AS segment_part FROM customer""")
 def clean_names(t: Tables):
-    raw = t.customer.select(c("c_custkey").alias("customer  key"), c("c_name").alias("name of customer?"), c("c_mktsegment").alias("segment x"))
-    titled = names.normalize_names(raw.select("customer  key"), "title").columns
-    bare = names.normalize_names(raw.select("name of customer?"), "bare").columns
-    under = names.normalize_names(names.replace_in_names(raw.select("segment x"), "x", "part"), "underscore").columns
+    raw = t.customer.select(c("c_custkey").alias("customer  key"), c("c_name").alias(" name of\tcustomer?"), c("c_mktsegment").alias("segment - x"))
+    titled = names.normalize_names(raw.select("customer  key"), names.Naming(title=True)).columns
+    bare = names.normalize_names(raw.select(" name of\tcustomer?"), names.Naming(drop="?/-", trim=False, runs=False)).columns
+    under = names.normalize_names(names.replace_in_names(raw.select("segment - x"), "x", "part"), names.Naming(join="-")).columns
     df = raw.toDF(*titled, *bare, *under)
-    return names.rename_present(df, {"name_of_customer": "Name_of_customer", "absent": "x"})
+    return names.rename_present(df, {"absent": "x"})
 
 
 @query("""

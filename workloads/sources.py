@@ -31,7 +31,7 @@ def csv_contract(t: Tables):
     """Quoted fields with line breaks, read by contract and matched by name."""
     path = scratch(t.spark, "orders-csv")
     tables_out = t.orders.select(
-        F.lpad(c("o_orderkey").cast("string"), 9, "0").alias("order key"), c("o_orderstatus").alias("status"),
+        c("o_orderstatus").alias("status"), F.lpad(c("o_orderkey").cast("string"), 9, "0").alias("order key"),
         F.date_format("o_orderdate", "yyyy_MM_dd").alias("placed"), F.concat("o_orderpriority", F.lit('\na "quoted", part')).alias("priority"),
         c("o_totalprice").cast("decimal(18,2)").alias("price"))
     tables_out.write.option("header", "true").option("escape", '"').csv(path)
@@ -39,24 +39,42 @@ def csv_contract(t: Tables):
 
 
 def _drops(t: Tables, label: str) -> str:
-    """Order lines as text files below one dated folder per month, each with a preamble and a trailer line."""
+    """Order lines as one text file below one dated folder per month, each with a preamble and a trailer line; every tenth line has a field too many."""
     path = scratch(t.spark, label)
     month = F.concat(F.lit("orders_"), F.date_format(F.last_day(c("o_orderdate").cast("date")), "yyyy-MM-dd"))
-    rows = t.orders.select(month.alias("drop"), F.concat_ws(
-        ",", "o_orderkey", "o_custkey", F.concat(F.lit('"'), F.format_number("o_totalprice", 2), F.lit('"')), "o_orderpriority").alias("value"))
+    more = F.when(c("o_orderkey") % 10 == 3, ",odd").otherwise("")
+    rows = t.orders.select(month.alias("drop"), F.lit(2).alias("place"), F.concat_ws(
+        ",", "o_orderkey", "o_custkey", F.concat(F.lit('"'), F.format_number("o_totalprice", 2), F.lit('"')), F.concat("o_orderpriority", more)).alias("value"))
     marks = rows.select("drop").distinct().select("drop", F.explode(F.array(
-        F.lit("REPORT OF ORDERS"), F.lit("order_id,member,price,priority"), F.lit("END,123"))).alias("value"))
-    rows.unionByName(marks).hint("rebalance", c("drop")).write.partitionBy("drop").text(path)
+        F.struct(F.lit(0).alias("place"), F.lit("REPORT,OF,ORDERS,1").alias("value")),
+        F.struct(F.lit(1).alias("place"), F.lit("key,customer,amount,priority").alias("value")),
+        F.struct(F.lit(3).alias("place"), F.lit("END,1,2,3").alias("value")))).alias("m")).select("drop", "m.place", "m.value")
+    rows.unionByName(marks).repartition("drop").sortWithinPartitions("drop", "place").drop("place").write.partitionBy("drop").text(path)
     return path
 
 
-@query("""SELECT o_orderkey AS order_id, o_custkey AS member, round(o_totalprice, 2) AS price, o_orderpriority AS priority, last_day(o_orderdate) AS source FROM orders""", text=["source"])
+@query("""SELECT o_orderkey AS order_id, o_custkey AS member, round(o_totalprice, 2) AS price, o_orderpriority AS priority, last_day(o_orderdate) AS source FROM orders WHERE o_orderkey % 10 <> 3""", text=["source"])
 def enveloped_csv(t: Tables):
     path = _drops(t, "enveloped")
     df = files.read_enveloped(t.spark, path, "order_id bigint, member bigint, price string, priority string", by="folder")
     return df.withColumn("price", F.regexp_replace("price", ",", "").cast("double"))
 
 
+@query("""SELECT last_day(o_orderdate) AS source, count(*) FILTER (WHERE o_orderkey % 10 = 3) AS n_rejects, count(*) AS n_records FROM orders GROUP BY ALL""", text=["source"])
+def enveloped_counts(t: Tables):
+    """Rejected lines and all records of each drop: nothing between preamble and trailer is lost."""
+    records = files.enveloped_records(t.spark, _drops(t, "counts"), ["order_id", "member", "price", "priority"], by="folder")
+    return records.groupBy("source").agg(F.count("reject").alias("n_rejects"), F.count(F.lit(1)).alias("n_records"))
+
+
+@query("""SELECT p_partkey, p_name, DATE '2024-03-31' AS source FROM part""", text=["source"])
+def dated_parquet(t: Tables):
+    """Parquet drops read with the date in their folder's name."""
+    path = scratch(t.spark, "parquet")
+    t.part.select("p_partkey", "p_name").write.parquet(f"{path}/part_20240331")
+    return files.read_parquet(t.spark, f"{path}/part_20240331", by="folder")
+
+
 @query("""SELECT last_day(o_orderdate) AS source, count(*) AS n_rows FROM orders GROUP BY ALL""", text=["source"])
 def dated_files(t: Tables):
     """Many dated drops as one frame with the date of each drop, and no trailing sums."""
@@ -67,13 +85,13 @@ def dated_files(t: Tables):
     return raw.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("""SELECT DISTINCT 'drop=orders_' || strftime(last_day(o_orderdate), '%Y-%m-%d') AS folder, last_day(o_orderdate) AS source_date, 'txt' AS file_type, 'part' AS source_key FROM orders""",
+@query("""SELECT DISTINCT 'drop=orders_' || strftime(last_day(o_orderdate), '%Y-%m-%d') AS folder, last_day(o_orderdate) AS source_date, 'txt' AS file_type, 'drop=orders_' || strftime(last_day(o_orderdate), '%Y-%m-%d') AS source_key FROM orders""",
        text=["source_date"])
 def list_files(t: Tables):
     """Newest file of each folder among those changed since long ago."""
     listing = files.list_files(t.spark, _drops(t, "listing"), "*.txt", changed_after="2020-01-01T00:00:00")
-    newest = files.newest_per_folder(listing).select("folder", "path")
-    dated = listing.join(newest, ["folder", "path"])
+    newest = files.newest_per_folder(listing).select("source_key", "path")
+    dated = listing.join(newest, ["source_key", "path"])
     from lakeloom.functions.dates import date_from_name
 
     return dated.select("folder", date_from_name(c("folder")).alias("source_date"), "file_type", "source_key")

@@ -176,30 +176,27 @@ def bucket_dates(t: Tables):
 # ---- calendars over the days the tables span ----
 
 SPAN = "(SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS d FROM orders)"
-ATTRIBUTES = """CAST(year(d) AS INTEGER) AS "year", CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS "month", CAST(day(d) AS INTEGER) AS "day",
-CAST(week(d) AS INTEGER) AS week, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_id, CAST(isodow(d) AS INTEGER) AS day_of_week, CAST(day(d) AS INTEGER) AS day_of_month,
-CAST(dayofyear(d) AS INTEGER) AS day_of_year, CAST((quarter(d) + 2) % 4 + 1 AS INTEGER) AS fiscal_quarter,
-CASE WHEN month(d) >= 4 THEN 'FY' || year(d) || '-' || (year(d) + 1) ELSE 'FY' || (year(d) - 1) || '-' || year(d) END AS fiscal_year,
-CAST(date_trunc('year', d) AS DATE) AS year_start, make_date(year(d), 12, 31) AS year_end, CAST(date_trunc('quarter', d) AS DATE) AS quarter_start,
-CAST(date_trunc('quarter', d) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS quarter_end, CAST(date_trunc('month', d) AS DATE) AS month_start, last_day(d) AS month_end,
-CAST(date_trunc('week', d) AS DATE) AS week_start, CAST(date_trunc('week', d) + INTERVAL 6 DAY AS DATE) AS week_end, strftime(d, '%Y-%m') AS year_month,
-['1st', '2nd', '3rd', '4th'][quarter(d)] || ' quarter' AS quarter_long, 'Q' || quarter(d) AS quarter_short, '0' || quarter(d) AS quarter_text,
-monthname(d) AS month_long, substr(monthname(d), 1, 3) AS month_short, strftime(d, '%m') AS month_text, 'week' || lpad(week(d)::VARCHAR, 2, '0') AS week_long,
-'w' || lpad(week(d)::VARCHAR, 2, '0') AS week_short, lpad(week(d)::VARCHAR, 2, '0') AS week_text, strftime(d, '%d') AS day_text, dayname(d) AS day_long,
-substr(dayname(d), 1, 3) AS day_short, CAST(year(d) - 2023 AS INTEGER) AS year_number"""
-CALENDAR_DATES = ["date", "year_start", "year_end", "quarter_start", "quarter_end", "month_start", "month_end", "week_start", "week_end"]
-
-
-@query(f"""SELECT *, CAST((year_number * 52) + friday_week AS INTEGER) AS friday_week_running,
+ATTRIBUTES = """CAST(year(d) AS INTEGER) AS year_number, CAST(date_trunc('year', d) AS DATE) AS year_first, make_date(year(d), 12, 31) AS year_last, strftime(d, '%Y') AS year_label,
+CAST(quarter(d) AS INTEGER) AS quarter_number, CAST(date_trunc('quarter', d) AS DATE) AS quarter_first, CAST(date_trunc('quarter', d) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS quarter_last,
+'Q' || quarter(d) AS quarter_label, ['1st', '2nd', '3rd', '4th'][quarter(d)] || ' quarter' AS quarter_name,
+CAST(month(d) AS INTEGER) AS month_number, CAST(date_trunc('month', d) AS DATE) AS month_first, last_day(d) AS month_last, strftime(d, '%Y-%m') AS month_label, monthname(d) AS month_name, substr(monthname(d), 1, 3) AS month_abbreviation,
+CAST(week(d) AS INTEGER) AS week_number, CAST(date_trunc('week', d) AS DATE) AS week_first, CAST(date_trunc('week', d) + INTERVAL 6 DAY AS DATE) AS week_last,
+CAST(isodow(d) AS INTEGER) AS weekday_number, dayname(d) AS weekday_name, substr(dayname(d), 1, 3) AS weekday_abbreviation, CAST((quarter(d) + 2) % 4 + 1 AS INTEGER) AS fiscal_quarter,
+CASE WHEN month(d) >= 4 THEN 'FY' || year(d) || '-' || (year(d) + 1) ELSE 'FY' || (year(d) - 1) || '-' || year(d) END AS fiscal_year"""
+CALENDAR_DATES = ["date", *[f"{p}_{e}" for p in ("year", "quarter", "month", "week") for e in ("first", "last")]]
+
+
+@query(f"""SELECT *, CAST((year_number - 1990) * 52 + reporting_week AS INTEGER) AS running_week,
 CASE WHEN holiday = 1 OR isodow("date") >= 6 THEN 0 ELSE 1 END AS working_day FROM (
 SELECT d AS "date", {ATTRIBUTES}, CAST(CASE WHEN dayofyear(d) < 7 AND week(d - CAST((dayofweek(d) + 2) % 7 AS INTEGER)) = 52 THEN 0
-  ELSE week(d - CAST((dayofweek(d) + 2) % 7 AS INTEGER)) END AS INTEGER) AS friday_week,
+  ELSE week(d - CAST((dayofweek(d) + 2) % 7 AS INTEGER)) END AS INTEGER) AS reporting_week,
 CASE WHEN d IN (SELECT CAST(o_orderdate AS DATE) FROM orders GROUP BY ALL HAVING bool_and(o_orderstatus = 'F')) THEN 1 ELSE 0 END AS holiday, coalesce(n, 0) AS n_orders
 FROM {SPAN} LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS od, count(*) AS n FROM orders GROUP BY ALL) ON od = d)""", text=CALENDAR_DATES)
 def calendar_days(t: Tables):
     """Every day the orders span with its attributes, days without open business as holidays, and its orders."""
     orders = _orders(t)
-    days = calendar.attributes(calendar.span_of(orders, "day"))
+    span = calendar.span_of(orders, "day")
+    days = calendar.attributes(span).join(calendar.reporting_weeks(span, 1990), "date")
     closed = orders.groupBy(c("day").alias("date")).agg(F.bool_and(c("o_orderstatus") == "F").alias("all")).where("all").select("date")
     per_day = orders.groupBy(c("day").alias("date")).agg(F.count(F.lit(1)).alias("n"))
     flagged = calendar.with_holidays(days, closed)
