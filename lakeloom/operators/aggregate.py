@@ -54,9 +54,9 @@ def row_sum(cols: Sequence[str]) -> Column:
 
 
 def group_remaining(df: DataFrame, by: Sequence[str], total: Column, used: Column, name: str,
-                    max_group_rows: int | None = None, hot: bool | None = None) -> DataFrame:
+                    hot: bool | None = None) -> DataFrame:
     """Group total less the row's own value."""
-    return group_values(df, by, {"_total": F.sum(total)}, max_group_rows, hot).withColumn(name, F.col("_total") - used).drop("_total")
+    return group_values(df, by, {"_total": F.sum(total)}, hot).withColumn(name, F.col("_total") - used).drop("_total")
 
 
 def pivot_first(df: DataFrame, by: Sequence[str], column: str, value: Column, values: Sequence) -> DataFrame:

@@ -84,15 +84,15 @@ def attach(df: DataFrame, values: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.join(other, match, "left").drop(*names.values())
 
 
-def group_values(df: DataFrame, by: Sequence[str], values: Mapping[str, Column],
-                 max_group_rows: int | None = None, hot: bool | None = None) -> DataFrame:
+def group_values(df: DataFrame, by: Sequence[str], values: Mapping[str, Column], hot: bool | None = None) -> DataFrame:
     """Add per-group aggregates to each row.
 
-    Groups of ordinary size use a window: one shuffle, and none where the rows are already
-    partitioned by these keys. With a huge group the aggregate, which combines before its
-    shuffle, is joined back, so that no task receives the group.
+    The aggregate, which combines before its shuffle, is joined back, so that no task receives a
+    group and nothing is measured; the input is read twice, so costly inputs are best ``cut`` before.
+    A caller who knows that no group is large (``hot=False``) gets a window: one shuffle, and none
+    where the rows are already partitioned by these keys.
     """
-    if is_hot(df, by, max_group_rows) if hot is None else hot:
+    if hot is None or hot:
         return attach(df, df.groupBy(*by).agg(*[c.alias(n) for n, c in values.items()]), by)
     w = Window.partitionBy(*by)
     return df.withColumns({n: c.over(w) for n, c in values.items()})

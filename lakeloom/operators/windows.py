@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions.rules import filled_count
 from lakeloom.operators.aggregate import first_by
 from lakeloom.operators.ordered import Scan, group_values, is_hot, lag_by, scan
+from lakeloom.session import cut
 
 
 def version_suffix(df: DataFrame, id: str, order: Sequence, out: str, max_group_rows: int | None = None, hot: bool | None = None) -> DataFrame:
@@ -47,24 +48,23 @@ def with_filled_count(df: DataFrame, out: str = "filled") -> DataFrame:
 
 
 def latest_value(df: DataFrame, by: Sequence[str], order: Sequence[str], values: Mapping[str, str],
-                 max_group_rows: int | None = None, hot: bool | None = None) -> DataFrame:
+                 hot: bool | None = None) -> DataFrame:
     """Each group's most recent value beside every row; nulls in the order come last."""
     rank = F.struct(*[F.col(c) for c in order])
-    return group_values(df, by, {out: F.max_by(F.col(c), rank) for c, out in values.items()}, max_group_rows, hot)
+    return group_values(df, by, {out: F.max_by(F.col(c), rank) for c, out in values.items()}, hot)
 
 
 def current_flag(df: DataFrame, by: Sequence[str], rank: Sequence[str], out: str,
-                 max_group_rows: int | None = None, hot: bool | None = None) -> DataFrame:
+                 hot: bool | None = None) -> DataFrame:
     """1 on the rows whose rank (compared as values, not as text) is the highest of their group."""
     top = F.struct(*[F.col(c) for c in rank])
-    flagged = group_values(df, by, {"_top": F.max(top)}, max_group_rows, hot)
+    flagged = group_values(df, by, {"_top": F.max(top)}, hot)
     return flagged.withColumn(out, F.when(top == F.col("_top"), 1).otherwise(0)).drop("_top")
 
 
-def latest_rows(df: DataFrame, by: Sequence[str], at: str, max_group_rows: int | None = None,
-                hot: bool | None = None) -> DataFrame:
+def latest_rows(df: DataFrame, by: Sequence[str], at: str, hot: bool | None = None) -> DataFrame:
     """All rows on the latest date of their group."""
-    latest = group_values(df, by, {"_latest": F.max(at)}, max_group_rows, hot)
+    latest = group_values(df, by, {"_latest": F.max(at)}, hot)
     return latest.where(F.col(at).eqNullSafe(F.col("_latest"))).drop("_latest")
 
 
@@ -141,7 +141,10 @@ def outline_rows(spans: DataFrame, document: str, seq: str, size: str, text: str
     def marks(condition: Column) -> Column:
         return F.when(condition, F.struct(number.alias("at"), words.alias("text")))
 
-    hot = is_hot(spans, [document], max_group_rows) if hot is None else hot
+    if hot is None:
+        # the spans are made once: measured, scanned and aggregated from a table
+        spans = cut(spans)
+        hot = is_hot(spans, [document], max_group_rows)
     carried = scan(
         spans, [document], [seq],
         Scan(

@@ -12,12 +12,13 @@ from lakeloom.functions.names import drop_present, keep_and_rename, replace_in_n
 from lakeloom.operators.aggregate import first_by, group_remaining, row_sum
 from lakeloom.operators.filters import differs, drop_all_null
 from lakeloom.operators.joins import lookup, lookup_each, resolve_code
-from lakeloom.operators.ordered import is_hot
+from lakeloom.operators.ordered import attach, is_hot
 from lakeloom.operators.reshape import explode_matches, rows_per_system, split_into, wide_to_long
 from lakeloom.operators.windows import (
     current_flag, fill_forward, group_number, latest_value, resubmissions, running_total, surrogate_key,
     with_filled_count,
 )
+from lakeloom.session import cut
 
 
 def claims_silver(raw: DataFrame, surgical_codes: DataFrame, descriptions: DataFrame, reasons: DataFrame,
@@ -104,7 +105,7 @@ def code_reference(raw: DataFrame, document: str, seq: str, schedules: Sequence[
                    own_specialties: Sequence[str], surgeon: str, valid: tuple[str, str] = ("2024-01-01", "9999-12-31"),
                    max_group_rows: int | None = None) -> DataFrame:
     """Code list from an outline: descriptions carried down, packed codes split, one row per key."""
-    df = drop_all_null(raw, schedules)
+    df = cut(drop_all_null(raw, schedules))
     hot = is_hot(df, [document], max_group_rows)
     df = group_number(df, [document], [seq], "description", "procedure", max_group_rows, hot)
     df = fill_forward(df, [document], [seq], ["description"], max_group_rows=max_group_rows, hot=hot)
@@ -170,16 +171,17 @@ def gold_members(members: DataFrame, tiers: DataFrame, as_of: Column,
     }).drop("filled", "key_rank", "key_number")
 
 
-def gold_claims(claims: DataFrame, tiers: DataFrame, dimension: DataFrame,
-                max_group_rows: int | None = None) -> DataFrame:
+def gold_claims(claims: DataFrame, tiers: DataFrame, dimension: DataFrame) -> DataFrame:
     """Claims with the latest type per provider, latest region and age per member, tier and validity.
 
     claims: claim, provider, site, member, kind, region, age, service_date, claim_date
     """
-    df = latest_value(claims, ["provider"], ["service_date", "claim_date", "kind"], {"kind": "current_kind"},
-                      max_group_rows)
-    df = latest_value(df, ["member"], ["service_date", "claim"], {"region": "latest_region", "age": "latest_age"},
-                      hot=is_hot(claims, ["member"], max_group_rows))
+    facts = cut(claims)  # the facts are joined once; both aggregates read their narrow columns from the table
+    at = ["service_date", "claim_date", "kind"]
+    kinds = facts.groupBy("provider").agg(F.max_by("kind", F.struct(*at)).alias("current_kind"))
+    at = F.struct("service_date", "claim")
+    seen = facts.groupBy("member").agg(F.max_by("region", at).alias("latest_region"), F.max_by("age", at).alias("latest_age"))
+    df = attach(attach(facts, kinds, ["provider"]), seen, ["member"])
     df = df.withColumn("uid", text.key_of(["provider", "site"]))
     df = lookup(df, tiers, {"member": "member"}, ["tier"])
     return lookup(df, dimension, {"uid": "uid"}, ["valid", "active"])
@@ -192,6 +194,7 @@ def gold_estimates(estimates: DataFrame, groups: Sequence[tuple[str, Sequence[st
     estimates: estimate, provider, site, member, code, tooth, surface, indicator, asked, decided,
     paid, reason, remark, region, service_date
     """
+    estimates = cut(estimates)  # the facts are joined once
     df = resubmissions(estimates, ["member", "code", "tooth", "surface"], "asked", "decided",
                        F.col("indicator") == "Required", ["estimate"], max_group_rows=max_group_rows)
     df = df.withColumns({
@@ -199,8 +202,8 @@ def gold_estimates(estimates: DataFrame, groups: Sequence[tuple[str, Sequence[st
         "outcome": rules.outcome_group(F.col("paid"), [F.col("reason"), F.col("remark")], incomplete),
         "uid": text.key_of(["provider", "site"]),
     })
-    df = latest_value(df, ["member"], ["service_date", "estimate"], {"region": "latest_region"},
-                      hot=is_hot(estimates, ["member"], max_group_rows))
+    seen = estimates.groupBy("member").agg(F.max_by("region", F.struct("service_date", "estimate")).alias("latest_region"))
+    df = attach(df, seen, ["member"])
     return lookup(df, tiers, {"member": "member"}, ["tier"])
 
 
@@ -259,14 +262,13 @@ def wide_counts(raw: DataFrame, ids: Sequence[str], counts: Sequence[str], total
     return wide_to_long(drop_present(raw, totals), ids, counts, "kind", "count")
 
 
-def gold_funding(funding: DataFrame, dimension: DataFrame, tiers: DataFrame,
-                 max_group_rows: int | None = None) -> DataFrame:
+def gold_funding(funding: DataFrame, dimension: DataFrame, tiers: DataFrame) -> DataFrame:
     """Funding with site validity, the member's latest region and tier.
 
     funding: claim, provider, site, member, region, claim_date
     """
-    df = funding.withColumn("uid", text.key_of(["provider", "site"]))
-    df = latest_value(df, ["member"], ["claim_date", "claim"], {"region": "latest_region"}, max_group_rows)
+    df = cut(funding.withColumn("uid", text.key_of(["provider", "site"])))  # the facts are joined once
+    df = latest_value(df, ["member"], ["claim_date", "claim"], {"region": "latest_region"})
     df = lookup(df, dimension, {"uid": "uid"}, ["valid", "active"])
     return lookup(df, tiers, {"member": "member"}, ["tier"])
 

@@ -57,9 +57,9 @@ def test_lag_and_group_values(skewed):
     lambda d, n: windows.fill_forward(d, ["k"], ["o", "id"], ["mark"], max_group_rows=n),
     lambda d, n: windows.group_number(d, ["k"], ["o", "id"], "mark", max_group_rows=n),
     lambda d, n: windows.running_total(d, ["k"], ["o", "id"], F.col("v"), max_group_rows=n),
-    lambda d, n: windows.latest_value(d, ["k"], ["o", "id"], {"mark": "m"}, n),
-    lambda d, n: windows.latest_rows(d, ["k"], "o", n),
-    lambda d, n: windows.current_flag(d, ["k"], ["o"], "cur", n),
+    lambda d, n: windows.latest_value(d, ["k"], ["o", "id"], {"mark": "m"}, bool(n)),
+    lambda d, n: windows.latest_rows(d, ["k"], "o", bool(n)),
+    lambda d, n: windows.current_flag(d, ["k"], ["o"], "cur", bool(n)),
     lambda d, n: windows.occurrence(d, ["k"], ["o", "id"], max_group_rows=n),
     lambda d, n: windows.resubmissions(d.withColumn("dec", F.when(F.col("id") % 3 > 0, F.col("o") + 1)), ["k"], "o", "dec", F.col("id") % 2 == 0, ["id"], max_group_rows=n),
     lambda d, n: windows.outline_labels(d, ["k"], ["o", "id"], "mark", "^1", F.col("v") > 2, F.col("v") > 1, n),
