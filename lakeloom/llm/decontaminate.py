@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from functools import cached_property
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +24,9 @@ THRESHOLD = 0.5
 #: Shares of the question's and the answer's shingles that must stand in the text around a passage that retrieved the item.
 OVERLAP = 0.75
 #: Items of a posting block, and words of an index part: the index of one part is what is sent to the tasks.
-BLOCK, PART_WORDS = 8, 1_000_000
+BLOCK, PART_WORDS = 2, 1_000_000
+#: Bounds of (window, block) held at once.
+CELLS = 1 << 20
 
 _TERM = np.zeros(256, dtype=bool)
 _TERM[48:58] = _TERM[97:123] = _TERM[128:] = True
@@ -72,61 +77,73 @@ class Index:
     def _blocks(self) -> int:
         return int(self.pieces.max()) // BLOCK if len(self.pieces) else 0
 
-    def promising(self, window: np.ndarray, row: np.ndarray, n: int, threshold: float) -> np.ndarray:
-        """Windows in which some block's upper bound, the sum of its terms' block maxima, reaches the threshold.
+    def promising(self, window: np.ndarray, row: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+        """(window, block) wherever the block's upper bound, the sum of its terms' block maxima, reaches the threshold.
 
-        ``window`` and ``row`` list each window's distinct known terms; the other windows cannot hold a hit.
+        ``window`` and ``row`` list each window's distinct known terms, by window; no other block can hold a
+        hit. So many windows are bounded at once that all their blocks fit a table of CELLS.
         """
-        size = self.block_last[row] - self.block_first[row]
-        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.block_first[row], size)
         width = self._blocks() + 1
-        cell, at = np.unique(np.repeat(window, size) * width + self.block_of[place], return_inverse=True)
-        bound = np.bincount(at, self.block_max[place], minlength=len(cell))
-        return np.unique(cell[bound >= threshold - 1e-9] // width)
-
-    def search(self, rows: np.ndarray, threshold: float) -> dict[int, float]:
+        step, out = max(1, CELLS // width), []
+        for low in range(0, int(window[-1]) + 1, step):
+            a, z = np.searchsorted(window, (low, low + step))
+            mine = row[a:z]
+            size = self.block_last[mine] - self.block_first[mine]
+            ahead = self.block_first[mine] - (np.cumsum(size) - size)
+            place = np.arange(int(size.sum())) + np.repeat(ahead, size)
+            cell = np.repeat((window[a:z] - low) * width, size) + self.block_of[place]
+            bound = np.bincount(cell, self.block_max[place], minlength=step * width)
+            hit = np.flatnonzero(bound >= threshold - 1e-9)
+            out += zip((low + hit // width).tolist(), (hit % width).tolist())
+        return out
+
+    def search(self, rows: list[int], blocks: list[int], threshold: float) -> dict[int, float]:
         """All pieces whose score for these terms reaches the threshold, by block-max WAND.
 
         Lists are kept in order of their next piece. The first lists whose best impacts together reach the
-        threshold name the pivot; if the block maxima at the pivot cannot reach it, the lists leap behind
-        the nearest block end; else the pivot is scored. Both bounds are safe, so nothing is missed.
+        threshold name the pivot. Where the pivot's block is not among the ``blocks`` whose maxima
+        reach it, the lists leap to the next one that is; else the pivot is scored. Both bounds are safe, so
+        nothing is missed.
         """
-        at = {int(r): int(self.first[r]) for r in rows}
-        found = {}
+        pieces, impacts, last, best = self.lists
+        at = {r: bisect_left(pieces, blocks[0] * BLOCK, int(self.first[r]), last[r]) for r in rows}
+        found, ahead = {}, iter(blocks)
+        block = next(ahead)
         while True:
-            live = sorted((int(self.pieces[p]), r) for r, p in at.items() if p < self.last[r])
+            live = sorted((pieces[p], r) for r, p in at.items() if p < last[r])
             total, pivot = 0.0, None
             for piece, r in live:
-                total += self.best[r]
+                total += best[r]
                 if total >= threshold - 1e-9:
                     pivot = piece
                     break
+            while pivot is not None and block < pivot // BLOCK:
+                block = next(ahead, None)
+                if block is None:
+                    return found
             if pivot is None:
                 return found
-            upto = [r for piece, r in live if piece <= pivot]
-            bound, block = 0.0, pivot // BLOCK
-            for r in upto:
-                lo, hi = self.block_first[r], self.block_last[r]
-                k = lo + int(np.searchsorted(self.block_of[lo:hi], block))
-                if k < hi and self.block_of[k] == block:
-                    bound += self.block_max[k]
-            if bound < threshold - 1e-9:
-                after = min([(block + 1) * BLOCK] + [piece for piece, r in live if piece > pivot])
-                for r in upto:
-                    at[r] = self._seek(r, at[r], max(after, pivot + 1))
+            if block > pivot // BLOCK:
+                for piece, r in live:
+                    if piece < block * BLOCK:
+                        at[r] = bisect_left(pieces, block * BLOCK, at[r], last[r])
                 continue
             score = 0.0
-            for r in upto:
-                p = self._seek(r, at[r], pivot)
-                if p < self.last[r] and self.pieces[p] == pivot:
-                    score += self.impacts[p]
+            for piece, r in live:
+                if piece > pivot:
+                    break
+                p = bisect_left(pieces, pivot, at[r], last[r])
+                if p < last[r] and pieces[p] == pivot:
+                    score += impacts[p]
                     p += 1
                 at[r] = p
             if score >= threshold - 1e-9:
-                found[pivot] = float(score)
+                found[pivot] = score
 
-    def _seek(self, r: int, p: int, piece: int) -> int:
-        return p + int(np.searchsorted(self.pieces[p:self.last[r]], piece))
+    @cached_property
+    def lists(self) -> tuple[list, list, list, list]:
+        """The postings as Python lists, which the search walks one by one."""
+        return self.pieces.tolist(), self.impacts.tolist(), self.last.tolist(), self.best.tolist()
 
 
 def _postings(stride: int):
@@ -163,6 +180,8 @@ def index_parts(items: DataFrame, part_words: int = PART_WORDS, stride: int = ST
     for k in range(parts):
         mine = F.pmod(F.xxhash64("item"), F.lit(parts)) == k
         rows = scored.filter(mine).toArrow()
+        if not rows.num_rows:
+            continue
         texts = {x["item"]: x["text"] for x in items.filter(mine).toArrow().to_pylist()}
         ids, pieces = rows.column("item").to_numpy(), rows.column("piece").to_numpy()
         names, number = np.unique(ids * np.int64(1 << 20) + pieces, return_inverse=True)
@@ -197,8 +216,9 @@ def _found(index: Index, parts: dict, batch: pa.RecordBatch, threshold: float, o
     out = {"doc_id": [], "key": [], "item_id": [], "passage": [], "score": [], "question": [], "answer": []}
     if len(window):
         ids, keys = batch.column(0), batch.column(1)
-        for w in index.promising(window, row, int(count.sum()), threshold):
-            hits = index.search(row[np.searchsorted(window, w):np.searchsorted(window, w, "right")], threshold)
+        for w, blocks in groupby(index.promising(window, row, threshold), key=lambda x: x[0]):
+            mine = row[np.searchsorted(window, w):np.searchsorted(window, w, "right")].tolist()
+            hits = index.search(mine, [b for _, b in blocks], threshold)
             if not hits:
                 continue
             d = int(np.searchsorted(base, w, "right")) - 1
