@@ -106,11 +106,16 @@ def distributions(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def cell_differences(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Cells that differ between rows of the same unique key, and rows found on one side only."""
+    """Cells that differ between rows of the same key, and rows found on one side only.
+
+    Where a key repeats, its rows are paired by their place in the order of their values, so no row meets more
+    than one other.
+    """
     cols = [c for c in shared_columns(a, b) if c not in key]
-    side = lambda df, s: df.select(*key, *[F.col(c).cast("string").alias(f"{c}{s}") for c in cols],
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(*(cols or key)))
+    side = lambda df, s: df.select(*key, nth.alias("_nth"), *[F.col(c).cast("string").alias(f"{c}{s}") for c in cols],
                                    F.lit(True).alias(f"_in{s}"))
-    both = side(a, "_1").join(side(b, "_2"), list(key), "full_outer")
+    both = side(a, "_1").join(side(b, "_2"), [*key, "_nth"], "full_outer")
     lone = F.col("_in_1").isNull() | F.col("_in_2").isNull()
     origin = (F.when(F.col("_in_1").isNull(), F.lit("right_only"))
               .when(F.col("_in_2").isNull(), F.lit("left_only")).otherwise(F.lit("both")))

@@ -75,8 +75,12 @@ def flag_members(df: DataFrame, key: str, packed: str, members: DataFrame, membe
 
 def resolve_code(df: DataFrame, code: str, ref: DataFrame, ref_code: str, stand_ins: DataFrame, stand_in_for: str,
                  stand_in: str, out: str = "resolved", unknown: str = "Unknown") -> DataFrame:
-    """A code in the reference list stands for itself, else its stand-in does, else it is unknown."""
+    """A code in the reference list stands for itself, else its stand-in does, else it is unknown.
+
+    Of several stand-ins for one code the first in their order is taken, so rows never multiply.
+    """
     found = lookup(df, ref.select(ref_code).distinct(), {code: ref_code}, {ref_code: "_listed"})
+    stand_ins = stand_ins.groupBy(stand_in_for).agg(F.min(stand_in).alias(stand_in))
     found = lookup(found, stand_ins, {code: stand_in_for}, {stand_in: "_stand_in"})
     value = F.when(F.col("_listed").isNotNull(), F.col(code)).otherwise(
         F.coalesce(F.col("_stand_in"), F.lit(unknown))

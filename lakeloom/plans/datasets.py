@@ -56,6 +56,41 @@ def claims_silver(raw: DataFrame, surgical_codes: DataFrame, descriptions: DataF
     return lookup(df, reasons, {"remark": "reason"}, {"label": "remark_label"})
 
 
+def estimates_silver(raw: DataFrame, descriptions: DataFrame, reasons: DataFrame, regions: Mapping[str, str],
+                     split_region: str) -> DataFrame:
+    """Typed estimates: padded ids and codes, dates, regions, system, description and reason labels.
+
+    raw: estimate, provider, facility, code, member_postal, provider_region, asked, decided, reason, remark
+    """
+    df = text.map_values(text.trim_strings(raw), ["provider", "facility", "code"], {"N/A": None})
+    df = df.withColumns({
+        "provider": text.zero_pad(F.col("provider"), 9), "facility": text.zero_pad(F.col("facility"), 9),
+        "code": text.zero_pad(F.col("code"), 5),
+        "asked": dates.parse_date(F.col("asked")), "decided": dates.parse_date(F.col("decided")),
+        "member_region": text.region_from_code(F.col("member_postal"), regions),
+        "member_prefix": text.leading(F.col("member_postal")),
+        "system": rules.split_system(F.col("provider_region"), split_region, split_region, "CAN"),
+    })
+    df = lookup(df, descriptions, {"code": "code"}, ["description"])
+    df = lookup(df, reasons, {"reason": "reason"}, {"label": "reason_label"})
+    return lookup(df, reasons, {"remark": "reason"}, {"label": "remark_label"})
+
+
+def reason_codes(raw: DataFrame, code: str, order: Sequence[str], renames: Mapping[str, str]) -> DataFrame:
+    """One row per code, the first along the order, with the renamed columns only."""
+    return keep_and_rename(first_by(raw, [code], order), list(renames), renames)
+
+
+def procedure_descriptions(raw: DataFrame, code: str, renames: Mapping[str, str], length: int = 5) -> DataFrame:
+    """Descriptions by padded code, with the renamed columns only."""
+    return keep_and_rename(raw.withColumn(code, text.zero_pad(F.col(code), length)), list(renames), renames)
+
+
+def administration_cost(raw: DataFrame, parts: Sequence[str], total: str, renames: Mapping[str, str]) -> DataFrame:
+    """Cost rows with the sum of their parts, nulls as 0, and the renamed columns only."""
+    return keep_and_rename(raw.withColumn(total, row_sum(parts)), [*renames, total], renames)
+
+
 def funding_silver(raw: DataFrame, amounts: Sequence[str], regions: Mapping[str, str]) -> DataFrame:
     """Claim funding: padded ids, total of its amounts, claim date, regions and prefixes."""
     return raw.withColumns({

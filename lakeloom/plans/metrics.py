@@ -18,6 +18,8 @@ from lakeloom.operators.joins import lookup
 
 #: Digits after the point that amounts keep; sums are exact to it.
 SCALE = 6
+#: Counted columns carry this in front, so that one can be grouped by, or name a measure, as well.
+_KEY = "_counted_"
 
 
 @dataclass(frozen=True)
@@ -80,7 +82,7 @@ def evaluate(fact: DataFrame, measures: Mapping[str, Measure], by: Sequence[str]
     reductions = []
     for i, (column, names) in enumerate(distinct.items()):
         sums = totals if i == 0 else []
-        reductions.append(([column], names, sums, _reduce(flagged, [*by, column], names, sums)))
+        reductions.append(([_KEY + column], names, sums, _reduce(flagged, [*by, _KEY + column], names, sums)))
     if not distinct:
         reductions.append(([], [], totals, _reduce(flagged, by, [], totals)))
 
@@ -122,7 +124,7 @@ def _inputs(fact: DataFrame, measures: Mapping[str, Measure]) -> list[Column]:
     out = {}
     for name, m in measures.items():
         if isinstance(m, Distinct):
-            out[m.column] = F.col(m.column)
+            out[_KEY + m.column] = F.col(m.column)
             met = F.lit(True) if m.where is None else F.coalesce(m.where, F.lit(False))
             out[name] = F.when(met & F.col(m.column).isNotNull(), F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
         elif isinstance(m, Total):

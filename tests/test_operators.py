@@ -216,3 +216,28 @@ def test_distinct_measures_are_counted_per_level(spark):
     assert got[("y", None, 1)] == (1, 4.0, 0, 0.0)
     assert got[("y", None, 2)] == (0, 4.0, 0, 0.0)
     assert got[("x", "p", 2)] == (1, 1.0, 0, 0.0)
+
+
+def test_cells_of_repeated_keys_meet_once(spark):
+    a = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b")], "k int, v string")
+    b = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (1, "c")], "k int, v string")
+    assert rows(compare.cell_differences(a, b, ["k"]), "origin", "column", "value_1", "value_2") == [
+        ("both", "v", "b", "a"), ("right_only", "*", None, None)]
+
+
+def test_measures_group_by_what_they_count(spark):
+    from lakeloom.plans.metrics import Distinct, Total, evaluate
+    from pyspark.sql import functions as F
+
+    fact = spark.createDataFrame([("x", 0.004)] * 1000 + [("y", 1.0)], "m string, paid double")
+    got = evaluate(fact, {"members": Distinct("m"), "paid": Total(F.col("paid"))}, by=["m"])
+    assert rows(got, "m", "members", "paid") == [("x", 1, 4.0), ("y", 1, 1.0)]
+
+
+def test_one_stand_in_per_code(spark):
+    from lakeloom.operators.joins import resolve_code
+
+    codes = spark.createDataFrame([("a",), ("b",)], "code string")
+    stand_ins = spark.createDataFrame([("b", "z"), ("b", "q")], "code string, dummy string")
+    got = resolve_code(codes, "code", spark.createDataFrame([("a",)], "code string"), "code", stand_ins, "code", "dummy")
+    assert rows(got, "code", "resolved") == [("a", "a"), ("b", "q")]

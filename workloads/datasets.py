@@ -379,3 +379,38 @@ def reconciliation_reports(t: Tables):
     for name in ("row_counts", "statistics", "by_date", "profile_1"):
         out = out.unionByName(read(name))
     return out
+
+
+@query(f"""WITH {REFS} SELECT CAST(l_orderkey AS VARCHAR) AS estimate, lpad(l_suppkey::VARCHAR, 9, '0') AS provider, lpad(l_linenumber::VARCHAR, 9, '0') AS facility,
+  CASE WHEN length(l_partkey::VARCHAR) >= 5 THEN l_partkey::VARCHAR ELSE lpad(l_partkey::VARCHAR, 5, '0') END AS code, chr(65 + s_nationkey) || '1A 2B3' AS member_postal,
+  CASE WHEN s_nationkey < 5 THEN 'QQ' ELSE 'ON' END AS provider_region, l_shipdate::DATE AS asked, l_shipdate::DATE + 9 AS decided, l_returnflag AS reason, l_linestatus AS remark,
+  CASE WHEN s_nationkey < 10 THEN 'low' END AS member_region, chr(65 + s_nationkey) || '1A' AS member_prefix, CASE WHEN s_nationkey < 5 THEN 'QQ' ELSE 'CAN' END AS system,
+  (SELECT p_name FROM pt WHERE pt.code = CASE WHEN length(l_partkey::VARCHAR) >= 5 THEN l_partkey::VARCHAR ELSE lpad(l_partkey::VARCHAR, 5, '0') END) AS description,
+  CASE l_returnflag WHEN 'A' THEN 'agreed' END AS reason_label, CASE l_linestatus WHEN 'A' THEN 'agreed' END AS remark_label
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""", text=["asked", "decided"])
+def estimates_silver(t: Tables):
+    day = lambda n: F.date_format(n, "yyyy-MM-dd")
+    raw = t.lineitem.join(t.supplier, c("l_suppkey") == c("s_suppkey")).select(
+        c("l_orderkey").cast("string").alias("estimate"), F.concat(F.lit(" "), "l_suppkey").alias("provider"), c("l_linenumber").cast("string").alias("facility"),
+        c("l_partkey").cast("string").alias("code"), F.concat(F.char(c("s_nationkey") + 65), F.lit("1A 2B3")).alias("member_postal"),
+        F.when(c("s_nationkey") < 5, "QQ").otherwise("ON").alias("provider_region"), day("l_shipdate").alias("asked"), day(F.date_add(c("l_shipdate").cast("date"), 9)).alias("decided"),
+        c("l_returnflag").alias("reason"), c("l_linestatus").alias("remark"))
+    names_ = t.part.select(F.when(F.length(c("p_partkey").cast("string")) >= 5, c("p_partkey").cast("string")).otherwise(F.lpad(c("p_partkey").cast("string"), 5, "0")).alias("code"), c("p_name").alias("description"))
+    reasons = t.spark.createDataFrame([("A", "agreed")], "reason string, label string")
+    return datasets.estimates_silver(raw, names_, reasons, {chr(65 + i): "low" for i in range(10)}, "QQ")
+
+
+@query("""SELECT o_orderpriority AS reason_code, arg_min(o_orderstatus, (o_orderdate, o_orderkey)) AS label FROM orders GROUP BY ALL""")
+def reason_codes(t: Tables):
+    return datasets.reason_codes(t.orders, "o_orderpriority", ["o_orderdate", "o_orderkey"], {"o_orderpriority": "reason_code", "o_orderstatus": "label"})
+
+
+@query("""SELECT CASE WHEN length(p_partkey::VARCHAR) >= 5 THEN p_partkey::VARCHAR ELSE lpad(p_partkey::VARCHAR, 5, '0') END AS code, p_name AS description FROM part""")
+def procedure_descriptions(t: Tables):
+    return datasets.procedure_descriptions(t.part.withColumn("p_partkey", c("p_partkey").cast("string")), "p_partkey", {"p_partkey": "code", "p_name": "description"})
+
+
+@query("""SELECT c_custkey AS account, CAST(coalesce(CASE WHEN c_acctbal > 0 THEN c_nationkey END, 0) + c_nationkey + c_custkey AS BIGINT) AS cost FROM customer""")
+def administration_cost(t: Tables):
+    raw = t.customer.select("c_custkey", F.when(c("c_acctbal") > 0, c("c_nationkey").cast("long")).alias("fixed"), c("c_nationkey").cast("long").alias("staff"), c("c_custkey").alias("rent"))
+    return datasets.administration_cost(raw, ["fixed", "staff", "rent"], "cost", {"c_custkey": "account"})

@@ -266,3 +266,30 @@ def compare_suite(t: Tables):
 def compare_equal(t: Tables):
     a, _ = _pair(t)
     return compare.result_counts(compare.suite(a, a.select(*reversed(a.columns))))
+
+
+@query("""SELECT * FROM (VALUES ('amount', 'double', 'double', 'Passed'), ('member', 'bigint', 'bigint', 'Passed'), ('o_orderkey', 'bigint', 'bigint', 'Passed'),
+  ('o_orderpriority', 'string', 'string', 'Passed'), ('o_orderstatus', 'string', NULL, 'Failed'), ('status', NULL, 'string', 'Failed')) v("column", type_1, type_2, result)""")
+def compare_names(t: Tables):
+    a, b = _pair(t)
+    return compare.column_names(a, b.withColumnRenamed("o_orderstatus", "status"))
+
+
+@query("""WITH i AS (SELECT 'orders' AS t, column_name AS c FROM (DESCRIBE orders) UNION ALL SELECT 'nation', column_name FROM (DESCRIBE nation))
+SELECT t AS table_name, c AS column_name, CASE WHEN c LIKE '%key' THEN 'documented' ELSE 'not in dictionary' END AS status FROM i UNION ALL SELECT 'orders', 'o_channel', 'not in files'""")
+def lexicon(t: Tables):
+    """Columns of table files, read from their footers, against a dictionary that knows the keys."""
+    from lakeloom.sources import files
+
+    found = files.column_inventory(t.spark, {n: t.path(n) for n in ("orders", "nation")}, "parquet")
+    known = found.where("column_name like '%key'").select("table_name", "column_name", F.lit("a key").alias("meaning"))
+    known = known.unionByName(t.spark.createDataFrame([("orders", "o_channel", "gone")], "table_name string, column_name string, meaning string"))
+    return quality.lexicon(found, known).select("table_name", "column_name", "status")
+
+
+@query(PAIR + """SELECT o_orderkey, o_orderstatus, o_orderpriority, amount, member FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.o_orderkey = a.o_orderkey
+AND b.o_orderstatus IS NOT DISTINCT FROM a.o_orderstatus AND b.o_orderpriority = a.o_orderpriority)""")
+def unmatched_rows(t: Tables):
+    """Whole rows behind unmatched hashes, joined on the hash."""
+    a, b = _pair(t)
+    return compare.unmatched_rows(a, b, ["o_orderkey", "o_orderstatus", "o_orderpriority"])
