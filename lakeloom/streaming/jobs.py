@@ -5,6 +5,8 @@ Every job takes a checkpoint folder, so that a restart continues where it stoppe
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,17 +41,28 @@ def append_to(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -
     )
 
 
-def overwrite_each(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
-    """Replace a result table by the complete result after each batch."""
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(path)
+def update_each(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
+    """Write the rows each batch changes below its number, and only those.
+
+    State of windows behind the watermark is dropped. A batch retried after a failure overwrites its own rows.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch={number}")
 
     return (
-        df.writeStream.outputMode("complete").foreachBatch(write)
+        df.writeStream.outputMode("update").foreachBatch(write)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
+def newest_values(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet") -> DataFrame:
+    """The latest row of each key of a table written by ``update_each``; readers never miss it meanwhile."""
+    rows = spark.read.format(fmt).load(path)
+    values = [c for c in rows.columns if c not in keys and c != "batch"]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v"))
+    return latest.select(*keys, "_v.*")
+
+
 def history_sink(changes: DataFrame, path: str, checkpoint: str, natural: str, id: str, date: str, op: str,
                  fmt: str = "parquet") -> StreamingQuery:
     """Maintain a type-2 history from a stream of change files.
