@@ -17,8 +17,10 @@ from lakeloom.llm import range_coder
 #: Ids of a run: documents are put together until there are so many, and a run's blocks are one row of a file.
 RUN = 1 << 16
 #: Words whose ids a task remembers before it forgets them all.
-MEMO = 600_000
+MEMO = 500_000
 _GAP = re.compile("[\n\t\r]")
+#: Letters, single digits and runs of other characters: the tokenizer's own cut for plain ASCII in lower case.
+_ASCII = re.compile("[a-z]+|[0-9]|[^a-z0-9]+")
 _SCHEMA = "part int, run long, tokens long, docs array<long>, lengths array<long>, blocks binary"
 
 
@@ -31,19 +33,29 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
+
+    def _pieces(self, word: str) -> list[str]:
+        """What the tokenizer cuts a word into before its merges: plain ASCII words here, others stay whole."""
+        if word.isascii() and word.isprintable() and "'" not in word and "<|" not in word:
+            return _ASCII.findall(word.lower())
+        return [word]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 16-bit ids of each text, without added special tokens."""
         split = [_GAP.sub(" ", x).split(" ") for x in texts]
         fresh = set().union(*split) - self.words.keys()
         if len(self.words) + len(fresh) > MEMO:
-            self.words = {"": b""}
+            self.words, self.pieces = {"": b""}, {}
             fresh = set().union(*split) - {""}
-        fresh = list(fresh)
-        for i in range(0, len(fresh), 10_000):
-            part = fresh[i:i + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.words[word] = np.array(found.ids, dtype="<u2").tobytes()
+        cut = {x: self._pieces(x) for x in fresh}
+        new = list(set().union(*cut.values()) - self.pieces.keys())
+        for i in range(0, len(new), 10_000):
+            part = new[i:i + 10_000]
+            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.pieces[piece] = np.array(found.ids, dtype="<u2").tobytes()
+        for word, pieces in cut.items():
+            self.words[word] = b"".join([self.pieces[x] for x in pieces])
         known = self.words.__getitem__
         return [b"".join(map(known, x)) for x in split]
 
