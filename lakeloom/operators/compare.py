@@ -157,34 +157,54 @@ def unmatched_rows(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame
     return a.withColumn("_h", row_hash(cols)).join(other, "_h", "left_anti").drop("_h")
 
 
-def suite(a: DataFrame, b: DataFrame) -> DataFrame:
-    """All checks as one list of metric and result."""
+def grouped(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Whole rows of the shared columns, and their (column, value) cells, with copies per side; each written once.
+
+    The two sides are read once; the cells are counted from the grouped rows.
+    """
     cols = shared_columns(a, b)
-    spark = a.sparkSession
-    names_equal = set(a.columns) == set(b.columns)
-    static = spark.createDataFrame(
-        [("column_count", "Passed" if len(a.columns) == len(b.columns) else "Failed"),
-         ("column_names", "Passed" if names_equal else "Failed")], "metric string, result string")
+    side = lambda df, flag: df.select(*cols).withColumn("_l", F.lit(flag))
+    whole = cut(side(a, 1).unionByName(side(b, 0)).groupBy(*cols).agg(
+        F.sum("_l").alias("copies_1"), F.sum(1 - F.col("_l")).alias("copies_2")))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    each = whole.select(F.explode(cells).alias("_c"), "copies_1", "copies_2").groupBy("_c.column", "_c.value")
+    return whole, cut(each.agg(F.sum("copies_1").alias("copies_1"), F.sum("copies_2").alias("copies_2")))
 
-    def overall(metric: str, report: DataFrame, failed: Column) -> DataFrame:
-        return report.agg(_verdict(F.count_if(failed) == 0).alias("result")).select(F.lit(metric).alias("metric"), "result")
 
-    x, y = a.select(*cols), b.select(*cols)
-    bad = F.col("result") == "Failed"
-    sided = x.withColumn("_l", F.lit(1)).unionByName(y.withColumn("_l", F.lit(0))).groupBy(*cols).agg(
-        F.sum("_l").alias("n_1"), F.sum(1 - F.col("_l")).alias("n_2"))
+def suite(a: DataFrame, b: DataFrame) -> DataFrame:
+    """All checks as one list of metric and result, from two groupings; statistics read both sides once more.
+
+    Checks without a column to work on are left out, and two frames without a shared column give an Error.
+    """
+    spark = a.sparkSession
+    static = [("column_count", "Passed" if len(a.columns) == len(b.columns) else "Failed"),
+              ("column_names", "Passed" if set(a.columns) == set(b.columns) else "Failed")]
+    cols = shared_columns(a, b)
+    if not cols:
+        return spark.createDataFrame([*static, ("rows", "Error")], "metric string, result string")
+    whole, values = grouped(a, b)
+
+    def overall(metric: str, report: DataFrame, same: Column) -> DataFrame:
+        return report.agg(_verdict(F.count_if(~same) == 0).alias("result")).select(F.lit(metric).alias("metric"), "result")
+
+    equal = F.col("copies_1") == F.col("copies_2")
+    none = lambda s: F.sum(F.when(F.col("value").isNull(), F.col(f"copies_{s}")).otherwise(0)).alias(f"none_{s}")
+    filled = values.groupBy("column").agg(none(1), none(2), F.sum("copies_1").alias("all_1"), F.sum("copies_2").alias("all_2"))
+    known = values.where("value is not null")
+    totals = whole.agg(F.sum("copies_1").alias("copies_1"), F.sum("copies_2").alias("copies_2")).na.fill(0)
     parts = [
-        static,
-        overall("row_count", row_counts(a, b), bad),
-        overall("missing_values", missing_values(x, y), bad),
-        overall("distinct_values", distinct_totals(distinct_values(x, y)), bad),
-        overall("duplicates", sided.where("n_1 > 1 or n_2 > 1"), F.greatest("n_1", F.lit(1)) != F.greatest("n_2", F.lit(1))),
-        overall("rows", sided, F.col("n_1") != F.col("n_2")),
+        spark.createDataFrame(static, "metric string, result string"),
+        overall("row_count", totals, equal),
+        overall("missing_values", filled, F.col("none_1") * F.col("all_2") == F.col("none_2") * F.col("all_1")),
+        overall("distinct_values", distinct_totals(known), F.col("result") == "Passed"),
+        overall("duplicates", whole, F.greatest("copies_1", F.lit(1)) == F.greatest("copies_2", F.lit(1))),
+        overall("rows", whole, equal),
     ]
-    if [c for c in text_columns(x) if c in text_columns(y)]:
-        parts.append(overall("distributions", distributions(x, y), bad))
-    if [c for c in numeric_columns(x) if c in numeric_columns(y)]:
-        parts.append(overall("statistics", statistics(x, y), bad))
+    texts = [c for c in text_columns(a) if c in text_columns(b)]
+    if texts:
+        parts.append(overall("distributions", known.where(F.col("column").isin(texts)), equal))
+    if [c for c in numeric_columns(a) if c in numeric_columns(b)]:
+        parts.append(overall("statistics", statistics(a, b), F.col("result") == "Passed"))
     return reduce(lambda p, q: p.unionByName(q), parts)
 
 

@@ -59,6 +59,7 @@ def reports(a: DataFrame, b: DataFrame, by: str) -> dict[str, DataFrame]:
         "metrics": metrics, "failures": compare.failures(metrics), "result_counts": compare.result_counts(metrics),
         "row_counts": compare.row_counts(a, b), "column_names": compare.column_names(a, b),
         "missing_values": compare.missing_values(a, b), "distinct_values": compare.distinct_values(a, b),
+        "distinct_totals": compare.distinct_totals(compare.distinct_values(a, b)),
         "statistics": compare.statistics(a, b), "distributions": compare.distributions(a, b),
         "by_date": compare.compare_by_date(a, b, by), "profile_1": quality.profile(a), "profile_2": quality.profile(b),
     }

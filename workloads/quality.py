@@ -249,15 +249,18 @@ def compare_by_date(t: Tables):
     return compare.compare_by_date(*_dated_pair(t), "load")
 
 
-@query(PAIR + """, r AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, amount, member, sum(l) AS x, sum(1 - l) AS y FROM (SELECT *, 1 AS l FROM a UNION ALL SELECT *, 0 FROM b) GROUP BY ALL)
+SUITE = """, r AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, amount, member, sum(l) AS x, sum(1 - l) AS y FROM (SELECT *, 1 AS l FROM {a} UNION ALL SELECT *, 0 FROM {b}) GROUP BY ALL)
 SELECT 'column_count' AS metric, 'Passed' AS result UNION ALL SELECT 'column_names', 'Passed'
-UNION ALL SELECT 'row_count', CASE WHEN (SELECT count(*) FROM a) = (SELECT count(*) FROM b) THEN 'Passed' ELSE 'Failed' END
-UNION ALL SELECT 'missing_values', CASE WHEN (SELECT count(*) - count(o_orderstatus) FROM b) = 0 THEN 'Passed' ELSE 'Failed' END
-UNION ALL SELECT 'distinct_values', CASE WHEN (SELECT count(DISTINCT o_orderkey) FROM a) = (SELECT count(DISTINCT o_orderkey) FROM b) THEN 'Passed' ELSE 'Failed' END
+UNION ALL SELECT 'row_count', CASE WHEN (SELECT count(*) FROM {a}) = (SELECT count(*) FROM {b}) THEN 'Passed' ELSE 'Failed' END
+UNION ALL SELECT 'missing_values', CASE WHEN (SELECT count(*) - count(o_orderstatus) FROM {b}) = 0 THEN 'Passed' ELSE 'Failed' END
+UNION ALL SELECT 'distinct_values', CASE WHEN (SELECT count(DISTINCT o_orderkey) FROM {a}) = (SELECT count(DISTINCT o_orderkey) FROM {b}) THEN 'Passed' ELSE 'Failed' END
 UNION ALL SELECT 'duplicates', CASE WHEN bool_and(greatest(x, 1) = greatest(y, 1)) THEN 'Passed' ELSE 'Failed' END FROM r
 UNION ALL SELECT 'rows', CASE WHEN bool_and(x = y) THEN 'Passed' ELSE 'Failed' END FROM r
-UNION ALL SELECT 'distributions', CASE WHEN (SELECT count(o_orderstatus) FROM a) = (SELECT count(o_orderstatus) FROM b) THEN 'Passed' ELSE 'Failed' END
-UNION ALL SELECT 'statistics', CASE WHEN (SELECT count(amount) FROM a) = (SELECT count(amount) FROM b) THEN 'Passed' ELSE 'Failed' END""")
+UNION ALL SELECT 'distributions', CASE WHEN (SELECT count(o_orderstatus) FROM {a}) = (SELECT count(o_orderstatus) FROM {b}) THEN 'Passed' ELSE 'Failed' END
+UNION ALL SELECT 'statistics', CASE WHEN (SELECT count(amount) FROM {a}) = (SELECT count(amount) FROM {b}) THEN 'Passed' ELSE 'Failed' END"""
+
+
+@query(PAIR + SUITE.format(a="a", b="b"))
 def compare_suite(t: Tables):
     return compare.suite(*_pair(t))
 
