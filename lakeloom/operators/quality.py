@@ -113,36 +113,27 @@ def related_columns(tables: Mapping[str, DataFrame], name_at_least: float = 0.7,
                     coverage_at_least: float = 0.7) -> DataFrame:
     """Likely foreign keys: similar names, and values mostly contained in the other column.
 
-    Column names decide the candidates. Each candidate column is reduced to its distinct values
-    once, and one grouping by value finds all overlaps, so no two columns are joined row by row.
+    Column names of one type decide the candidate pairs. Each candidate column is reduced to its distinct
+    values once; a value then meets only the columns its own column is paired with.
     """
     spark = next(iter(tables.values())).sparkSession
-    names = [(t, f.name, f.dataType.simpleString()) for t, df in tables.items() for f in df.schema.fields]
-    listed = spark.createDataFrame(
-        [(a[0], a[1], b[0], b[1], _stem(a[1]), _stem(b[1])) for a in names for b in names
-         if a[0] != b[0] and a[2] == b[2]],
-        "child string, child_column string, parent string, parent_column string, s1 string, s2 string",
-    )
-    similar = listed.withColumn("similarity", F.round(name_similarity(F.col("s1"), F.col("s2")), 4)).where(
+    names = [(t, f.name, f.dataType.simpleString(), _stem(f.name)) for t, df in tables.items() for f in df.schema.fields]
+    child = spark.createDataFrame(names, "child string, child_column string, type string, s1 string")
+    parent = child.toDF("parent", "parent_column", "type", "s2")
+    listed = child.join(parent, "type").where("child <> parent").drop("type")
+    similar = cut(listed.withColumn("similarity", F.round(name_similarity(F.col("s1"), F.col("s2")), 4)).where(
         F.col("similarity") >= name_at_least
-    ).drop("s1", "s2")
-    wanted = {(r[0], r[1]) for r in similar.select("child", "child_column").union(
-        similar.select("parent", "parent_column")).collect()}
-    values = None
-    for table, column, _ in names:
+    ).drop("s1", "s2"))
+    wanted = {tuple(r) for r in similar.select("child", "child_column").union(similar.select("parent", "parent_column")).distinct().collect()}
+    values = spark.createDataFrame([], "t string, c string, v string")
+    for table, column, *_ in names:
         if (table, column) in wanted:
-            part = tables[table].select(F.lit(table).alias("t"), F.lit(column).alias("c"),
-                                        F.col(column).cast("string").alias("v")).where("v is not null").distinct()
-            values = part if values is None else values.unionByName(part)
-    # one set of owners per value; there are at most as many owners as candidate columns
-    owners = values.groupBy("v").agg(F.collect_set(F.struct("t", "c")).alias("o"))
-    pairs = owners.select(F.explode("o").alias("a"), "o").select("a", F.explode("o").alias("b"))
-    shared = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_shared"))
+            values = values.unionByName(tables[table].select(F.lit(table).alias("t"), F.lit(column).alias("c"), F.col(column).cast("string").alias("v")))
+    values = cut(values.where("v is not null").distinct())
+    asked = values.toDF("child", "child_column", "v").join(similar.drop("similarity"), ["child", "child_column"])
+    covered = asked.join(values.toDF("parent", "parent_column", "v"), ["parent", "parent_column", "v"]).groupBy(
+        "child", "child_column", "parent", "parent_column").agg(F.count(F.lit(1)).alias("n_shared"))
     size = values.groupBy("t", "c").agg(F.count(F.lit(1)).alias("n_values"))
-    covered = shared.select(
-        F.col("a.t").alias("child"), F.col("a.c").alias("child_column"),
-        F.col("b.t").alias("parent"), F.col("b.c").alias("parent_column"), "n_shared",
-    )
     sized = covered.join(size.withColumnsRenamed({"t": "child", "c": "child_column"}), ["child", "child_column"])
     found = sized.join(similar, ["child", "child_column", "parent", "parent_column"])
     return found.withColumn("coverage", F.col("n_shared") / F.col("n_values")).where(

@@ -190,14 +190,15 @@ def bucket_by_cutoff(df: DataFrame, at: str, cutoffs: DataFrame, cutoff: str, ou
                      max_group_rows: int | None = None, hot: bool | None = None) -> DataFrame:
     """Assign each row the first cut-off on or after its date, null past the last one.
 
-    Dates are made distinct before they meet the cut-offs, so the row volume never enters the scan.
+    Times count as their day. Days are made distinct before they meet the cut-offs, so the scan holds no more
+    rows than the calendar.
     """
-    days = df.select(F.col(at).alias("_day")).where(F.col(at).isNotNull()).distinct()
-    marks = cutoffs.select(F.col(cutoff).alias("_day")).distinct()
+    days = df.select(F.to_date(at).alias("_day")).where("_day is not null").distinct()
+    marks = cutoffs.select(F.to_date(cutoff).alias("_day")).distinct()
     lines = days.withColumn("_kind", F.lit(0)).unionByName(marks.withColumn("_kind", F.lit(1)))
     found = scan(lines, [], ["_day", "_kind"], Scan(next={out: F.when(F.col("_kind") == 1, F.col("_day"))}),
                  max_group_rows, hot).where("_kind = 0").select("_day", out)
-    return df.join(found.withColumnRenamed("_day", at), at, "left").select(*df.columns, out)
+    return df.join(found, F.to_date(df[at]) == found["_day"], "left").select(*[df[c] for c in df.columns], out)
 
 
 def lagged(df: DataFrame, by: Sequence[str], order: Sequence, lags: Mapping[str, tuple[str, int]],

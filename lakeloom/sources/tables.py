@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.session import scratch
 
 
 def read(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
@@ -38,11 +38,23 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def rewrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace a table by a result that reads that table: the result is written aside first."""
-    spark = df.sparkSession
-    aside = scratch(spark, "rewrite")
-    df.write.format(fmt).save(aside)
-    spark.read.format(fmt).load(aside).write.mode("overwrite").format(fmt).save(path)
+    """Replace a table by a result that reads that table: written once beside it, then put in its place.
+
+    The old table is renamed before the new one takes its name and deleted last, so a failure at any time
+    leaves a whole table under one of the three names.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    path = path.rstrip("/")
+    df.write.format(fmt).save(f"{path}.next-{mark}")
+    jvm = spark.sparkContext._jvm
+    place = {n: jvm.org.apache.hadoop.fs.Path(f"{path}{n}") for n in ("", f".next-{mark}", f".old-{mark}")}
+    fs = place[""].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(place[""]) and not fs.rename(place[""], place[f".old-{mark}"]):
+        raise OSError(f"{path} cannot be renamed")
+    if not fs.rename(place[f".next-{mark}"], place[""]):
+        raise OSError(f"{path}.next-{mark} cannot take its place")
+    fs.delete(place[f".old-{mark}"], True)
+    spark.catalog.refreshByPath(path)
 
 
 def save_by_schema(df: DataFrame, table: str, mode: str | None = None, fmt: str = "parquet") -> str:
