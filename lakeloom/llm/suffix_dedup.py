@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.session import cut
@@ -247,9 +247,10 @@ def repeated_spans(docs: DataFrame, *, width: int = WIDTH, anchor: int = ANCHOR,
     level = cut(docs.select("key", "text").mapInArrow(_occurrences(width, anchor), _OCCURRENCE))
     out = None
     for span in (*SPLITS, None):
-        over = Window.partitionBy("group")
-        groups = level.withColumns({"n": F.count(F.lit(1)).over(over), "lo": F.min("piece").over(over), "hi": F.max("piece").over(over)}).filter("n > 1")
-        groups = cut(groups.withColumn("mixed", F.col("lo") != F.col("hi")).drop("n", "lo", "hi"))
+        # counted before the shuffle and joined back, so that no task gathers a large group's runs
+        sizes = level.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("piece").alias("lo"), F.max("piece").alias("hi"))
+        sizes = sizes.filter("n > 1").select("group", (F.col("lo") != F.col("hi")).alias("mixed"))
+        groups = cut(level.join(sizes, "group"))
         plain = groups.filter("NOT mixed").select("key", "bytes", F.col("start").alias("from"), (F.col("start") + F.col("size")).alias("to"))
         first = F.min(F.struct("key", "bytes", "start", "size")).alias("x")
         pieces = groups.filter("mixed").groupBy("group", "piece").agg(F.count(F.lit(1)).alias("n"), first)
