@@ -21,8 +21,6 @@ CELL_BITS, BUFFER = 18, 1 << 20
 #: Costs of the prefix choice, in units of one candidate found once: a verification, a prefix token moved.
 VERIFY_COST, TOKEN_COST = 50.0, 20.0
 MOST_MATCHES = 32
-#: Rounds in which every open document is held against one centre only, before all pairs that are left.
-STAR_ROUNDS = 2
 
 
 def _cell(own: np.ndarray) -> np.ndarray:
@@ -155,44 +153,64 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
     return full.mapInArrow(_verifier(percent), "a long, b long")
 
 
+def asked_matches(n, m, o, p, percent: int = PERCENT):
+    """How many prefix tokens two sets of n and o shingles must share, their prefixes made for m and p matches.
+
+    They must share the lesser of m and p. And all tokens in the global order up to the end of the prefix that ends first
+    are known, so what is left of that set bounds what else they may share: a pair links only if the
+    shared prefix tokens and the larger of the two remainders reach the overlap that the sizes ask for.
+    """
+    overlap = F.ceil((n + o) * percent / F.lit(100.0 + percent) - 1e-9)
+    left = [F.ceil(size * percent / F.lit(100.0) - 1e-9) - more for size, more in ((n, m), (o, p))]
+    return F.greatest(F.least(m, p), overlap - F.greatest(*left))
+
+
 def links(docs: DataFrame, rows: DataFrame, cells: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """(node, label): the components of the sets that link to another one.
 
-    Tokens that only one set has in its prefix are dropped first. Then every set is held against one
-    centre a token, and only against the centre it shares most tokens with, in a few rounds; a token whose
-    sets all came together asks for nothing more. Every pair that is left, in different components, of fitting
-    sizes and with enough shared tokens, is verified in the last round, so no link is missed: two sets
-    that link end in one component, by their own link or by a chain of links.
+    Tokens that only one set has in its prefix are dropped first; ``held`` counts what a set has left, and no pair
+    shares more. A token's centre is its set that holds most: of a group of copies the one least changed.
+    Every set is held against one centre, the one it shares most tokens with, if these are at least half
+    of what a link asks for; a token whose sets all came together asks for nothing more. Every pair that is left,
+    in different components, of fitting sizes, holding and sharing enough tokens, is verified in the last round.
+    So no link is missed: two sets that link end in one component, by their own link or by a chain of links.
     """
     over = Window.partitionBy("token")
     front = prefixes(docs, cells, percent)
     shared = front.withColumns({"lo": F.min("node").over(over), "hi": F.max("node").over(over)}).filter("lo <> hi")
     shared = cut(shared.select("token", "node", "n", "m").dropDuplicates(["token", "node"]))
-    names = shared.select("node").distinct()
-    texts = cut(_texts(docs, rows.join(names, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))))
-    label = names.select("node", F.col("node").alias("label"))
-    edges = None
+    names = cut(shared.groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("held")))
+    label = names.select("node", "held", F.col("node").alias("label"))
+    edges = tried = None
     open_ = shared
-    for k in range(STAR_ROUNDS + 1):
+    fits = F.least("n", "o") * 100 >= F.greatest("n", "o") * percent
+    need = asked_matches(F.col("n"), F.col("m"), F.col("o"), F.col("p"), percent)
+    holds = F.least("held", "has") >= need
+    for last in (False, True):
         marked = open_.join(label, "node")
-        spread = marked.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct("label", "node", "n")).alias("hub")).filter("lo <> hi")
+        hub = F.max(F.struct("held", "label", "node", F.col("n").alias("o"), F.col("m").alias("p"))).alias("hub")
+        spread = marked.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), hub).filter("lo <> hi")
         marked = cut(marked.join(spread.select("token", "hub"), "token"))
-        fits = F.least("n", "o") * 100 >= F.greatest("n", "o") * percent
-        if k < STAR_ROUNDS:
-            asked = marked.withColumn("o", F.col("hub.n")).filter(F.col("label") != F.col("hub.label")).filter(fits)
-            asked = asked.groupBy("node", F.col("hub.node").alias("other")).agg(F.count(F.lit(1)).alias("c"))
-            asked = asked.groupBy("node").agg(F.max_by("other", F.struct("c", "other")).alias("other"))
-            pairs = asked.select(F.col("node").alias("a"), F.col("other").alias("b"))
+        if not last:
+            asked = marked.filter(F.col("label") != F.col("hub.label")).select(
+                "node", "n", "m", "held", F.col("hub.node").alias("other"), "hub.o", "hub.p", F.col("hub.held").alias("has")).filter(fits & holds)
+            asked = asked.groupBy("node", "n", "m", "other", "o", "p").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") * 2 >= need)
+            pairs = asked.groupBy("node").agg(F.max_by("other", F.struct("c", "other")).alias("other"))
         else:
-            one = marked.select("token", "node", "n", "m", "label")
-            two = marked.select("token", F.col("node").alias("other"), F.col("n").alias("o"), F.col("m").alias("p"), F.col("label").alias("rival"))
-            met = one.join(two, "token").filter("node < other AND label <> rival").filter(fits)
-            met = met.groupBy("node", "other").agg(F.count(F.lit(1)).alias("c"), F.least(F.first("m"), F.first("p")).alias("need")).filter("c >= need")
-            pairs = met.select(F.col("node").alias("a"), F.col("other").alias("b"))
-        good = cut(verified(pairs, texts, percent))
+            one = marked.select("token", "node", "n", "m", "held", "label")
+            two = one.toDF("token", "other", "o", "p", "has", "rival")
+            met = one.join(two, "token").filter("node < other AND label <> rival").filter(fits & holds)
+            pairs = met.groupBy("node", "n", "m", "other", "o", "p").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= need)
+        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        tried = cut(pairs)
+        asked = tried.select(F.col("a").alias("node")).unionAll(tried.select(F.col("b").alias("node"))).distinct()
+        texts = cut(_texts(docs, rows.join(asked, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))))
+        good = cut(verified(tried, texts, percent))
         edges = good if edges is None else edges.unionAll(good)
         joined = components(edges)
-        label = cut(names.join(joined, "node", "left").select("node", F.coalesce("label", "node").alias("label")))
+        label = cut(names.join(joined, "node", "left").select("node", "held", F.coalesce("label", "node").alias("label")))
         open_ = marked.select("token", "node", "n", "m")
     return label
 
