@@ -30,7 +30,9 @@ def records(pages: DataFrame, *, id: str = "page_id", url: str = "url", html: st
     body = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(F.col(id).cast("long").alias("id"), F.regexp_replace(F.coalesce(F.col(url), F.lit("")), "[\r\n]", "").alias("url"),
                         body.alias("html"), F.octet_length(body).cast("long").alias("bytes"), F.sha2(body, 256).alias("digest"))
-    first = rows.filter(F.col("bytes") >= shared_bytes).groupBy("digest").agg(F.min("id").alias("first"))
+    # only payloads that several pages share: where these are few, the pages themselves need no shuffle
+    first = rows.filter(F.col("bytes") >= shared_bytes).groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    first = first.filter("n > 1").drop("n")
     rows = rows.join(first, "digest", "left")
     again = (F.col("bytes") >= shared_bytes) & (F.col("id") > F.col("first"))
     name = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(">"))
@@ -54,7 +56,7 @@ def write(pages: DataFrame, path: str, **names) -> None:
 
 
 def chunks(spark: SparkSession, path: str) -> DataFrame:
-    """The archives' bytes cut before every magic, in rows (file, at, size, chunk) by place in the file.
+    """The archives' bytes cut before every magic, in rows (file, block, at, size, chunk); block: the split's start.
 
     Spark's reader cuts the files at the magic, whatever splits they are read in; a first pass adds
     up each split's bytes, which gives every split the place at which it starts. ``at`` is where the magic
@@ -68,7 +70,7 @@ def chunks(spark: SparkSession, path: str) -> DataFrame:
     placed = read.mapInArrow(_placed, "file string, block long, ahead long, chunk string")
     # the reader drops the magic, so a chunk's own one stands right before it: at the end of the chunk ahead
     return placed.join(starts, ["file", "block"]).select(
-        "file", (F.col("start") + F.col("ahead") - len(MAGIC)).alias("at"), F.octet_length("chunk").cast("long").alias("size"), "chunk")
+        "file", "block", (F.col("start") + F.col("ahead") - len(MAGIC)).alias("at"), F.octet_length("chunk").cast("long").alias("size"), "chunk")
 
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +89,7 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def candidates(parts: DataFrame) -> DataFrame:
-    """Rows (file, at, next) of every magic: where its record's successor would stand, if its header says so.
+    """Rows (file, block, at, next) of every magic: where its record's successor would stand, if its header says so.
 
     A magic without a whole header, or with a length that is no number, has no successor.
     """
@@ -95,26 +97,55 @@ def candidates(parts: DataFrame) -> DataFrame:
     length = F.regexp_extract(head, r"(?i)(?:^|\r\n)Content-Length:[ \t]*([0-9]{1,18})[ \t]*(?:\r\n|$)", 1)
     size = F.when(F.contains("chunk", F.lit(RECORD_END)) & (length != ""), length.cast("long"))
     after = F.col("at") + len(MAGIC) + F.octet_length(head) + len(RECORD_END) + size + len(RECORD_END)
-    return parts.select("file", "at", after.alias("next"))
+    return parts.filter("at >= 0").select("file", "block", "at", after.alias("next"))
+
+
+def _exits(rows):
+    """For every candidate of one split the first place outside the split's candidates that its chain leads to."""
+    rows = rows.sort_values("at", ascending=False)
+    known = set(rows["at"])
+    exits: dict[int, int | None] = {}
+    for at, after in zip(rows["at"], rows["next"]):
+        after = None if after is None or after != after else int(after)
+        exits[at] = exits[after] if after in known and after > at else after
+    out = rows[["file", "at"]].copy()
+    out["next"] = [exits[x] for x in rows["at"]]
+    return out.astype({"next": "Int64"})
+
+
+def _walked(rows):
+    """The candidates of one split that its marked ones reach."""
+    after = dict(zip(rows["at"], rows["next"]))
+    found: set[int] = set()
+    for at in rows.loc[rows["entered"].fillna(False).astype(bool), "at"]:
+        while at in after and at not in found:
+            found.add(at)
+            at = after[at]
+    return rows.loc[rows["at"].isin(found), ["file", "at"]]
 
 
 def reachable(marks: DataFrame) -> DataFrame:
     """Rows (file, at) of the candidates that a file's start reaches, by pointer jumping.
 
-    Round by round every candidate's pointer doubles its reach, and what is reached hands the mark on to
-    where its pointer leads; so the rounds are the logarithm of the longest chain. Candidates inside
-    payloads are never reached, for true records step over them.
+    Every task first follows the chains inside its split, so that a candidate points behind the split. Between
+    splits pointers double their reach round by round, and what is reached hands the mark on to
+    where its pointer leads; so the rounds are the logarithm of a file's splits. At last every task walks its
+    split from the marked candidates. Candidates inside payloads are never reached, for true records step over them.
     """
-    jump = cut(marks.join(marks.select(F.col("file"), F.col("at").alias("next")), ["file", "next"], "left_semi").select("file", "at", "next"))
-    known = cut(marks.filter("at = 0").select("file", "at"))
+    exits = cut(marks.groupBy("file", "block").applyInPandas(_exits, "file string, at long, next long"))
+    entries = exits.select("file", F.col("next").alias("at")).filter("at IS NOT NULL").unionAll(exits.filter("at = 0").select("file", "at")).distinct()
+    jump = cut(exits.join(entries, ["file", "at"], "left_semi"))
+    known = jump.filter("at = 0").select("file", "at")
     while True:
-        ahead = known.join(jump, ["file", "at"]).select("file", F.col("next").alias("at")).join(known, ["file", "at"], "left_anti")
-        fresh = cut(ahead)
+        ahead = known.join(jump, ["file", "at"]).select("file", F.col("next").alias("at")).join(jump.select("file", "at"), ["file", "at"])
+        fresh = cut(ahead.join(known, ["file", "at"], "left_anti").distinct())
         if fresh.isEmpty():
-            return known
-        known = cut(known.unionAll(fresh))
+            break
+        known = known.unionAll(fresh)
         far = jump.select("file", F.col("at").alias("next"), F.col("next").alias("to"))
-        jump = cut(jump.join(far, ["file", "next"]).select("file", "at", F.col("to").alias("next")))
+        jump = cut(jump.join(far, ["file", "next"], "left").select("file", "at", F.coalesce("to", "next").alias("next")))
+    entered = marks.join(known.withColumn("entered", F.lit(True)), ["file", "at"], "left")
+    return entered.groupBy("file", "block").applyInPandas(_walked, "file string, at long")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -128,12 +159,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     true = reachable(marks)
     order = Window.partitionBy("file").orderBy("at")
     spans = marks.join(true.withColumn("reached", F.lit(True)), ["file", "at"], "left")
-    spans = spans.withColumn("owner", F.last(F.when(F.col("reached"), F.col("at")), ignorenulls=True).over(order)).filter("owner IS NOT NULL")
-    shared = spans.filter("reached IS NULL").select("file", "owner").distinct().withColumn("several", F.lit(True))
-    spans = cut(spans.join(shared, ["file", "owner"], "left").select("file", "at", "owner", F.coalesce("several", F.lit(False)).alias("several")))
-    rows = parts.join(spans, ["file", "at"])
-    single = rows.filter("NOT several").select("file", "at", "chunk")
-    several = rows.filter("several").groupBy("file", F.col("owner").alias("at")).agg(
+    spans = cut(spans.select("file", "at", "reached", F.last(F.when(F.col("reached"), F.col("at")), ignorenulls=True).over(order).alias("owner")))
+    # the exceptions: chunks that are no record of their own, and the records they belong to
+    inner = spans.filter("reached IS NULL")
+    owners = inner.filter("owner IS NOT NULL").select("file", "owner").distinct()
+    odd = cut(inner.select("file", "at", "owner").unionAll(owners.select("file", F.col("owner").alias("at"), "owner")))
+    rows = parts.filter("at >= 0")
+    single = rows.join(odd, ["file", "at"], "left_anti").select("file", "at", "chunk")
+    several = rows.join(odd.filter("owner IS NOT NULL"), ["file", "at"]).groupBy("file", F.col("owner").alias("at")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "chunk"))), lambda x: x["chunk"]), MAGIC).alias("chunk"))
     whole = single.unionAll(several)
     head = F.substring_index("chunk", RECORD_END, 1)
