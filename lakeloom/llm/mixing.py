@@ -110,6 +110,7 @@ def mix(docs: DataFrame, weight: Column, *, domain: Column, lang: str = "lang",
     """
     rows = docs.select(F.col(id).alias("doc_id"), domain.alias("domain"), F.col(lang).alias("lang"), F.col(source).alias("source"),
                        word_count(F.col(text)).alias("tokens"), F.xxhash64(text).alias("text_hash"))
+    rows = cut(rows)  # words are counted once
     leaves = cut(rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens")).withColumn("weight", weight))
     allotted = cut(budgets(leaves, total, max_epochs))
     taken = chosen(rows, allotted, seed=seed, tokens=F.col("tokens"), order=F.xxhash64("doc_id", "text_hash"))
@@ -128,6 +129,7 @@ def apply(docs: DataFrame, weight: Column, *, domain: Column, lang: str = "lang"
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), domain.alias("domain"),
                        F.col(lang).alias("lang"), F.col(source).alias("source"), word_count(F.col(text)).alias("tokens"),
                        F.xxhash64(F.col(id), F.xxhash64(text)).alias("key"))
+    rows = cut(rows)
     leaves = cut(rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens")).withColumn("weight", weight))
     allotted = cut(budgets(leaves, total, max_epochs))
     return chosen(rows, allotted, seed=seed, tokens=F.col("tokens"), order=F.col("key")).select("row.*")
