@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import decontaminate, mixing, ngram_join, quality, sharding
+from lakeloom.llm.workers import find_package
 from lakeloom.session import cut, tune
 
 
@@ -50,7 +51,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark = tune(spark)
+    spark = find_package(tune(spark))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import decontaminate, mixing, ngram_join, quality, sharding, suffix_dedup, token_counts, token_files, url_filters, warc
+from lakeloom.llm.workers import find_package
 from lakeloom.session import scratch, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,7 +19,7 @@ ORACLES: dict[str, str] = {}
 def query(sql: str | None = None):
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark = tune(spark)
+            spark = find_package(tune(spark))
             return fn(spark, lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
         QUERIES[fn.__name__] = run
@@ -175,7 +176,7 @@ def op10_warc(spark, table):
 def op1_token_counts(spark, table):
     import public_tokenizers
 
-    counted = token_counts.prefix_counts(table("documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    counted = token_counts.prefix_counts(table("documents"), public_tokenizers.path("byte_bpe_50k.json"), changes=False)
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > token_counts.LIMIT).alias("over_limit"), "limit_chars")
 
 

@@ -21,8 +21,8 @@ CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 UNITS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 GAP = re.compile(f"[{SPACE}]")
 LIMIT = 1024
-#: Characters split at once, and entries each memo may hold before it is emptied.
-STEP, MEMO = 1 << 20, 400_000
+#: Characters split at once, and entries each memo may hold twice over.
+STEP, MEMO = 1 << 20, 300_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -32,17 +32,19 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printing} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class _Memo(dict):
-    """A dictionary that works out what it lacks and forgets everything when it is full."""
+class Memo(dict):
+    """A dictionary that works out what it lacks. When it is full, it starts anew but still looks into what it held."""
 
     def __init__(self, work, most: int = MEMO):
         super().__init__()
-        self.work, self.most = work, most
+        self.work, self.most, self.old = work, most, {}
 
     def __missing__(self, key):
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.work(key)
+        value = self.old.get(key)
+        value = self[key] = self.work(key) if value is None else value
         return value
 
 
@@ -60,10 +62,11 @@ class Counter:
         self.tokens = {a + b for a, b in self.rank} | {bytes([b]) for b in range(256)}
         self.longest = max(map(len, self.tokens))
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.whole = _Memo(lambda t: self.encode(t) == [t])
-        self.adjacent = _Memo(lambda st: self.encode(st[0] + st[1]) == [st[0], st[1]])
-        self.pieces = _Memo(self.piece)
-        self.units = _Memo(self.steps)
+        self.whole = Memo(lambda t: self.encode(t) == [t])
+        # two tokens that a rule merges never stay side by side
+        self.adjacent = Memo(lambda st: st not in self.rank and self.encode(st[0] + st[1]) == [st[0], st[1]])
+        self.pieces = Memo(self.piece)
+        self.units = Memo(self.steps)
 
     def encode(self, text: bytes) -> list[bytes]:
         """The tokens of a short piece, by merging the pair of lowest rank until none is left."""
@@ -168,20 +171,21 @@ def _counter(path: str) -> Counter:
     return _COUNTERS[path]
 
 
-def prefix_counts(docs: DataFrame, tokenizer: str, *, id: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
+def prefix_counts(docs: DataFrame, tokenizer: str, *, id: str = "doc_id", text: str = "text", limit: int = LIMIT, changes: bool = True) -> DataFrame:
     """One row per input row: doc_id, n_bytes (UTF-8), n_tokens, limit_chars, changes.
 
     ``tokenizer`` is the path of a byte-level tokenizer file, at the same place on all machines. ``changes``
     holds the difference of the token count from each prefix to the next, one little-endian 16-bit integer a
     character: their running sum is the exact count of every prefix. ``limit_chars`` is the longest
-    prefix of at most ``limit`` tokens. Null texts count as empty; other columns are ignored.
+    prefix of at most ``limit`` tokens. Null texts count as empty; other columns are ignored. Without ``changes``
+    the column is null, where the prefixes' counts are not wanted afterwards.
     """
     def run(batches):
         counter = _counter(tokenizer)
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                sizes, totals, chars, changes = [], [], [], []
+                sizes, totals, chars, held = [], [], [], []
                 for value in part.column(1).to_pylist():
                     value = value or ""
                     own = counter.changes(value)
@@ -194,9 +198,9 @@ def prefix_counts(docs: DataFrame, tokenizer: str, *, id: str = "doc_id", text:
                     sizes.append(len(value.encode("utf-8", "surrogatepass")))
                     totals.append(total)
                     chars.append(fits)
-                    changes.append(own)
+                    held.append(own if changes else None)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(totals, pa.int64()),
-                                                  pa.array(chars, pa.int64()), pa.array(changes, pa.large_binary()).cast(pa.binary())],
+                                                  pa.array(chars, pa.int64()), pa.array(held, pa.binary())],
                                                  names=["doc_id", "n_bytes", "n_tokens", "limit_chars", "changes"])
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Callable
 
@@ -13,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm import range_coder
+from lakeloom.llm.token_counts import Memo
 
 #: Ids of a run: documents are put together until there are so many, and a run's blocks are one row of a file.
 RUN = 1 << 16
-#: Words whose ids a task remembers before it forgets them all.
-MEMO = 500_000
+#: Words, and pieces of words, whose ids a task remembers, twice over.
+MEMO = 400_000
 _GAP = re.compile("[\n\t\r]")
 #: Letters, single digits and runs of other characters: the tokenizer's own cut for plain ASCII in lower case.
 _ASCII = re.compile("[a-z]+|[0-9]|[^a-z0-9]+")
@@ -32,32 +34,26 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
+        self.merge = self.tokenizer.model.tokenize
+        self.words, self.pieces = Memo(self._word, MEMO), Memo(self._piece, MEMO)
 
-    def _pieces(self, word: str) -> list[str]:
-        """What the tokenizer cuts a word into before its merges: plain ASCII words here, others stay whole."""
+    def _piece(self, piece: str) -> bytes:
+        return _packed([x.id for x in self.merge(piece)])
+
+    def _word(self, word: str) -> bytes:
+        """Plain ASCII words are cut here and only merged by the library; it gets all others whole."""
         if word.isascii() and word.isprintable() and "'" not in word and "<|" not in word:
-            return _ASCII.findall(word.lower())
-        return [word]
+            return b"".join(map(self.pieces.__getitem__, _ASCII.findall(word.lower())))
+        return _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 16-bit ids of each text, without added special tokens."""
-        split = [_GAP.sub(" ", x).split(" ") for x in texts]
-        fresh = set().union(*split) - self.words.keys()
-        if len(self.words) + len(fresh) > MEMO:
-            self.words, self.pieces = {"": b""}, {}
-            fresh = set().union(*split) - {""}
-        cut = {x: self._pieces(x) for x in fresh}
-        new = list(set().union(*cut.values()) - self.pieces.keys())
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.pieces[piece] = np.array(found.ids, dtype="<u2").tobytes()
-        for word, pieces in cut.items():
-            self.words[word] = b"".join([self.pieces[x] for x in pieces])
         known = self.words.__getitem__
-        return [b"".join(map(known, x)) for x in split]
+        return [b"".join(map(known, _GAP.sub(" ", x).split(" "))) for x in texts]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}H", *ids)
 
 
 _ENCODERS: dict[str, Encoder] = {}
