@@ -30,9 +30,9 @@ def records(pages: DataFrame, *, id: str = "page_id", url: str = "url", html: st
     body = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(F.col(id).cast("long").alias("id"), F.regexp_replace(F.coalesce(F.col(url), F.lit("")), "[\r\n]", "").alias("url"),
                         body.alias("html"), F.octet_length(body).cast("long").alias("bytes"), F.sha2(body, 256).alias("digest"))
-    # only payloads that several pages share: where these are few, the pages themselves need no shuffle
+    # only payloads that several pages share, as a table of known size: where it is small, the pages need no shuffle
     first = rows.filter(F.col("bytes") >= shared_bytes).groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-    first = first.filter("n > 1").drop("n")
+    first = cut(first.filter("n > 1").drop("n"))
     rows = rows.join(first, "digest", "left")
     again = (F.col("bytes") >= shared_bytes) & (F.col("id") > F.col("first"))
     name = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(">"))
