@@ -21,6 +21,8 @@ CELL_BITS, BUFFER = 18, 1 << 20
 #: Costs of the prefix choice, in units of one candidate found once: a verification, a prefix token moved.
 VERIFY_COST, TOKEN_COST = 50.0, 20.0
 MOST_MATCHES = 32
+#: Shingles of a block; two blocks of a component are held against each other in one task.
+BLOCK_SHINGLES = 500_000
 
 
 def _cell(own: np.ndarray) -> np.ndarray:
@@ -232,6 +234,115 @@ def _texts(docs: DataFrame, owners: DataFrame) -> DataFrame:
     return found.join(owners.select("node"), "node").groupBy("node").agg(F.first("text").alias("text"))
 
 
+def _matched(batches, percent: int):
+    """The links of each cell, set after set: the cell's nodes and copies, the place of a set, those of the sets it links to.
+
+    Batches hold (label, i, j, node, block, copies, text), cells one after the other. A cell holds two blocks of a component,
+    or one whose sets are held against each other.
+    """
+    def linked(cell, nodes, blocks, copies, own):
+        order = np.argsort([len(x) for x in own], kind="stable")
+        sets = [own[k] for k in order]
+        nodes, blocks, copies = (np.array(x, dtype=np.int64)[order] for x in (nodes, blocks, copies))
+        sizes = np.array([len(x) for x in sets], dtype=np.int64)
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        tokens = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        mark = np.zeros(int(tokens.max()) + 1, dtype=np.int64)
+        for a in range(len(sets) - 1):
+            # sizes ascend: only the next sets up to the largest that can link
+            end = int(np.searchsorted(sizes, sizes[a] * 100 // percent, "right"))
+            if end <= a + 1:
+                continue
+            mine = tokens[starts[a]:starts[a + 1]]
+            mark[mine] = 1
+            met = np.add.reduceat(mark[tokens[starts[a + 1]:starts[end]]], starts[a + 1:end] - starts[a + 1])
+            mark[mine] = 0
+            good = 100 * met >= percent * (sizes[a] + sizes[a + 1:end] - met)
+            if cell[1] != cell[2]:
+                good &= blocks[a + 1:end] != blocks[a]
+            if good.any():
+                yield nodes, copies, a, np.flatnonzero(good) + a + 1
+
+    cell, held = None, ([], [], [], [])
+    for batch in batches:
+        keys = list(zip(*(batch.column(k).to_pylist() for k in range(3))))
+        rest = zip(*(batch.column(k).to_pylist() for k in range(3, 6)), shingles.sets(batch.column(6)))
+        for key, row in zip(keys, rest):
+            if key != cell:
+                if held[0]:
+                    yield from linked(cell, *held)
+                cell, held = key, ([], [], [], [])
+            for column, value in zip(held, row):
+                column.append(value)
+    if held[0]:
+        yield from linked(cell, *held)
+
+
+def _pairs_of(percent: int):
+    def run(batches):
+        out = []
+        for nodes, _, a, bs in _matched(batches, percent):
+            one, two = np.full(len(bs), nodes[a]), nodes[bs]
+            out.append((np.minimum(one, two), np.maximum(one, two)))
+            if sum(len(x) for x, _ in out) > 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["a", "b"])
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["a", "b"])
+    return run
+
+
+def _counts_of(percent: int):
+    def run(batches):
+        now, counts = None, None
+        for nodes, copies, a, bs in _matched(batches, percent):
+            if nodes is not now:
+                if now is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(now), pa.array(counts)], names=["node", "met"])
+                now, counts = nodes, np.zeros(len(nodes), dtype=np.int64)
+            counts[a] += copies[bs].sum()
+            counts[bs] += copies[a]
+        if now is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(now), pa.array(counts)], names=["node", "met"])
+    return run
+
+
+def _cells(docs: DataFrame, placed: DataFrame, block: int) -> DataFrame:
+    """Rows (label, i, j, node, block, copies, text), cell by cell: every two blocks of a component that has several sets.
+
+    A link lies inside one component, so any two sets that link meet in one cell; ``block`` bounds the shingles of a
+    block, so that a task holds two blocks, whatever the component's size.
+    """
+    nodes = cut(placed.filter("node IS NOT NULL").groupBy("node", "label", "n").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc_id")))
+    sizes = nodes.groupBy("label").agg(F.count(F.lit(1)).alias("sets"), F.ceil(F.sum("n") / F.lit(block)).cast("int").alias("blocks"))
+    several = cut(nodes.join(sizes.filter("sets > 1"), "label"))
+    texts = cut(_texts(docs, several.select("node", "doc_id")))
+    rows = several.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block", "copies")
+    cells = rows.join(texts, "node").select("label", "i", "j", "node", "block", "copies", "text")
+    return cells.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j")
+
+
+def _placed(docs: DataFrame, percent: int) -> DataFrame:
+    """Rows (node, doc_id, n, label) of (doc_id, text): label names the component, null for texts without shingles."""
+    rows, cells = scan(docs)
+    label = links(docs, rows, cells, percent).select("node", "label")
+    return rows.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _component(placed: DataFrame) -> DataFrame:
+    """The same rows with component_id."""
+    first = placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("first"))
+    return placed.join(first, "label", "left").withColumn(
+        "component_id", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("first")))
+
+
+def _own(docs: DataFrame, id: str, text: str) -> DataFrame:
+    return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+
 def join(docs: DataFrame, *, id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest doc_id reachable by links).
 
@@ -239,13 +350,32 @@ def join(docs: DataFrame, *, id: str = "doc_id", text: str = "text", percent: in
     rows and rows that share an id need no pairs. Null ids take part; a component of null ids only has none.
     Other columns are ignored.
     """
-    docs = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows, cells = scan(docs)
-    label = links(docs, rows, cells, percent)
-    placed = rows.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    first = placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("first"))
-    return placed.join(first, "label", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("first")).alias("component_id"))
+    return _component(_placed(_own(docs, id, text), percent)).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def pairs(docs: DataFrame, *, id: str = "doc_id", text: str = "text", percent: int = PERCENT,
+          block: int = BLOCK_SHINGLES) -> tuple[DataFrame, DataFrame]:
+    """(members, edges): rows (doc_id, node) of every input row, and every link (a, b) of two different sets once, a < b.
+
+    Rows with the same node have equal sets; a node is null without shingles. A group of k sets can hold k * (k - 1) / 2 links.
+    """
+    docs = _own(docs, id, text)
+    placed = cut(_placed(docs, percent))
+    return placed.select("doc_id", "node"), _cells(docs, placed, block).mapInArrow(_pairs_of(percent), "a long, b long")
+
+
+def join_counts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", percent: int = PERCENT, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """The rows of ``join`` with n_links: how many other rows link to the row, copies counted one by one.
+
+    Links are counted where they are found, so rows grow with sets and blocks, not with links.
+    """
+    docs = _own(docs, id, text)
+    placed = cut(_placed(docs, percent))
+    met = _cells(docs, placed, block).mapInArrow(_counts_of(percent), "node long, met long").groupBy("node").agg(F.sum("met").alias("met"))
+    copies = placed.filter("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("copies"))
+    counts = copies.join(met, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("met", F.lit(0))).alias("n_links"))
+    return _component(placed).join(counts, "node", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 
 def keep_first(docs: DataFrame, *, id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:

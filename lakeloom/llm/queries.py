@@ -106,6 +106,24 @@ def op3_ngram_join(spark, table):
     return ngram_join.join(table("documents"))
 
 
+@query(r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, list_aggregate(words[i:i + 4], 'string_agg', ' ') AS shingle
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY x, y),
+link AS (SELECT x, y FROM met JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, e.y FROM reach r JOIN edge e ON e.x = r.other)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, min(other) AS component_id, (SELECT count(*) FROM edge WHERE x = w.doc_id) AS n_links
+FROM w JOIN reach r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY w.doc_id, n.n
+""")
+def op3_ngram_links(spark, table):
+    return ngram_join.join_counts(table("documents"))
+
+
 @query(r"""
 WITH d AS (
   SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text,

@@ -138,6 +138,31 @@ def test_ngram_join_edges(spark, docs):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "4", "5", "5", "6", "7", "7", "None"]
 
 
+def test_every_link_is_counted(spark, docs):
+    """A chain of near copies: the join needs some links only, the counts and pairs hold all, also across blocks."""
+    rng = random.Random(4)
+    words = ["v%d" % i for i in range(90)]
+    rows = []
+    for g in range(3):
+        base = [rng.choice(words) for _ in range(80)]
+        for k in range(7):
+            rows.append((100 * g + k, " ".join(base[k:] + ["x%d" % k])))
+        rows.append((100 * g + 50, rows[-1][1]))
+    rows += [(900, None), (901, " "), (902, "alone here")]
+    sets = {i: {tuple(w[j:j + 5]) for j in range(max(len(w) - 4, 1))} for i, t in rows if (w := (t or "").split())}
+    link = lambda x, y: 100 * len(x & y) >= 75 * len(x | y)
+    want = {i: sum(j != i and link(sets[i], sets[j]) for j in sets) if i in sets else 0 for i, _ in rows}
+    low = _components([t for _, t in rows])[1]
+    got = {r.doc_id: r for r in ngram_join.join_counts(docs(rows), block=150).collect()}
+    assert {i: r.n_links for i, r in got.items()} == want
+    assert [got[i].component_id for i, _ in rows] == [rows[k][0] for k in low]
+    members, edges = ngram_join.pairs(docs(rows))
+    name = {r.doc_id: r.node for r in members.collect()}
+    found = [tuple(r) for r in edges.collect()]
+    assert len(found) == len(set(found)) and set(found) == {
+        tuple(sorted((name[i], name[j]))) for i in sets for j in sets if name[i] != name[j] and link(sets[i], sets[j])}
+
+
 def test_prefix_keeps_links():
     """Whatever two linked sets ask for, their prefixes share."""
     rng = np.random.default_rng(5)
