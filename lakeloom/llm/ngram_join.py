@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lakeloom.llm import shingles
 from lakeloom.llm.components import components
@@ -167,6 +166,16 @@ def asked_matches(n, m, o, p, percent: int = PERCENT):
     return F.greatest(F.least(m, p), overlap - F.greatest(*left))
 
 
+def _shared(front: DataFrame) -> DataFrame:
+    """Rows (token, node, n, m), each once, of the tokens that several sets have in their prefixes.
+
+    Copies of a text meet before the shuffle, and counts are joined back, so that no task gathers a token's rows.
+    """
+    front = cut(front.dropDuplicates(["token", "node"]))
+    several = front.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
+    return front.join(several.select("token"), "token").select("token", "node", "n", "m")
+
+
 def links(docs: DataFrame, rows: DataFrame, cells: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """(node, label): the components of the sets that link to another one.
 
@@ -177,10 +186,7 @@ def links(docs: DataFrame, rows: DataFrame, cells: np.ndarray, percent: int = PE
     in different components, of fitting sizes, holding and sharing enough tokens, is verified in the last round.
     So no link is missed: two sets that link end in one component, by their own link or by a chain of links.
     """
-    over = Window.partitionBy("token")
-    front = prefixes(docs, cells, percent)
-    shared = front.withColumns({"lo": F.min("node").over(over), "hi": F.max("node").over(over)}).filter("lo <> hi")
-    shared = cut(shared.select("token", "node", "n", "m").dropDuplicates(["token", "node"]))
+    shared = cut(_shared(prefixes(docs, cells, percent)))
     names = cut(shared.groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("held")))
     label = names.select("node", "held", F.col("node").alias("label"))
     edges = tried = None

@@ -163,6 +163,15 @@ def test_every_link_is_counted(spark, docs):
         tuple(sorted((name[i], name[j]))) for i in sets for j in sets if name[i] != name[j] and link(sets[i], sets[j])}
 
 
+def test_copies_do_not_gather(spark):
+    """A token's rows are not put into one task; copies of a set count once, tokens of one set go."""
+    front = spark.createDataFrame([(1, 10, 5, 1)] * 500 + [(1, 11, 6, 2), (2, 10, 5, 1), (2, 10, 5, 1), (3, 12, 4, 1)],
+                                  "token long, node long, n int, m int")
+    found = ngram_join._shared(front)
+    assert "Window" not in found._jdf.queryExecution().toString()
+    assert sorted(map(tuple, found.collect())) == [(1, 10, 5, 1), (1, 11, 6, 2)]
+
+
 def test_prefix_keeps_links():
     """Whatever two linked sets ask for, their prefixes share."""
     rng = np.random.default_rng(5)
