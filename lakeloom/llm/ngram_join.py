@@ -385,7 +385,22 @@ def join_counts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", perc
 
 
 def keep_first(docs: DataFrame, *, id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of the smallest id of every component, with all their columns; of rows that share that id and text, all stay."""
-    firsts = join(docs, id=id, text=text, percent=percent).filter("component_id IS NULL OR component_id = doc_id").select(
-        F.col("doc_id").alias("__id")).distinct()
-    return docs.join(firsts, docs[id].cast("long").eqNullSafe(F.col("__id"))).select(*[docs[c] for c in docs.columns])
+    """The rows of the smallest id of every component, with all their columns; of rows that share that id and text, all stay.
+
+    A row without id stays if its text has no shingles, or if its component holds no id and no smaller text hash.
+    Rows with an id are told by it alone: a row that shares its id with the kept row of another component stays too.
+    """
+    own = _own(docs, id, text)
+    placed = cut(_placed(own, percent))
+    firsts = _component(placed).filter("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
+    with_id = docs.join(firsts, docs[id].cast("long") == F.col("__id")).select(*[docs[c] for c in docs.columns])
+
+    bare = docs.filter(docs[id].cast("long").isNull()).withColumn("__hash", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    named = bare.select(F.col(text).alias("text")).distinct().mapInArrow(_named, "node long, text string")
+    named = named.select("node", F.sha2(F.coalesce("text", F.lit("")), 256).alias("hash")).distinct()
+    label = placed.filter("node IS NOT NULL").groupBy("node").agg(F.first("label").alias("label"))
+    headed = placed.filter("doc_id IS NOT NULL AND label IS NOT NULL").select("label").distinct()
+    found = named.join(label, "node").join(headed, "label", "left_anti").groupBy("label").agg(F.min("hash").alias("hash")).select("hash")
+    kept = found.unionAll(named.filter("node IS NULL").select("hash")).distinct()
+    without = bare.join(kept, F.col("__hash") == F.col("hash")).select(*[bare[c] for c in docs.columns])
+    return with_id.unionAll(without)

@@ -163,6 +163,16 @@ def test_every_link_is_counted(spark, docs):
         tuple(sorted((name[i], name[j]))) for i in sets for j in sets if name[i] != name[j] and link(sets[i], sets[j])}
 
 
+def test_keep_first_without_ids(spark, docs):
+    """Rows without id go with the component they are in, whatever other rows without id do."""
+    rows = [(None, None), (None, "has an id elsewhere"), (3, "has an id elsewhere"), (None, "no id"), (None, "no  id"), (None, "no  id"),
+            (8, "left alone"), (9, "left  alone")]
+    got = [(r.doc_id, r.text) for r in ngram_join.keep_first(docs(rows)).collect()]
+    first = min(("no id", "no  id"), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert sorted(got, key=str) == sorted([(None, None), (3, "has an id elsewhere"), (8, "left alone")]
+                                          + [x for x in rows if x == (None, first)], key=str)
+
+
 def test_copies_do_not_gather(spark):
     """A token's rows are not put into one task; copies of a set count once, tokens of one set go."""
     front = spark.createDataFrame([(1, 10, 5, 1)] * 500 + [(1, 11, 6, 2), (2, 10, 5, 1), (2, 10, 5, 1), (3, 12, 4, 1)],
