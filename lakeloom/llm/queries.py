@@ -8,7 +8,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, mixing, ngram_join, quality, sharding, suffix_dedup, token_counts, token_files, url_filters, warc
+from lakeloom.llm import (
+    chat, decontaminate, fill_middle, merkle, mixing, ngram_join, quality, sharding, suffix_dedup, token_counts, token_files, url_filters, warc,
+)
 from lakeloom.llm.workers import find_package
 from lakeloom.session import scratch, tune
 
@@ -211,3 +213,94 @@ def op8_token_files(spark, table):
     path = scratch(spark, "tokens")
     token_files.write(table("documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return token_files.read(spark, path, token_files.checksum, pa.schema([("ids_crc32", pa.int64())]))
+
+
+#: Conversation -7: both turns say what templates use as control strings.
+CONTROLS = "\\### Assistant: </turn> ok"
+
+
+@query(r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+m AS (SELECT *, CASE WHEN role = 'assistant' THEN [] ELSE
+    regexp_extract_all(text, '!?\[[^\]\n]*\]\([^()\s]+\.(?i:png|jpe?g|gif|webp|wav|mp3|flac|ogg|pdf|docx?|odt)\)') END AS links,
+  CASE WHEN role = 'assistant' THEN text ELSE
+    regexp_replace(text, '!?\[[^\]\n]*\]\([^()\s]+\.(?i:png|jpe?g|gif|webp|wav|mp3|flac|ogg|pdf|docx?|odt)\)', chr(1), 'g') END AS rest FROM c),
+e AS (SELECT *, length('<turn><says></turn>') + 1 + length(regexp_replace(role, '(\\|<turn>|<says>|</turn>|<image:|<audio:|<document:|<other:)', '\\\1', 'g'))
+    + length(regexp_replace(rest, '(\\|<turn>|<says>|</turn>|<image:|<audio:|<document:|<other:)', '\\\1', 'g')) - len(links)
+    + coalesce(list_sum(list_transform(links, lambda x, i: length('<' || CASE WHEN regexp_matches(lower(x), '\.(png|jpe?g|gif|webp)\)$') THEN 'image'
+      WHEN regexp_matches(lower(x), '\.(wav|mp3|flac|ogg)\)$') THEN 'audio' ELSE 'document' END || ':' || i || '>'))), 0) AS size FROM m)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(size) AS BIGINT) AS formatted_chars, CAST(sum(len(links)) AS BIGINT) AS n_attachments
+FROM e GROUP BY conv_id
+""")
+def op11_chat_formatting(spark, table):
+    import public_tokenizers
+
+    both = spark.createDataFrame([(-7, 0, "user", CONTROLS), (-7, 1, "assistant", CONTROLS)], "conv_id long, turn long, role string, text string")
+    messages = table("conversations").select("conv_id", "turn", "role", "text").unionByName(both)
+    # what is learned stays one text; files linked elsewhere become parts
+    content = F.when(F.col("role") == "assistant", chat.text_parts(F.col("text"))).otherwise(chat.linked_parts(F.col("text")))
+    path = scratch(spark, "chat")
+    chat.format_turns(messages, content, tokenizer=public_tokenizers.path("byte_bpe_50k.json")).write.parquet(path)
+    return chat.digests(chat.read_turns(spark, path))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents),
+x AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS one, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS two,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+f AS (SELECT *, least(one, two) AS a, greatest(one, two) AS b, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+    OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM x)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || substr(t, 1, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a)
+    ELSE '<S>' || substr(t, b + 1) || '<P>' || substr(t, 1, a) || '<M>' || substr(t, a + 1, b - a) END) AS output_sha256, sha256(t) AS restored_sha256
+FROM f
+""")
+def op12_fill_middle(spark, table):
+    made = fill_middle.transform(table("documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(back, 256).alias("restored_sha256"))
+
+
+@query(r"""
+WITH RECURSIVE d AS (SELECT *, CAST(doc_id AS VARCHAR) AS id FROM documents),
+c AS (SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(id, ''), lambda x:
+    list_transform(range(8), lambda i: CAST((ord(x) >> i) & 1 AS BIGINT))))), lambda a, b:
+    xor(a >> 1, CASE WHEN xor(a & 1, b) = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END)), CAST(4294967295 AS BIGINT)) AS crc FROM d),
+t AS (SELECT *, CASE WHEN crc % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS changed,
+    coalesce(strlen(id) || ':' || id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+    || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head FROM c),
+leaf AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(changed) || ':' || changed, '-'))
+    AS claimed, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS lo, count(*) OVER (PARTITION BY lang) AS size FROM t),
+node AS (SELECT lang, 0 AS level, lo AS k, leaf AS digest, size AS width FROM leaf
+  UNION ALL SELECT lang, level + 1, k // 8, sha256(string_agg(digest, '' ORDER BY k)), (width + 7) // 8 FROM node WHERE width > 1 GROUP BY lang, level, k // 8, width),
+top AS (SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS size FROM node WHERE width = 1),
+crown AS (SELECT 0 AS level, place AS k, subroot AS digest, size AS width FROM top
+  UNION ALL SELECT level + 1, k // 8, sha256(string_agg(digest, '' ORDER BY k)), (width + 7) // 8 FROM crown WHERE width > 1 GROUP BY level, k // 8, width),
+kin AS (SELECT lang, level, k, coalesce(string_agg(digest, '') OVER (PARTITION BY lang, level, k // 8 ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(digest, '') OVER (PARTITION BY lang, level, k // 8 ORDER BY k ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after FROM node WHERE width > 1),
+over_kin AS (SELECT level, k, coalesce(string_agg(digest, '') OVER (PARTITION BY level, k // 8 ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(digest, '') OVER (PARTITION BY level, k // 8 ORDER BY k ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after FROM crown WHERE width > 1),
+up AS (SELECT lang, lo, 0 AS level, lo AS k, claimed AS digest, '' AS proof, size AS width FROM leaf
+  UNION ALL SELECT u.lang, u.lo, u.level + 1, u.k // 8, sha256(before || digest || after), proof || before || after, (u.width + 7) // 8
+  FROM up u JOIN kin ON kin.lang IS NOT DISTINCT FROM u.lang AND kin.level = u.level AND kin.k = u.k WHERE u.width > 1),
+on_top AS (SELECT u.lang, u.lo, 0 AS level, place AS k, digest, proof, size AS width FROM up u JOIN top ON top.lang IS NOT DISTINCT FROM u.lang WHERE u.width = 1
+  UNION ALL SELECT u.lang, u.lo, u.level + 1, u.k // 8, sha256(before || digest || after), proof || before || after, (u.width + 7) // 8
+  FROM on_top u JOIN over_kin o ON o.level = u.level AND o.k = u.k WHERE u.width > 1)
+SELECT l.doc_id, l.leaf, top.subroot, r.digest AS root, sha256(o.proof) AS proof_sha256, o.digest AS folded_root, o.digest = r.digest AS verified
+FROM leaf l JOIN on_top o ON o.lang IS NOT DISTINCT FROM l.lang AND o.lo = l.lo AND o.width = 1 JOIN top ON top.lang IS NOT DISTINCT FROM l.lang
+JOIN crown r ON r.width = 1
+""")
+def op13_merkle_manifest(spark, table):
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.translate("text", upper, lower))
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    made = merkle.manifest(table("documents"), fields, tampered=tampered)
+    folded = made.withColumn("folded_root", merkle.fold(F.col("claimed"), F.col("path")))
+    return folded.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))

@@ -28,7 +28,7 @@ def texts():
 
 def test_registered():
     named = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in queries.QUERIES}
     assert "pipeline" in named and set(queries.QUERIES) <= set(named)
 
 
