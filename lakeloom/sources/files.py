@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.dates import date_from_name, fiscal_bounds
 from lakeloom.operators.sets import union_all
+from lakeloom.sources.records import physical_lines, whole_records
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: str | None = None, delimiter: str = ",",
@@ -33,25 +34,21 @@ def with_source_date(df: DataFrame, name: str = "source", by: str = "file") -> D
 
 
 def enveloped_records(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], delimiter: str = ",", lead: int = 1,
-                      has_header: bool = True, trail: int = 1, name: str = "source", by: str = "file") -> DataFrame:
-    """Lines between each file's ``lead`` lines with header and its ``trail`` lines: text columns, origin date, ``reject``.
+                      has_header: bool = True, trail: int = 1, name: str = "source", by: str = "file", quote: str = '"') -> DataFrame:
+    """Records between each file's ``lead`` lines with header and its ``trail`` lines: text columns, origin date, ``reject``.
 
-    Lead and trail are told by their place in the file: a line's split and its number in it order a file's
-    lines, whatever tasks read them. ``reject`` holds a line that does not have one field a column, else null.
+    Lead and trail are told by their place in the file, whatever splits it is read in. Quoted fields may hold line
+    breaks. ``reject`` holds a record that does not have one field a column, and the lines after a quote that is never
+    closed; else null.
     """
-    lines = spark.read.text(path).select(
-        "value", date_from_name(origin_name(by)).alias(name), F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
-    place = F.struct("_block", "_line")
-    ends = lines.groupBy("_file").agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
-    skipped = lead + int(has_header)
-    inside = lines.join(ends, "_file").where(~(
-        ((F.col("_block") == F.col("_first._block")) & (F.col("_line") < F.col("_first._line") + skipped))
-        | ((F.col("_block") == F.col("_last._block")) & (F.col("_line") > F.col("_last._line") - trail))))
+    records = whole_records(physical_lines(spark, path, delimiter, quote, lead + int(has_header), trail))
     schema = ", ".join(f"`{c}` string" for c in [*columns, "_reject"])
-    options = {"sep": delimiter, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_reject"}
-    parsed = inside.select(F.from_csv("value", schema, options).alias("_r"), name)
-    return parsed.select(*[F.col(f"_r.`{c}`").alias(c) for c in columns], name, F.col("_r._reject").alias("reject"))
+    options = {"sep": delimiter, "quote": quote, "escape": quote, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_reject"}
+    at = -1 if by == "file" else -2
+    parsed = records.select(F.from_csv("value", schema, options).alias("_r"), "value", "_broken",
+                            date_from_name(F.element_at(F.split("_file", "/"), at)).alias(name))
+    reject = F.when(F.col("_broken"), F.col("value")).otherwise(F.col("_r._reject"))
+    return parsed.select(*[F.when(~F.col("_broken"), F.col(f"_r.`{c}`")).alias(c) for c in columns], name, reject.alias("reject"))
 
 
 def read_enveloped(spark: SparkSession, path: str | Sequence[str], schema: str, **how) -> DataFrame:

@@ -129,3 +129,71 @@ def test_enveloped_rejects_are_counted(spark, folder):
     schema = "id int, k string, v string"
     assert rows(files.read_enveloped(spark, folder, schema), "id") == [(1,)]
     assert rows(files.enveloped_rejects(spark, folder, schema), "reject") == [("2,a",), ("3,a,b,c",)]
+
+
+RECORDS = ['1,"a\nb",x', '2,plain 5" pipe,"""q"",\n\n"', '3,"",', '4,"open, then\n""quoted""\n,end"tail,z', '5,,"\n"', '6,"' + 'w\n' * 40 + '",y', "7,too,many,fields", '8,"\r\n",last\r']
+WIDE = '9,"' + '"",' * 50000 + '",' + "w" * 9
+
+
+def _chopped(spark, path, size, **how):
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        return files.enveloped_records(spark, path, ["id", "b", "c"], **how)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+
+
+@pytest.mark.parametrize("size", [61, 1 << 20])
+def test_records_of_several_lines_in_any_split(spark, folder, size):
+    body = '"REPORT\nid,b,c\n' + "\n".join(RECORDS) + '\nTOTAL,"\nEND,"9\n'
+    put(f"{folder}/in/T_2024-01-05.csv", body)
+    put(f"{folder}/in/T_2024-01-06.csv", '"REPORT\nid,b,c\nTOTAL\nEND')
+    put(f"{folder}/in/T_2024-01-07.csv", "" if size < 100 else f"a\nb\n{WIDE}\n{WIDE}\n1\n2\n")
+    df = _chopped(spark, f"{folder}/in", size, trail=2).where("reject is null")
+    got = {r.id: (r.b, r.c) for r in df.collect()}
+    assert df.count() == 7 + 2 * (size > 100) and got.pop("9", ('",' * 50000, "w" * 9)) == ('",' * 50000, "w" * 9)
+    assert got.keys() == set("1234568") and got["8"] == ("\r\n", "last")
+    assert got["1"] == ("a\nb", "x") and got["2"] == ('plain 5" pipe', '"q",\n\n') and got["6"] == ("w\n" * 40, "y") and got["5"] == (None, "\n")
+    rejects = _chopped(spark, f"{folder}/in", size, trail=2).where("reject is not null")
+    assert rows(rejects, "reject") == [("7,too,many,fields",)]
+
+
+@pytest.mark.parametrize("size", [20, 1 << 20])
+def test_lines_after_a_quote_that_never_closes_are_rejects(spark, folder, size):
+    put(f"{folder}/in/T_2024-01-05.csv", 'id,b,c\n1,"a\nb",x\n2,"stray,y\n3,c,z\n\n4,d,w\n')
+    df = _chopped(spark, f"{folder}/in", size, lead=0, trail=0)
+    assert rows(df.where("reject is null"), "id", "b", "c") == [("1", "a\nb", "x")]
+    assert rows(df.where("reject is not null"), "reject") == sorted([('2,"stray,y',), ("3,c,z",), ("",), ("4,d,w",)], key=str)
+
+
+def test_quote_patterns_follow_a_reader_of_characters():
+    import random
+    import re
+
+    from lakeloom.sources.records import quote_patterns
+
+    def ends_inside(line, inside):
+        fresh, closed, i = not inside, False, 0
+        while i < len(line):
+            x = line[i]
+            if inside:
+                if x == '"' and line[i + 1:i + 2] == '"':
+                    i += 1
+                elif x == '"':
+                    inside, closed = False, True
+            elif x == ",":
+                fresh = True
+                i += 1
+                continue
+            elif x == '"' and fresh:
+                inside = True
+            fresh = False
+            i += 1
+        return inside
+
+    out, in_ = (re.compile(p.replace(r"\z", r"\Z")) for p in quote_patterns())
+    r = random.Random(3)
+    for _ in range(20000):
+        line = "".join(r.choice('"",,ab') for _ in range(r.randrange(12)))
+        assert (bool(out.search(line)), bool(in_.search(line))) == (ends_inside(line, False), ends_inside(line, True)), line

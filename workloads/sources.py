@@ -67,6 +67,41 @@ def enveloped_counts(t: Tables):
     return records.groupBy("source").agg(F.count("reject").alias("n_rejects"), F.count(F.lit(1)).alias("n_records"))
 
 
+def _text_drops(t: Tables, label: str) -> str:
+    """Documents as delimited text below folders of 2 000 ids: a preamble with a quote, a header, quoted texts of several lines, and a trailer of two
+    lines; every tenth record has a field too many."""
+    path = scratch(t.spark, label)
+    drop = F.concat(F.lit("texts-"), F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (c("doc_id") / 2000).cast("int")), "yyyy-MM-dd"))
+    quoted = lambda v: F.concat(F.lit('"'), F.replace(F.coalesce(v, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    more = F.when(c("doc_id") % 10 == 3, ",odd").otherwise("")
+    # records hold line breaks with a single and with a doubled quote beside them
+    told = F.concat(c("text"), F.lit('\n"said, '), c("doc_id"), F.lit('"\n'))
+    rows = t.documents.select(drop.alias("drop"), F.lit(2).alias("place"), F.concat_ws(",", "doc_id", quoted(c("lang")), quoted(told), F.concat("source", more)).alias("value"))
+    marks = rows.select("drop").distinct().select("drop", F.explode(F.array(
+        F.struct(F.lit(0).alias("place"), F.lit('"REPORT, OF TEXTS').alias("value")), F.struct(F.lit(1).alias("place"), F.lit("id,lang,text,source").alias("value")),
+        F.struct(F.lit(3).alias("place"), F.lit('TOTAL,"1').alias("value")), F.struct(F.lit(4).alias("place"), F.lit('END,"2').alias("value")))).alias("m")).select("drop", "m.place", "m.value")
+    rows.unionByName(marks).repartition("drop").sortWithinPartitions("drop", "place").drop("place").write.partitionBy("drop").text(path)
+    return path
+
+
+@query("""SELECT DATE '2024-01-01' + CAST(doc_id // 2000 AS INTEGER) AS drop_day, CASE WHEN doc_id % 10 <> 3 THEN CAST(doc_id AS VARCHAR) END AS doc_id,
+  CASE WHEN doc_id % 10 <> 3 THEN lang END AS lang, CASE WHEN doc_id % 10 <> 3 THEN source END AS source,
+  CASE WHEN doc_id % 10 <> 3 THEN md5(text || chr(10) || '"said, ' || doc_id || '"' || chr(10)) END AS text_digest,
+  CASE WHEN doc_id % 10 = 3 THEN md5(doc_id || ',"' || lang || '","' || replace(text, '"', '""') || chr(10) || '""said, ' || doc_id || '""' || chr(10) || '",' || source || ',odd') END AS reject_digest
+FROM documents""", text=["drop_day"])
+def enveloped_texts(t: Tables):
+    """Records of many lines between preamble and trailer, read in splits far smaller than a file; with the rejects they are all records."""
+    path = _text_drops(t, "texts")
+    small, usual = str(1 << 18), t.spark.conf.get("spark.sql.files.maxPartitionBytes")
+    t.spark.conf.set("spark.sql.files.maxPartitionBytes", small)
+    try:
+        records = files.enveloped_records(t.spark, path, ["doc_id", "lang", "text", "source"], trail=2, name="drop_day", by="folder")
+    finally:
+        t.spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    read = lambda v, name: F.when(c("reject").isNull(), v).alias(name)
+    return records.select("drop_day", *[read(c(x), x) for x in ("doc_id", "lang", "source")], read(F.md5("text"), "text_digest"), F.md5("reject").alias("reject_digest"))
+
+
 @query("""SELECT p_partkey, p_name, DATE '2024-03-31' AS source FROM part""", text=["source"])
 def dated_parquet(t: Tables):
     """Parquet drops read with the date in their folder's name."""
