@@ -60,26 +60,35 @@ def closings_of(changes: DataFrame, versions: DataFrame, id: str, date: str, op:
 
 def replay(changes: DataFrame, natural: str, id: str, date: str, op: str, full: Column | None = None,
            which_delete: str = "last", close_on_upsert: bool = False,
-           max_group_rows: int | None = None) -> DataFrame:
-    """History of all change files at once: effective_date, end_date and version (1 = newest)."""
+           max_group_rows: int | None = None, reached_name: str | None = None) -> DataFrame:
+    """History of all change files at once: effective_date, end_date and version (1 = newest).
+
+    Rows without id are versions of their own, with number 1. ``reached_name`` adds a column that says whether a delete
+    reached the version, be it one of a full file.
+    """
     # kept once: chains, marks and the result all read the packed versions, and each size is measured
     versions = cut(versions_of(changes, natural, id, date, op))
     closings = cut(closings_of(changes, versions, id, date, op, full))
     closed = reached(versions, closings, id, date, max_group_rows)
     pick = F.max_by if which_delete == "last" else F.min_by
     ends = closed.groupBy(id, "_version").agg(pick("_end", "_at").alias("_end")).withColumnsRenamed({"_version": date})
-    numbered = scan(
-        attach(versions, ends, [id, date]), [id], [F.desc(date)],
-        Scan(row_number="version", prev={"_following": F.col(date)}), max_group_rows,
-        hot=is_hot(versions, [id], max_group_rows),
-    )
-    end = F.coalesce(F.col("_end"), F.lit(OPEN_END).cast("date"))
+    joined = attach(versions, ends, [id, date])
+    if reached_name:
+        joined = joined.withColumn(reached_name, F.col("_end").isNotNull())
+    joined = joined.withColumn("end_date", F.coalesce(F.col("_end"), F.lit(OPEN_END).cast("date"))).drop("_end")
+    hot = is_hot(versions.where(F.col(id).isNotNull()), [id], max_group_rows)
+    return numbered(joined, id, date, close_on_upsert, max_group_rows, hot).withColumnRenamed(date, "effective_date")
+
+
+def numbered(versions: DataFrame, id: str, date: str, close_on_upsert: bool = False, max_group_rows: int | None = None,
+             hot: bool | None = None) -> DataFrame:
+    """Versions with end_date plus ``version``, 1 for a chain's newest; with ``close_on_upsert`` each ends before the next begins."""
+    chained = scan(versions.where(F.col(id).isNotNull()), [id], [F.desc(date)], Scan(row_number="version", prev={"_following": F.col(date)}),
+                   max_group_rows, hot)
     if close_on_upsert:
-        end = F.least(end, F.date_sub("_following", 1))
-    return (
-        numbered.withColumns({"end_date": end, "version": F.col("version").cast("int")})
-        .withColumnRenamed(date, "effective_date").drop("_end", "_following")
-    )
+        chained = chained.withColumn("end_date", F.least("end_date", F.date_sub("_following", 1)))
+    alone = versions.where(F.col(id).isNull()).withColumn("version", F.lit(1))
+    return chained.withColumn("version", F.col("version").cast("int")).drop("_following").unionByName(alone)
 
 
 def reached(versions: DataFrame, closings: DataFrame, id: str, date: str,
@@ -95,24 +104,36 @@ def reached(versions: DataFrame, closings: DataFrame, id: str, date: str,
     )
 
 
-def apply_batch(history: DataFrame, batch: DataFrame, natural: str, id: str, op: str, file_date: Column,
-                full: bool = False) -> DataFrame:
-    """Apply one change file, later than all before it, to a history made by replay."""
+def apply_batch(history: DataFrame, batch: DataFrame, natural: str, id: str, op: str, file_date: Column, full: bool = False,
+                which_delete: str = "last", close_on_upsert: bool = False, reached_name: str | None = None) -> DataFrame:
+    """Apply one change file, later than all before it, to a history made by replay with the same rules.
+
+    With ``which_delete="first"`` a version that a delete has reached keeps its end; the history must tell it by
+    ``reached_name``.
+    """
+    if which_delete == "first" and not reached_name:
+        raise ValueError("the first delete counts: the history must say which versions one has reached")
     at = batch.withColumn("_at", file_date)
     end = F.lit(OPEN_END).cast("date") if full else F.date_sub(file_date, 1)
     deleted = at.where(F.col(op) == "delete").select(F.col(id).cast("string").alias("_gone")).distinct()
     newest = history.where("version = 1").select(id, F.explode(F.split(id, PACK)).alias("_piece"))
     hit = semi(newest, deleted, {"_piece": "_gone"}).select(id).distinct().withColumn("_hit", F.lit(True))
     fresh = versions_of(at, natural, id, "_at", op).withColumnRenamed("_at", "effective_date")
-    renewed = fresh.select(id).withColumn("_renewed", F.lit(True))
+    # a chain is renewed once, whatever stands for it; rows without id belong to none
+    renewed = fresh.where(F.col(id).isNotNull()).select(id).distinct().withColumn("_renewed", F.lit(True))
     kept = attach(attach(history, hit, [id]), renewed, [id])
     is_hit = F.coalesce(F.col("_hit"), F.lit(False)) & (F.col("version") == 1)
-    kept = kept.withColumns({
-        "end_date": F.when(is_hit, end).otherwise(F.col("end_date")),
-        "version": F.col("version") + F.when(F.col("_renewed"), 1).otherwise(0),
-    }).drop("_hit", "_renewed")
-    added = fresh.withColumns({"end_date": F.lit(OPEN_END).cast("date"), "version": F.lit(1)})
-    return kept.unionByName(added.select(*kept.columns))
+    is_renewed = F.coalesce(F.col("_renewed"), F.lit(False))
+    ends = F.when(is_hit & (~F.col(reached_name) if which_delete == "first" else F.lit(True)), end).otherwise(F.col("end_date"))
+    if close_on_upsert:
+        ends = F.when(is_renewed & (F.col("version") == 1), F.least(ends, F.date_sub(file_date, 1))).otherwise(ends)
+    changed = {"end_date": ends, "version": F.col("version") + F.when(is_renewed, 1).otherwise(0)}
+    added = {"end_date": F.lit(OPEN_END).cast("date"), "version": F.lit(1)}
+    if reached_name:
+        changed[reached_name] = F.col(reached_name) | is_hit
+        added[reached_name] = F.lit(False)
+    kept = kept.withColumns(changed).drop("_hit", "_renewed")
+    return kept.unionByName(fresh.withColumns(added).select(*kept.columns))
 
 
 def version_id(id: str = "id", version: str = "version") -> Column:
@@ -124,7 +145,7 @@ def audit(changes: DataFrame, natural: str, id: str, date: str, op: str,
           max_group_rows: int | None = None) -> DataFrame:
     """Planned and actual counts per change file, from one pass instead of a count per step."""
     versions = cut(versions_of(changes, natural, id, date, op))
-    is_delete = F.col(op) == "delete"
+    is_delete = F.col(op).eqNullSafe("delete")
     raw = changes.groupBy(date).agg(
         F.count(F.lit(1)).alias("delta_raw"), F.count_if(is_delete).alias("delete_raw"),
         F.count_if(~is_delete).alias("upsert_raw"),

@@ -1,4 +1,4 @@
-"""New-file pickup, event counts, table append and continuous history.
+"""New-file pickup, event counts and table append.
 
 Every job takes a checkpoint folder, so that a restart continues where it stopped.
 """
@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeloom.operators.history import apply_batch, replay
-
 
 def new_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int | None = None,
               **options: str) -> DataFrame:
@@ -61,45 +59,3 @@ def newest_values(spark: SparkSession, path: str, keys: Sequence[str], fmt: str
     values = [c for c in rows.columns if c not in keys and c != "batch"]
     latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v"))
     return latest.select(*keys, "_v.*")
-
-
-def history_sink(changes: DataFrame, path: str, checkpoint: str, natural: str, id: str, date: str, op: str,
-                 fmt: str = "parquet") -> StreamingQuery:
-    """Maintain a type-2 history from a stream of change files.
-
-    Each batch is first kept in a change log under its number, then the history is written as a
-    new generation of that number. A batch of one date later than all before is applied to the
-    last generation; a batch that holds several dates, or a late one, replays the log. A batch
-    retried after a failure rewrites its own log part and generation, so nothing counts twice.
-    """
-    def step(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/log/batch={number}")
-        mine = spark.read.format(fmt).load(f"{path}/log/batch={number}")
-        first, last = mine.agg(F.min(date), F.max(date)).first()
-        before = _newest_date(spark, path, number - 1, fmt)
-        late = before is not None and first is not None and first <= before
-        if before is not None and not late and first == last:
-            history = apply_batch(latest_generation(spark, path, number - 1, fmt), mine.drop(date), natural, id, op,
-                                  F.lit(first).cast("date"))
-        else:
-            log = spark.read.format(fmt).load(f"{path}/log").where(F.col("batch") <= number).drop("batch")
-            history = replay(log, natural, id, date, op)
-        history.write.mode("overwrite").format(fmt).save(f"{path}/history/generation={number}")
-        newest = max((d for d in (before, last) if d is not None), default=None)
-        kept = spark.range(1).select(F.lit(newest).cast("date").alias("newest"))
-        kept.write.mode("overwrite").format(fmt).save(f"{path}/newest/batch={number}")
-
-    return (
-        changes.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-
-
-def _newest_date(spark: SparkSession, path: str, number: int, fmt: str):
-    """Newest date applied up to a batch, from the one row kept for it."""
-    return spark.read.format(fmt).load(f"{path}/newest/batch={number}").first()["newest"] if number >= 0 else None
-
-
-def latest_generation(spark: SparkSession, path: str, last_batch: int, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(f"{path}/history/generation={last_batch}")

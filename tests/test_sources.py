@@ -1,5 +1,6 @@
 """Readers, writers and streaming jobs."""
 
+import datetime as dt
 import os
 import tempfile
 
@@ -10,7 +11,7 @@ from lakeloom import session as s
 from lakeloom.operators import catalog, history
 from lakeloom.sources import files, tables
 from lakeloom.sources.contracts import Contract, enforce
-from lakeloom.streaming import jobs
+from lakeloom.streaming import history_store, jobs, resubmissions
 from tests.conftest import SF, rows
 from workloads.histories import change_feed
 from workloads.registry import Tables
@@ -90,45 +91,70 @@ def test_shared_folder_comes_from_the_session(spark):
     assert s.scratch(spark, "x") != s.scratch(spark, "x")
 
 
-def test_stream_of_late_files_equals_replay(spark, folder):
-    """Files arrive out of order over several runs of the same job."""
-    feed = change_feed(Tables(spark, SF)).where("day <= date'2024-01-08'").cache()
-    run = lambda: jobs.history_sink(jobs.new_files(spark, f"{folder}/in", feed.schema, files_per_trigger=1), f"{folder}/out", f"{folder}/ck", "user_id", "id", "day", "op")
-    for last, part in enumerate(["day <= '2024-01-03'", "day = '2024-01-05'", "day = '2024-01-04'", "day > '2024-01-05'"]):
-        feed.where(part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-        run().awaitTermination()
-    got = jobs.latest_generation(spark, f"{folder}/out", last)
-    assert rows(got) == rows(history.replay(feed, "user_id", "id", "day", "op").select(*got.columns))
-
-
-def test_appending_stream_reads_each_file_once(spark, folder):
-    for day in (1, 2):
-        spark.range(day * 10).write.mode("append").parquet(f"{folder}/in")
-        jobs.append_to(jobs.new_files(spark, f"{folder}/in", "id long"), f"{folder}/out", f"{folder}/ck").awaitTermination()
-    assert spark.read.parquet(f"{folder}/out").count() == 30
-
-
-def test_listing_keeps_the_whole_folder_path(spark, folder):
-    for name in ("a/claims/x.csv", "b/claims/x.csv", "claims90_1.csv", "claims_1.csv"):
-        put(f"{folder}/{name}", "a\n1\n")
-    listing = files.list_files(spark, folder, "*.csv")
-    assert rows(listing, "source_key", "file_name") == sorted([("a/claims", "x.csv"), ("b/claims", "x.csv"), ("", "claims90_1.csv"), ("", "claims_1.csv")], key=str)
-    assert len(rows(files.newest_per_folder(listing))) == 3
-
+FEED = "user_id long, id string, day date, op string, kinds string"
 
-def test_contract_finds_columns_by_header(spark, folder):
-    put(f"{folder}/a.csv", "b,a\n1,2\n")
-    how = Contract("t", "a string, b string", "a string, b int")
-    assert rows(how.shape(how.read(spark, f"{folder}/a.csv"))) == [("2", 1)]
-    with pytest.raises(ValueError):
-        Contract("t", "a string, c string", "a string").read(spark, f"{folder}/a.csv")
 
-
-def test_enveloped_rejects_are_counted(spark, folder):
-    put(f"{folder}/d_20240105.csv", "REPORT,1,2\nx,y,z\n1,a,b\n2,a\n3,a,b,c\nEND,9,9\n")
-    schema = "id int, k string, v string"
-    assert rows(files.read_enveloped(spark, folder, schema), "id") == [(1,)]
-    assert rows(files.enveloped_rejects(spark, folder, schema), "reject") == [("2,a",), ("3,a,b,c",)]
+@pytest.mark.parametrize("how", ["last", "first"])
+def test_stream_of_late_files_equals_replay(spark, folder, how):
+    """Files arrive out of order over several runs of the same job, one of them a full file; one row has no op, one no id."""
+    feed = change_feed(Tables(spark, SF)).where("day <= date'2024-01-08'")
+    odd = spark.createDataFrame([(1, "1", dt.date(2024, 1, 6), None, "odd"), (2, None, dt.date(2024, 1, 6), "upsert", "odd"), (None, None, dt.date(2024, 1, 2), "upsert", "odd"),
+                                 (3, None, dt.date(2024, 1, 6), "delete", "odd")], FEED)
+    feed = s.cut(feed.unionByName(odd))
+    full = F.col("day") == F.lit("2024-01-07").cast("date")
+    names = ("user_id", "id", "day", "op")
+    sizes = []
+    drops = ["day <= '2024-01-03' or day = '2024-01-05'", "day = '2024-01-04'", "day > '2024-01-05'"]
+    for number, part in enumerate(drops):
+        feed.where(part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = jobs.new_files(spark, f"{folder}/in", feed.schema)
+        history_store.keep(stream, f"{folder}/out", f"{folder}/ck", *names, full=full, which_delete=how, buckets=4).awaitTermination()
+        sizes.append(spark.read.parquet(f"{folder}/out/versions/batch={number}").count())
+    for close in (False, True):
+        got = history_store.current(spark, f"{folder}/out", feed.schema, *names, close_on_upsert=close)
+        assert rows(got) == rows(history.replay(feed, *names, full=full, which_delete=how, close_on_upsert=close).select(*got.columns))
+    counted = history_store.audit(spark, f"{folder}/out").orderBy("batch").collect()
+    assert [r.delta_raw for r in counted] == [feed.where(x).count() for x in drops]
+    assert all(r.delete_planned == r.delete_actual and r.upsert_planned == r.upsert_actual and r.total_planned == r.total_actual for r in counted)
+    assert counted[-1].total_actual == got.count() and sizes[1] < 3 * counted[1].delta_raw
+
+
+@pytest.mark.parametrize("how, close", [("last", False), ("first", False), ("last", True), ("first", True)])
+def test_files_applied_one_by_one_by_every_rule(spark, how, close):
+    feed = s.cut(change_feed(Tables(spark, SF)).where("day <= date'2024-01-07'"))
+    odd = spark.createDataFrame([(1, None, dt.date(2024, 1, 6), "upsert", "a"), (2, None, dt.date(2024, 1, 6), "upsert", "a"), (2, None, dt.date(2024, 1, 7), "upsert", "a")], FEED)
+    feed = feed.unionByName(odd)
+    full_day = dt.date(2024, 1, 5)
+    rule = {"which_delete": how, "close_on_upsert": close, "reached_name": "reached"}
+    df = history.replay(feed.where("day <= '2024-01-04'"), "user_id", "id", "day", "op", **rule)
+    for day in (5, 6, 7):
+        d = dt.date(2024, 1, day)
+        df = s.cut(history.apply_batch(df, feed.where(F.col("day") == F.lit(d)).drop("day"), "user_id", "id", "op", F.lit(d), full=d == full_day, **rule))
+    want = history.replay(feed, "user_id", "id", "day", "op", full=F.col("day") == F.lit(full_day), **rule)
+    assert rows(df) == rows(want.select(*df.columns))
+
+
+def test_audit_counts_rows_without_op_as_upserts(spark):
+    feed = spark.createDataFrame([(1, "a", dt.date(2024, 1, 1), None, "x"), (1, "a", dt.date(2024, 1, 2), "delete", "x"), (2, "b", dt.date(2024, 1, 2), "upsert", "x")],
+                                 FEED)
+    counted = history.audit(feed, "user_id", "id", "day", "op").orderBy("day").collect()
+    assert [(r.upsert_raw, r.upsert_planned, r.upsert_actual, r.delete_planned, r.delete_actual) for r in counted] == [(1, 1, 1, 0, 0), (1, 1, 1, 1, 1)]
+
+
+def test_streamed_resubmissions_wait_for_late_requests(spark, folder):
+    kinds = "k string, row long, asked date, decided date, needs boolean"
+    day = lambda m, d: dt.date(2024, m, d)
+    drops = [[("a", 1, day(1, 1), day(1, 2), True), ("a", 3, day(1, 5), day(1, 6), True), (None, 9, day(1, 1), None, True), ("a", 8, None, None, True)],
+             [("a", 2, day(1, 3), day(1, 9), True)],
+             [("b", 4, day(3, 1), None, None)],
+             [("a", 5, day(1, 4), day(1, 4), True), ("a", 6, day(3, 2), None, True), ("a", 7, day(3, 2), None, True), ("b", 10, day(3, 1), None, True)]]
+    expected = [{1: 0, 3: 1, 9: 0}, {1: 0, 2: 1, 3: 0, 9: 0}, {1: 0, 2: 1, 3: 0, 4: 0, 9: 0}, {1: 0, 2: 1, 3: 0, 4: 0, 6: 3, 7: 0, 9: 0, 10: 0}]
+    for drop, want in zip(drops, expected):
+        spark.createDataFrame(drop, kinds).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        numbers = resubmissions.resubmissions(jobs.new_files(spark, f"{folder}/in", spark.createDataFrame([], kinds).schema), ["k"], "asked", "decided",
+                                              F.col("needs"), ["row"], "10 days")
+        jobs.update_each(numbers, f"{folder}/out", f"{folder}/ck").awaitTermination()
+        assert dict(rows(jobs.newest_values(spark, f"{folder}/out", ["k", "row"]), "row", "resubmission")) == want
 
 
 RECORDS = ['1,"a\nb",x', '2,plain 5" pipe,"""q"",\n\n"', '3,"",', '4,"open, then\n""quoted""\n,end"tail,z', '5,,"\n"', '6,"' + 'w\n' * 40 + '",y', "7,too,many,fields", '8,"\r\n",last\r']
