@@ -241,3 +241,38 @@ def test_one_stand_in_per_code(spark):
     stand_ins = spark.createDataFrame([("b", "z"), ("b", "q")], "code string, dummy string")
     got = resolve_code(codes, "code", spark.createDataFrame([("a",)], "code string"), "code", stand_ins, "code", "dummy")
     assert rows(got, "code", "resolved") == [("a", "a"), ("b", "q")]
+
+
+def test_measures_by_bits_and_by_rows_agree(spark):
+    import random
+
+    from lakeloom.plans.metrics import Distinct, Role, Share, Total, by_every_role, evaluate
+
+    r = random.Random(5)
+    data = [(r.choice(["x", "y", None]), r.choice(["p", "q", "x"]), r.choice([None, -70000, -1, 0, 5, 32767, 32768, 99999, 2**40]), r.choice([None, 1, 2, 3]), r.choice([None, True, False]),
+             r.choice([None, 1.25, -3.5, 7e20])) for _ in range(400)]
+    fact = spark.createDataFrame(data, "a string, b string, item long, member int, on boolean, paid double")
+    measures = {"items": Distinct("item"), "on_items": Distinct("item", F.col("on")), "members": Distinct("member", ~F.col("on")), "part": Share("on_items", "items"),
+                "paid": Total(F.col("paid")), "on_paid": Total(F.col("paid"), F.col("on"), "decimal(38,2)")}
+    levels = [["a", "b"], ["b"], []]
+    found = [rows(evaluate(fact, measures, ["a", "b"], levels, bitmaps=bits)) for bits in (False, True)]
+    assert found[0] == found[1]
+    count = lambda mine, c, want: len({d[c] for d in mine if d[c] is not None and want(d[4])})
+    want = []
+    for level in (("a", "b"), ("b",), ()):
+        at = [["a", "b"].index(x) for x in level]
+        for group in {tuple(d[i] for i in at) for d in data}:
+            mine = [d for d in data if tuple(d[i] for i in at) == group]
+            named = dict(zip(level, group))
+            want.append((named.get("a"), named.get("b"), len(level), count(mine, 2, lambda on: True), count(mine, 2, lambda on: on), count(mine, 3, lambda on: on is False)))
+    assert sorted([x[:6] for x in found[0]], key=str) == sorted(want, key=str)
+    with pytest.raises(ValueError):
+        evaluate(fact, {"n": Distinct("b")}, ["a"], bitmaps=True)
+    assert evaluate(fact.limit(0), measures, ["a"], bitmaps=True).collect() == []
+    # roles: every row once under each name, unknown keys under a blank member
+    dim = spark.createDataFrame([(1, "one", 10), (2, "two", 20)], "k int, name string, up int")
+    top = spark.createDataFrame([(10, "ten")], "u int, city string")
+    paths = {"own": [Role(dim, "member", "k", ["up"]), Role(top, "up", "u", ["city"])], "same": [Role(top, "member", "u", ["city"])]}
+    got = rows(by_every_role(fact, {"n": Total(F.lit(1))}, paths, ["city"]))
+    ones = sum(d[3] == 1 for d in data)
+    assert got == sorted([("own", "ten", float(ones)), ("own", None, float(400 - ones)), ("same", None, 400.0)], key=str)

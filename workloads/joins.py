@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeloom.operators import joins
-from lakeloom.plans.metrics import Role, evaluate, standard_measures
+from lakeloom.plans.metrics import Role, by_every_role, evaluate, standard_measures
 from workloads.registry import Tables, query
 
 c = F.col
@@ -45,10 +45,9 @@ def metric_by_role(t: Tables):
     fact = t.lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice").join(
         t.orders.select(c("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", "o_orderpriority"), "l_orderkey")
     measures = _measures("l_orderkey", "o_custkey", "l_extendedprice")
-    by = lambda dim, key, dim_key, nation: evaluate(fact, measures, ["n_name"], roles=[
-        Role(dim, key, dim_key, [nation]), Role(t.nation, nation, "n_nationkey", ["n_name"])])
-    member = by(t.customer, "o_custkey", "c_custkey", "c_nationkey").withColumn("role", F.lit("member"))
-    return member.unionByName(by(t.supplier, "l_suppkey", "s_suppkey", "s_nationkey").withColumn("role", F.lit("facility")))
+    paths = {"member": [Role(t.customer, "o_custkey", "c_custkey", ["c_nationkey"]), Role(t.nation, "c_nationkey", "n_nationkey", ["n_name"])],
+             "facility": [Role(t.supplier, "l_suppkey", "s_suppkey", ["s_nationkey"]), Role(t.nation, "s_nationkey", "n_nationkey", ["n_name"])]}
+    return by_every_role(fact, measures, paths, ["n_name"])
 
 
 @query(f"""SELECT r_name, n_name, CAST(2 - grouping(r_name) - grouping(n_name) AS INTEGER) AS level, {_measure_sql('o_orderkey', 'o_totalprice')}
@@ -59,7 +58,7 @@ def metric_rollup(t: Tables):
              Role(t.nation, "c_nationkey", "n_nationkey", ["n_name", "n_regionkey"]),
              Role(t.region, "n_regionkey", "r_regionkey", ["r_name"])]
     by = ["r_name", "n_name"]
-    return evaluate(t.orders, _measures("o_orderkey", "o_custkey", "o_totalprice"), by, levels=[by, by[:1], []], roles=roles)
+    return evaluate(t.orders, _measures("o_orderkey", "o_custkey", "o_totalprice"), by, levels=[by, by[:1], []], roles=roles, bitmaps=True)
 
 
 @query("""SELECT o_orderpriority, count(*) AS n_lines, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS amount
