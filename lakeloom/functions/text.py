@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WHITESPACE = " \t\n\r\f\x0b\x85\xa0"
+#: Maps of so few entries become plain comparisons.
+FEW = 3
 PLACEHOLDERS = ("N/A", "NULL", "NAN", "NONE", "")
 
 
@@ -34,6 +36,11 @@ def mapped(c: Column, mapping: Mapping, on_missing: str = "keep") -> Column:
     if not mapping:
         return c if on_missing == "keep" else F.lit(None).cast("string")
     known = [k for k in mapping if k is not None]
+    if len(known) <= FEW:
+        found = F
+        for k in known:
+            found = found.when(c == F.lit(k), F.lit(mapping[k]))
+        return c if found is F else found.otherwise(c if on_missing == "keep" else F.lit(None))
     hit = F.try_element_at(value_map({k: mapping[k] for k in known}), c)
     if on_missing == "null":
         return hit
@@ -48,7 +55,7 @@ def map_values(
     for name in cols:
         value = mapped(F.col(name), mapping)
         if default is not None:
-            value = F.when(value.isNull() | (F.trim(value) == ""), F.lit(default)).otherwise(value)
+            value = F.coalesce(F.when(F.trim(value) != "", value), F.lit(default))
         out[name] = value
     return df.withColumns(out)
 

@@ -18,7 +18,7 @@ from lakeloom.operators.windows import (
     current_flag, fill_forward, group_number, latest_value, resubmissions, running_total, surrogate_key,
     with_filled_count,
 )
-from lakeloom.session import cut
+from lakeloom.session import apart, cut
 
 
 def claims_silver(raw: DataFrame, surgical_codes: DataFrame, descriptions: DataFrame, reasons: DataFrame,
@@ -29,11 +29,12 @@ def claims_silver(raw: DataFrame, surgical_codes: DataFrame, descriptions: DataF
     raw: reference, provider, facility, member_postal, provider_postal, provider_region, kind,
     specialty, code, code_paid, coordinated, reason, remark, amount
     """
-    df = text.map_values(text.trim_strings(raw), ["kind"], kinds)
+    df = text.map_values(apart(text.trim_strings(raw)), ["kind"], kinds)
     df = text.map_values(df, ["provider", "facility", "code"], {"N/A": None})
-    df = df.withColumns({
+    df = apart(df.withColumns({
         "provider": text.zero_pad(F.col("provider"), 9), "facility": text.zero_pad(F.col("facility"), 9),
         "code": text.zero_pad(F.col("code"), 5), "code_paid": text.zero_pad(F.col("code_paid"), 5),
+    })).withColumns({
         "coordinated": rules.yes_no(F.col("coordinated")),
         "claim_date": dates.reference_date(F.col("reference")),
         "member_region": text.region_from_code(F.col("member_postal"), regions),
@@ -42,18 +43,19 @@ def claims_silver(raw: DataFrame, surgical_codes: DataFrame, descriptions: DataF
         "facility_prefix": text.leading(F.col("provider_postal")),
         "system": rules.split_system(F.col("provider_region"), split_region, split_region, "CAN"),
     })
-    listed = surgical_codes.select(F.col("code").alias("surgical_code")).distinct().withColumn(
-        "listed", F.col("surgical_code"))
-    df = lookup_each(df, listed, "surgical_code", {"code": "_submitted", "code_paid": "_paid"}, ["listed"])
+    # what a code stands for is put together once, so that each code column is looked up once
+    listed = surgical_codes.select(F.col("code").alias("code")).distinct().withColumn("listed", F.lit(True))
+    codes = cut(descriptions.select("code", "description").join(listed, "code", "full"))
+    df = lookup_each(apart(df), codes, "code", {"code": "_submitted", "code_paid": "_paid"}, ["description", "listed"])
     key = lambda code, hit: text.code_key(
         F.col(code), F.col("system"), F.col("specialty"),
         rules.surgical(F.col(hit), F.col("specialty"), surgeon), own_specialties, split_region)
     df = df.withColumns({
         "code_key_submitted": key("code", "listed_submitted"), "code_key_paid": key("code_paid", "listed_paid"),
     }).drop("listed_submitted", "listed_paid")
-    df = lookup_each(df, descriptions, "code", {"code": "_submitted", "code_paid": "_paid"}, ["description"])
-    df = lookup(df, reasons, {"reason": "reason"}, {"label": "reason_label"})
-    return lookup(df, reasons, {"remark": "reason"}, {"label": "remark_label"})
+    labels = cut(reasons)
+    df = lookup(df, labels, {"reason": "reason"}, {"label": "reason_label"})
+    return lookup(df, labels, {"remark": "reason"}, {"label": "remark_label"})
 
 
 def estimates_silver(raw: DataFrame, descriptions: DataFrame, reasons: DataFrame, regions: Mapping[str, str],

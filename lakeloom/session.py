@@ -68,3 +68,13 @@ def cut(df: DataFrame) -> DataFrame:
     path = scratch(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def apart(df: DataFrame) -> DataFrame:
+    """End the generated loop here, so that the steps before and after are compiled as methods of their own.
+
+    Spark fuses a chain of projections and broadcast joins into one method, and the JVM never compiles methods above
+    8 000 bytecodes: wide chains then run several times slower. Coalescing to more partitions than there are moves no row, needs no
+    shuffle and is not fused.
+    """
+    return df.coalesce(1 << 20)
