@@ -20,6 +20,9 @@ CELL_BITS, BUFFER = 18, 1 << 20
 #: Costs of the prefix choice, in units of one candidate found once: a verification, a prefix token moved.
 VERIFY_COST, TOKEN_COST = 50.0, 20.0
 MOST_MATCHES = 32
+#: A set's bits say which of so many longs' places an odd number of its shingles falls on.
+BIT_LONGS = 8
+BITS = [f"bits{i}" for i in range(BIT_LONGS)]
 #: Shingles of a block; two blocks of a component are held against each other in one task.
 BLOCK_SHINGLES = 500_000
 
@@ -28,8 +31,17 @@ def _cell(own: np.ndarray) -> np.ndarray:
     return (own >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
+def _bits(own: np.ndarray) -> np.ndarray:
+    """For each place whether an odd number of a set's shingles falls on it, 64 places a long.
+
+    Two sets differ in no fewer shingles than in places, which bounds what they share from above.
+    """
+    odd = np.bincount((own & np.uint64(64 * BIT_LONGS - 1)).astype(np.int64), minlength=64 * BIT_LONGS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _scan(batches):
-    """Set size and name of every row, and at the end the task's sketch of shingle frequencies."""
+    """Set size, name and bits of every row, and at the end the task's sketch of shingle frequencies."""
     cells = np.zeros(1 << CELL_BITS, dtype=np.int64)
     waiting: list[np.ndarray] = []
 
@@ -38,23 +50,25 @@ def _scan(batches):
             cells[:] += np.bincount(np.concatenate(waiting), minlength=len(cells))
             waiting.clear()
 
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("sketch", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), *[(b, pa.int64()) for b in BITS], ("sketch", pa.list_(pa.int64()))])
     for batch in batches:
-        nodes, sizes, held = [], [], 0
+        nodes, sizes, bits, held = [], [], [], 0
         for own in shingles.sets(batch.column(1)):
             nodes.append(shingles.node(own))
             sizes.append(len(own))
+            bits.append(_bits(own))
             waiting.append(_cell(own))
             held += len(own)
             if held > BUFFER:
                 count()
                 held = 0
         count()
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
+        places = np.array(bits, dtype=np.int64).reshape(-1, BIT_LONGS)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), *[pa.array(x) for x in places.T],
                                           pa.nulls(len(nodes), pa.list_(pa.int64()))], schema=schema)
     if cells.any():
         none = pa.nulls(1, pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array([cells], pa.list_(pa.int64()))], schema=schema)
+        yield pa.RecordBatch.from_arrays([none] * (3 + BIT_LONGS) + [pa.array([cells], pa.list_(pa.int64()))], schema=schema)
 
 
 def _combined(batches):
@@ -69,9 +83,9 @@ def _combined(batches):
 
 
 def scan(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Rows (doc_id, node, n) of (doc_id, text), and the summed sketch, whose size is fixed."""
-    found = cut(docs.mapInArrow(_scan, "doc_id long, node long, n long, sketch array<long>"))
-    rows = found.filter("sketch IS NULL").select("doc_id", "node", "n")
+    """Rows (doc_id, node, n, and BITS) of (doc_id, text), and the summed sketch, whose size is fixed."""
+    found = cut(docs.mapInArrow(_scan, f"doc_id long, node long, n long, {', '.join(f'{b} long' for b in BITS)}, sketch array<long>"))
+    rows = found.filter("sketch IS NULL").select("doc_id", "node", "n", *BITS)
     parts = found.filter("sketch IS NOT NULL").select("sketch").mapInArrow(_combined, "cell int, n long")
     sums = parts.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     cells = np.zeros(1 << CELL_BITS, dtype=np.int64)
@@ -166,14 +180,20 @@ def asked_matches(n, m, o, p, percent: int = PERCENT):
     return F.greatest(F.least(m, p), overlap - F.greatest(*left))
 
 
+def may_link(n, o, bits, others, percent: int = PERCENT):
+    """Whether sets of n and o shingles can link, as far as their bits tell: they share no more than (n + o - places they differ in) / 2."""
+    apart = sum((F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(bits, others)), F.lit(0))
+    return n + o - apart >= 2 * F.ceil((n + o) * percent / F.lit(100.0 + percent) - 1e-9)
+
+
 def _shared(front: DataFrame) -> DataFrame:
     """Rows (token, node, n, m), each once, of the tokens that several sets have in their prefixes.
 
-    Copies of a text meet before the shuffle, and counts are joined back, so that no task gathers a token's rows.
+    Tokens are told first, copies of a text meeting before that shuffle; prefixes are made once more for the rows, which costs
+    time but no table of all of them. No task gathers a token's rows: the join splits a hot one.
     """
-    front = cut(front.dropDuplicates(["token", "node"]))
-    several = front.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
-    return front.join(several.select("token"), "token").select("token", "node", "n", "m")
+    several = cut(front.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("token"))
+    return front.join(several, "token").select("token", "node", "n", "m").dropDuplicates(["token", "node"])
 
 
 def links(docs: DataFrame, rows: DataFrame, cells: np.ndarray, percent: int = PERCENT) -> DataFrame:
@@ -183,7 +203,7 @@ def links(docs: DataFrame, rows: DataFrame, cells: np.ndarray, percent: int = PE
     shares more. A token's centre is its set that holds most: of a group of copies the one least changed.
     Every set is held against one centre, the one it shares most tokens with, if these are at least half
     of what a link asks for; a token whose sets all came together asks for nothing more. Every pair that is left,
-    in different components, of fitting sizes, holding and sharing enough tokens, is verified in the last round.
+    in different components, of fitting sizes, whose bits allow a link, holding and sharing enough tokens, is verified in the last round.
     So no link is missed: two sets that link end in one component, by their own link or by a chain of links.
     """
     shared = cut(_shared(prefixes(docs, cells, percent)))
@@ -205,9 +225,11 @@ def links(docs: DataFrame, rows: DataFrame, cells: np.ndarray, percent: int = PE
             asked = asked.groupBy("node", "n", "m", "other", "o", "p").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") * 2 >= need)
             pairs = asked.groupBy("node").agg(F.max_by("other", F.struct("c", "other")).alias("other"))
         else:
-            one = marked.select("token", "node", "n", "m", "held", "label")
-            two = one.toDF("token", "other", "o", "p", "has", "rival")
-            met = one.join(two, "token").filter("node < other AND label <> rival").filter(fits & holds)
+            bits = rows.filter("node IS NOT NULL").groupBy("node").agg(*[F.first(b).alias(b) for b in BITS])
+            one = cut(marked.select("token", "node", "n", "m", "held", "label").join(bits, "node").select("token", "node", "n", "m", "held", "label", *BITS))
+            theirs = [f"other_{b}" for b in BITS]
+            two = one.toDF("token", "other", "o", "p", "has", "rival", *theirs)
+            met = one.join(two, "token").filter("node < other AND label <> rival").filter(fits & holds & may_link(F.col("n"), F.col("o"), BITS, theirs, percent))
             pairs = met.groupBy("node", "n", "m", "other", "o", "p").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= need)
         pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
         if tried is not None:
@@ -335,7 +357,7 @@ def _placed(docs: DataFrame, percent: int) -> DataFrame:
     """Rows (node, doc_id, n, label) of (doc_id, text): label names the component, null for texts without shingles."""
     rows, cells = scan(docs)
     label = links(docs, rows, cells, percent).select("node", "label")
-    return rows.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return rows.drop(*BITS).join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
 def _component(placed: DataFrame) -> DataFrame:
