@@ -184,8 +184,8 @@ def index_parts(items: DataFrame, part_words: int = PART_WORDS, stride: int = ST
             continue
         texts = {x["item"]: x["text"] for x in items.filter(mine).toArrow().to_pylist()}
         ids, pieces = rows.column("item").to_numpy(), rows.column("piece").to_numpy()
-        names, number = np.unique(ids * np.int64(1 << 20) + pieces, return_inverse=True)
-        owners = [int(x) >> 20 for x in names]
+        names, number = np.unique(np.stack([ids, pieces], axis=1), axis=0, return_inverse=True)
+        number, owners = number.reshape(-1), names[:, 0].tolist()
         yield Index(rows.column("term").to_numpy().view(np.uint64), number, rows.column("impact").to_numpy(), owners,
                     [texts[x] for x in owners])
 
