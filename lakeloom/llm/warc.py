@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from lakeloom.session import cut
 
-#: Fixed values of the format: the line that opens a record, and what ends a header line, a header and a record.
-MAGIC, CRLF = "WARC/1.0\r\n", "\r\n"
+#: Fixed values of the format: what opens a record, the version that is written, those that are read, and what ends a header line, a header and a record.
+MAGIC, CRLF = "WARC/1.", "\r\n"
+VERSION, VERSIONS = "0" + CRLF, r"\A[01]\r\n"
 RECORD_END = CRLF + CRLF
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads of fewer bytes are stored every time.
@@ -40,7 +41,7 @@ def records(pages: DataFrame, *, id: str = "page_id", url: str = "url", html: st
     def line(key: str, value: Column) -> Column:
         return F.concat(F.lit(key + ": "), value, F.lit(CRLF))
 
-    head = [F.lit(MAGIC), line("WARC-Type", F.when(again, "revisit").otherwise("response")), line("WARC-Record-ID", name),
+    head = [F.lit(MAGIC + VERSION), line("WARC-Type", F.when(again, "revisit").otherwise("response")), line("WARC-Record-ID", name),
             line("WARC-Date", F.lit(date)), line("WARC-Target-URI", F.col("url")),
             line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
             F.when(again, F.concat(line("WARC-Profile", F.lit(PROFILE)),
@@ -91,11 +92,11 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def candidates(parts: DataFrame) -> DataFrame:
     """Rows (file, block, at, next) of every magic: where its record's successor would stand, if its header says so.
 
-    A magic without a whole header, or with a length that is no number, has no successor.
+    A magic of an unknown version, without a whole header, or with a length that is no number, has no successor.
     """
     head = F.substring_index("chunk", RECORD_END, 1)
     length = F.regexp_extract(head, r"(?i)(?:^|\r\n)Content-Length:[ \t]*([0-9]{1,18})[ \t]*(?:\r\n|$)", 1)
-    size = F.when(F.contains("chunk", F.lit(RECORD_END)) & (length != ""), length.cast("long"))
+    size = F.when(F.col("chunk").rlike(VERSIONS) & F.contains("chunk", F.lit(RECORD_END)) & (length != ""), length.cast("long"))
     after = F.col("at") + len(MAGIC) + F.octet_length(head) + len(RECORD_END) + size + len(RECORD_END)
     return parts.filter("at >= 0").select("file", "block", "at", after.alias("next"))
 
@@ -152,7 +153,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """Rows (file, at, record_type, record_id, refers_to, url, digest, payload) of every true record.
 
     A record whose payload holds the magic spans several chunks; they are put together by place.
-    Empty archives give an empty result.
+    Records of versions 1.0 and 1.1 are read. Empty archives give an empty result.
     """
     parts = chunks(spark, path)
     marks = cut(candidates(parts))
