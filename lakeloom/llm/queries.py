@@ -203,7 +203,7 @@ def op1_token_counts(spark, table):
 @query()
 def op4_suffix_dedup(spark, table):
     found = suffix_dedup.dedup(table("documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "text")
 
 
 @query()

@@ -280,7 +280,7 @@ def repeated_spans(docs: DataFrame, *, width: int = WIDTH, anchor: int = ANCHOR,
 
 def _removed(batches):
     for batch in batches:
-        out = [[] for _ in range(4)]
+        out = [[] for _ in range(5)]
         for text, wanted in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             body = (text or "").encode("utf-8", "surrogatepass")
             kept, at, runs = [], 0, 0
@@ -290,14 +290,14 @@ def _removed(batches):
                     runs += 1
                 at = max(at, x["to"])
             kept = b"".join([*kept, body[at:]])
-            for column, value in zip(out, (len(body), len(body) - len(kept), runs, kept)):
+            for column, value in zip(out, (len(body), len(body) - len(kept), runs, kept, kept.decode("utf-8", "replace"))):
                 column.append(value)
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.binary())],
-                                         names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.binary()), pa.array(out[4], pa.string())],
+                                         names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "text"])
 
 
 def dedup(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = WIDTH, **sizes) -> DataFrame:
-    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept (binary).
+    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept (binary) and kept as ``text``, a character that was cut being U+FFFD.
 
     Texts are UTF-8 bytes, null texts empty. A byte goes if a string of ``width`` bytes that covers it also
     starts anywhere else, in the same text too; judged on the input. Spans are maximal runs of removed bytes. Equal texts,
@@ -308,4 +308,4 @@ def dedup(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int
     found = repeated_spans(rows.select("key", "bytes", "text"), width=width, **sizes)
     held = found.groupBy("key", "bytes").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
     placed = rows.join(held, ["key", "bytes"], "left").select("doc_id", "text", "spans")
-    return placed.mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return placed.mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, text string")

@@ -413,3 +413,32 @@ def test_warc_magic_and_splits(spark):
     empty = scratch(spark, "warc")
     warc.write(pages.limit(0), empty)
     assert warc.read(spark, empty).count() == 0
+
+
+def test_mix_reads_whole_documents_as_often_as_it_takes_them(spark, docs):
+    rows = [(i, " ".join(["w"] * (1 + i % 7)), f"s{i % 3}") for i in range(60)] + [(5, "twice the same text", "s0")] * 4 + [(None, "no id", "s1"), (9, " ", "s1"), (8, None, "s2")]
+    for total in (1.0, 150.0, 1e6):
+        how = {"domain": F.lit("d"), "total": total, "max_epochs": 3}
+        weight = F.when(F.col("source") == "s1", 3.0).otherwise(1.0)
+        taken = mixing.mix(docs(rows), weight, **how)
+        assert taken.agg(F.sum("take")).first()[0] == min(total, 3 * sum(len(x[1].split()) for x in rows if x[1]))
+        want = sorted((str(r.doc_id), r.tokens) for r in taken.collect())
+        for ranges in (2, 4096) if total == 150 else (4096,):
+            made = mixing.apply(docs(rows), weight, ranges=ranges, **how)
+            assert made.columns == docs(rows).columns
+            assert sorted((str(r.doc_id), len(r.text.split())) for r in made.collect()) == want
+
+
+def test_items_of_any_number(spark, docs):
+    body = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    items = spark.createDataFrame([(k, body(k)) for k in (1 << 43, (1 << 63) - 1, -(1 << 63), -1, 0, 1 << 44)], "item_id long, text string")
+    found = decontaminate.matches(docs([(1, body(1 << 43)), (2, "x " + body(-1) + " y"), (3, body((1 << 63) - 1) + " " + body(1 << 44)), (4, body(7))]), items).filter("leaked").collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1 << 43), (2, -1), (3, (1 << 63) - 1), (3, 1 << 44)}
+
+
+def test_archives_of_both_versions(spark, tmp_path):
+    record = lambda v, id, body: f"WARC/1.{v}\r\nWARC-Type: response\r\nWARC-Record-ID: {id}\r\nContent-Length: {len(body)}\r\n\r\n{body}\r\n\r\n"
+    inner = record(0, "<urn:page:99>", "never")
+    (tmp_path / "a.warc").write_bytes((record(1, "<urn:page:1>", "one") + record(0, "<urn:page:2>", f"WARC/1.2\r\n{inner}") + record(1, "<urn:page:3>", "")).encode())
+    got = {r.record_id: r.payload for r in warc.read(spark, str(tmp_path)).collect()}
+    assert got == {"<urn:page:1>": "one", "<urn:page:2>": f"WARC/1.2\r\n{inner}", "<urn:page:3>": ""}

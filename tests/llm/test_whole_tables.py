@@ -54,7 +54,10 @@ def test_token_counts(spark, texts, byte_tokenizer):
 def test_suffix_dedup(spark, texts):
     want = {i: r for (i, _), r in zip(texts, repeated([t for _, t in texts], 400))}
     got = queries.QUERIES["op4_suffix_dedup"](spark, SF).collect()
-    assert {r.doc_id: tuple(r)[1:] for r in got} == want
+    assert {r.doc_id: tuple(r)[1:5] for r in got} == want
+    whole = dict(texts)
+    assert all(r.text == (whole[r.doc_id] or "") for r in got if not r.n_removed)
+    assert all(len(r.text) < len(whole[r.doc_id]) for r in got if r.n_removed)
 
 
 def repeated(texts, width):
