@@ -280,20 +280,25 @@ def repeated_spans(docs: DataFrame, *, width: int = WIDTH, anchor: int = ANCHOR,
 
 def _removed(batches):
     for batch in batches:
-        out = [[] for _ in range(5)]
-        for text, wanted in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            body = (text or "").encode("utf-8", "surrogatepass")
-            kept, at, runs = [], 0, 0
-            for x in sorted(wanted or [], key=lambda x: (x["from"], x["to"])):
-                if x["from"] > at or not runs:
-                    kept.append(body[at:x["from"]])
-                    runs += 1
-                at = max(at, x["to"])
-            kept = b"".join([*kept, body[at:]])
-            for column, value in zip(out, (len(body), len(body) - len(kept), runs, kept, kept.decode("utf-8", "replace"))):
-                column.append(value)
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.binary()), pa.array(out[4], pa.string())],
-                                         names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "text"])
+        for low in range(0, batch.num_rows, 256):
+            yield _left(batch.slice(low, 256))
+
+
+def _left(batch: pa.RecordBatch) -> pa.RecordBatch:
+    out = [[] for _ in range(4)]
+    for text, wanted in zip(batch.column(1), batch.column(2).to_pylist()):
+        body = text.as_buffer().to_pybytes()
+        kept, at, runs = [], 0, 0
+        for x in sorted(wanted or [], key=lambda x: (x["from"], x["to"])):
+            if x["from"] > at or not runs:
+                kept.append(body[at:x["from"]])
+                runs += 1
+            at = max(at, x["to"])
+        kept = b"".join([*kept, body[at:]])
+        for column, value in zip(out, (len(body), len(body) - len(kept), runs, kept)):
+            column.append(value)
+    return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.binary())],
+                                      names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def dedup(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = WIDTH, **sizes) -> DataFrame:
@@ -308,4 +313,5 @@ def dedup(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int
     found = repeated_spans(rows.select("key", "bytes", "text"), width=width, **sizes)
     held = found.groupBy("key", "bytes").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
     placed = rows.join(held, ["key", "bytes"], "left").select("doc_id", "text", "spans")
-    return placed.mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, text string")
+    return placed.mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary").withColumn(
+        "text", F.make_valid_utf8(F.col("kept").cast("string")))
