@@ -15,8 +15,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
-#: A line goes where more documents of its host hold it than both this many and this share of the host.
-LINE_DOCS, LINE_SHARE = 20, 0.1
+#: A line goes where more documents of its host hold it than this, whatever the host's size.
+LINE_DOCS = 20
 #: A document is depleted when less than this share of its words is left.
 LEFT_SHARE = 0.5
 
@@ -88,22 +88,19 @@ def measures(docs: DataFrame, *, id: str = "doc_id", text: str = "text", host: s
             F.xxhash64(x).alias("h"), (F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("w"))).alias("lines"))
 
 
-def frequent_lines(measured: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
-    """Rows (host, text_hash, frequent): the hashes of lines of a text above its host's limit.
+def frequent_lines(measured: DataFrame, line_docs: int = LINE_DOCS) -> DataFrame:
+    """Rows (host, text_hash, frequent): the hashes of a text's lines that more than ``line_docs`` texts of its host hold.
 
     Documents with equal text count once, so copies do not make a line frequent.
     """
     texts = measured.select("host", "text_hash", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
     texts = texts.distinct()
-    hosts = measured.select("host", "text_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    counts = texts.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > line_docs)
-    limit = F.greatest(F.lit(float(line_docs)), F.col("texts") * line_share)
-    above = counts.join(hosts, "host").filter(F.col("n") > limit).select("host", "h")
+    above = texts.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > line_docs).select("host", "h")
     return texts.join(above, ["host", "h"]).groupBy("host", "text_hash").agg(F.collect_set("h").alias("frequent"))
 
 
 def judge(docs: DataFrame, *, id: str = "doc_id", text: str = "text", host: str = "source", min_words: int = MIN_WORDS,
-          repeat_percent: int = REPEAT_PERCENT, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE,
+          repeat_percent: int = REPEAT_PERCENT, line_docs: int = LINE_DOCS,
           left_share: float = LEFT_SHARE) -> DataFrame:
     """One row per input row: id, measures, base_failed, left_words (words outside frequent lines), kept,
     and for the rewriting of texts host, text_hash and frequent (hashes of the lines that go, or null).
@@ -113,7 +110,7 @@ def judge(docs: DataFrame, *, id: str = "doc_id", text: str = "text", host: str
     lines. Repeated rows are judged alike; an empty table gives an empty result; other columns are ignored.
     """
     measured = cut(measures(docs, id=id, text=text, host=host))
-    found = frequent_lines(measured, line_docs, line_share)
+    found = frequent_lines(measured, line_docs)
     gone = F.coalesce(F.aggregate(
         F.filter("lines", lambda x: F.array_contains("frequent", x["h"])), F.lit(0), lambda s, x: s + x["w"]), F.lit(0))
     rows = measured.join(found, ["host", "text_hash"], "left").withColumn("left_words", F.col("n_words") - gone)

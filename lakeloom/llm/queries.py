@@ -139,8 +139,7 @@ t AS (SELECT doc_id, i, list_aggregate(words[i:i + 2], 'string_agg', ' ') AS tri
 r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
     SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM t QUALIFY count(*) OVER (PARTITION BY doc_id, tri) > 1) GROUP BY doc_id),
 l AS (SELECT doc_id, host, text, unnest(plain) AS line FROM d),
-f AS (SELECT host, line FROM l GROUP BY host, line HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) >
-    0.1 * (SELECT count(DISTINCT text) FROM d WHERE d.host = l.host)),
+f AS (SELECT host, line FROM l GROUP BY host, line HAVING count(DISTINCT text) > 20),
 g AS (SELECT doc_id, sum(len(string_split(line, ' '))) AS n FROM l SEMI JOIN f USING (host, line) GROUP BY doc_id),
 m AS (SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
     CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,

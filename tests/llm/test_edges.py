@@ -277,12 +277,16 @@ def test_frequent_lines(spark, docs):
     menu = "Menu 7 items\nmenu  8 ITEMS"
     rows = [(i, menu + "\n" + body(), "h") for i in range(12)] + [(50, "\n".join([menu] * 30) + "\n" + " ".join(body().split()[:20]), "h")]
     rows += [(100 + i, menu + "\n" + body(), "other%d" % i) for i in range(5)] + [(200 + i, rows[0][1], None) for i in range(12)]
-    limits = dict(line_docs=5, line_share=0.1, repeat_percent=100)
+    limits = dict(line_docs=5, repeat_percent=100)
     got = {r.doc_id: r for r in quality.judge(docs(rows), **limits).collect()}
     assert all(got[i].kept and got[i].left_words == 72 for i in range(12)) and not got[50].kept
     assert all(got[i].left_words == got[i].n_words for i in [*range(100, 105), *range(200, 212)])
     texts = {r.doc_id: r.text for r in quality.clean(docs(rows), **limits).collect()}
     assert 50 not in texts and "enu" not in texts[3] and texts[100] == rows[13][1] and len(texts) == len(rows) - 1
+    # a host's further documents do not change what is cut from the first ones
+    more = rows + [(1000 + i, body(), "h") for i in range(200)]
+    large = {r.doc_id: r for r in quality.judge(docs(more), **limits).collect()}
+    assert all(large[i].left_words == got[i].left_words and large[i].kept == got[i].kept for i in got)
 
 
 # 7 sharding
