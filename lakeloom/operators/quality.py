@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from lakeloom.operators.aggregate import long_values
 from lakeloom.operators.joins import anti
-from lakeloom.session import cut
+from lakeloom.session import cut, scratch
 
 
 def _as_text(c: str, kind: T.DataType) -> Column:
@@ -109,68 +110,86 @@ def _stem(name: str) -> str:
     return name.split("_", 1)[-1].lower()
 
 
+def column_sets(columns: Sequence[tuple[int, DataFrame, str]]) -> DataFrame:
+    """For each set of columns that some value stands in, and in no other column: its bits, and how many values have it.
+
+    ``columns`` are (number, table, name); columns of one table must come as the same frame, which is read once. A value's text
+    gets one bit per column that holds it, in as many longs as the numbers need; equal sets of bits are then counted, so what is
+    left has a row per set that occurs. A value that fills a column is merged in the tasks before it moves. Nulls count nowhere.
+    """
+    tables: dict[int, tuple[DataFrame, list]] = {}
+    for number, df, name in columns:
+        tables.setdefault(id(df), (df, []))[1].append(F.struct(F.lit(number).alias("_id"), F.col(f"`{name}`").cast("string").alias("_v")))
+    cells = [df.select(F.explode(F.array(*parts)).alias("_c")).select("_c.*") for df, parts in tables.values()]
+    words = range(max((number for number, *_ in columns), default=0) // 64 + 1)
+    bit = lambda w: F.when(F.floor(F.col("_id") / 64) == w, F.expr("shiftleft(1L, _id % 64)"))
+    held = reduce(DataFrame.unionByName, cells).where("_v is not null").groupBy("_v").agg(
+        *[F.coalesce(F.bit_or(bit(w)), F.lit(0).cast("long")).alias(f"_{w}") for w in words])
+    counted = held.groupBy(*[f"_{w}" for w in words]).agg(F.count(F.lit(1)).alias("n_values"))
+    return counted.select(F.array(*[f"_{w}" for w in words]).alias("bits"), "n_values")
+
+
+def _has_bit(bits: str, number: Column) -> Column:
+    word = F.get(F.col(bits), F.floor(number / 64).cast("int"))
+    return F.call_function("getbit", word, (number % 64).cast("int")) == 1
+
+
 def related_columns(tables: Mapping[str, DataFrame], name_at_least: float = 0.7,
                     coverage_at_least: float = 0.7) -> DataFrame:
     """Likely foreign keys: similar names, and values mostly contained in the other column.
 
-    Column names of one type decide the candidate pairs. Each candidate column is reduced to its distinct
-    values once; a value then meets only the columns its own column is paired with.
+    Every table is read once, in the columns that have a column of the same type and a name of a similar length in another table. Each
+    value gets the set of columns that hold it; coverage is summed over the different sets, of which there are few, however
+    many values there are. Columns without a value are in no relation.
     """
     spark = next(iter(tables.values())).sparkSession
-    names = [(t, f.name, f.dataType.simpleString(), _stem(f.name)) for t, df in tables.items() for f in df.schema.fields]
-    child = spark.createDataFrame(names, "child string, child_column string, type string, s1 string")
-    parent = child.toDF("parent", "parent_column", "type", "s2")
-    listed = child.join(parent, "type").where("child <> parent").drop("type")
-    similar = cut(listed.withColumn("similarity", F.round(name_similarity(F.col("s1"), F.col("s2")), 4)).where(
-        F.col("similarity") >= name_at_least
-    ).drop("s1", "s2"))
-    wanted = {tuple(r) for r in similar.select("child", "child_column").union(similar.select("parent", "parent_column")).distinct().collect()}
-    values = spark.createDataFrame([], "t string, c string, v string")
-    for table, column, *_ in names:
-        if (table, column) in wanted:
-            values = values.unionByName(tables[table].select(F.lit(table).alias("t"), F.lit(column).alias("c"), F.col(column).cast("string").alias("v")))
-    values = cut(values.where("v is not null").distinct())
-    asked = values.toDF("child", "child_column", "v").join(similar.drop("similarity"), ["child", "child_column"])
-    covered = asked.join(values.toDF("parent", "parent_column", "v"), ["parent", "parent_column", "v"]).groupBy(
-        "child", "child_column", "parent", "parent_column").agg(F.count(F.lit(1)).alias("n_shared"))
-    size = values.groupBy("t", "c").agg(F.count(F.lit(1)).alias("n_values"))
-    sized = covered.join(size.withColumnsRenamed({"t": "child", "c": "child_column"}), ["child", "child_column"])
-    found = sized.join(similar, ["child", "child_column", "parent", "parent_column"])
-    return found.withColumn("coverage", F.col("n_shared") / F.col("n_values")).where(
-        F.col("coverage") >= coverage_at_least
-    )
+    fields = [(t, f.name, f.dataType.simpleString(), _stem(f.name)) for t, df in tables.items() for f in df.schema.fields]
+    # names whose lengths differ more cannot be similar enough
+    near = lambda x, y: min(len(x), len(y)) >= name_at_least * max(len(x), len(y))
+    listed = [(i, *f) for i, f in enumerate(f for f in fields if any(f[0] != g[0] and f[2] == g[2] and near(f[3], g[3]) for g in fields))]
+    child = spark.createDataFrame(listed, "_i int, child string, child_column string, type string, s1 string")
+    parent = child.toDF("_j", "parent", "parent_column", "type", "s2")
+    similar = child.join(parent, "type").where("child <> parent").withColumn(
+        "similarity", F.round(name_similarity(F.col("s1"), F.col("s2")), 4)).where(F.col("similarity") >= name_at_least).drop("type", "s1", "s2")
+    if not listed:
+        none = F.lit(0).cast("long")
+        return similar.drop("_i", "_j").withColumns({"n_values": none, "n_shared": none, "coverage": F.lit(0.0)})
+    sets = cut(column_sets([(i, tables[t], name) for i, t, name, *_ in listed]))
+    held = sets.withColumn("_i", F.explode(F.filter(F.sequence(F.lit(0), F.lit(len(listed) - 1)), lambda x: _has_bit("bits", x))))
+    size = held.groupBy("_i").agg(F.sum("n_values").alias("n_values"))
+    shared = held.join(similar, "_i").where(_has_bit("bits", F.col("_j"))).groupBy(
+        "_i", "child", "child_column", "parent", "parent_column", "similarity").agg(F.sum("n_values").alias("n_shared"))
+    found = shared.join(size, "_i").drop("_i")
+    return found.withColumn("coverage", F.col("n_shared") / F.col("n_values")).where(F.col("coverage") >= coverage_at_least)
 
 
 def lineage_depth(edges: DataFrame, source: str = "source", target: str = "target") -> DataFrame:
     """Longest path from a root to each node of an acyclic edge list.
 
-    Nodes are released once all their inputs have a depth. Each round joins the new nodes to
-    their edges, keeps one partial maximum and one open-input count per target, and cuts the
-    lineage. Nodes on or behind a cycle are never released, which raises an error.
+    Nodes are released once all their inputs have a depth. A round meets only the edges of the nodes that the round before released;
+    released nodes are written once and not read again before the end. What is carried on are the nodes that were reached
+    and still wait for an input. Nodes on or behind a cycle are never released, which raises an error.
     """
     e = edges.select(F.col(source).alias("s"), F.col(target).alias("t")).where("s is not null and t is not null")
     e = cut(e.distinct())
-    nodes = e.select(F.col("s").alias("node")).union(e.select("t")).distinct()
-    inputs = e.groupBy("t").agg(F.count(F.lit(1)).alias("open"))
-    state = cut(nodes.join(inputs, F.col("node") == F.col("t"), "left").select(
-        "node", F.coalesce("open", F.lit(0)).alias("open"), F.lit(0).alias("depth"),
-        F.col("open").isNull().alias("fresh"), F.col("open").isNull().alias("done"),
-    ))
+    inputs = cut(e.groupBy(F.col("t").alias("node")).agg(F.count(F.lit(1)).alias("open")))
+    roots = e.select(F.col("s").alias("node")).distinct().join(inputs, "node", "left_anti")
+    fresh, waiting = cut(roots.withColumn("depth", F.lit(0).cast("long"))), None
+    done = scratch(e.sparkSession, "depths")
     while True:
-        reach = state.where("fresh").join(e, F.col("node") == F.col("s")).groupBy("t").agg(
-            F.count(F.lit(1)).alias("closed"), F.max(F.col("depth") + 1).alias("via")
-        )
-        step = state.join(reach, F.col("node") == F.col("t"), "left").select(
-            "node", (F.col("open") - F.coalesce("closed", F.lit(0))).alias("open"),
-            F.greatest("depth", F.coalesce("via", F.lit(0))).alias("depth"), "done",
-        )
-        state = cut(step.withColumn("fresh", (F.col("open") == 0) & ~F.col("done"))
-                    .withColumn("done", F.col("open") == 0))
-        if state.where("fresh").isEmpty():
+        fresh.write.mode("append").parquet(done)
+        if fresh.isEmpty():
             break
-    if not state.where("not done").isEmpty():
+        reach = fresh.join(e, F.col("node") == F.col("s")).groupBy(F.col("t").alias("node")).agg(
+            F.count(F.lit(1)).alias("closed"), F.max(F.col("depth") + 1).alias("depth"))
+        if waiting is not None:
+            reach = reach.unionByName(waiting).groupBy("node").agg(F.sum("closed").alias("closed"), F.max("depth").alias("depth"))
+        state = cut(reach.join(inputs, "node"))
+        fresh, waiting = state.where("closed = open").select("node", "depth"), state.where("closed < open").drop("open")
+    found = e.sparkSession.read.schema(fresh.schema).parquet(done)
+    if found.count() < e.select(F.col("s").alias("node")).union(e.select("t")).distinct().count():
         raise ValueError("the edge list has a cycle")
-    return state.select("node", F.col("depth").cast("int").alias("depth"))
+    return found.select("node", F.col("depth").cast("int").alias("depth"))
 
 
 def neighbours(edges: DataFrame, source: str = "source", target: str = "target") -> DataFrame:
