@@ -1,6 +1,6 @@
 """Registered queries over the given tables, each beside the SQL it must agree with."""
 
 from workloads import (  # noqa: F401
-    aggregates, datasets, histories, joins, quality, scalars, sources, streams, windows,
+    aggregates, datasets, histories, joins, quality, scalars, sketches, sources, streams, windows,
 )
 from workloads.registry import ORACLES, QUERIES  # noqa: F401
