@@ -223,3 +223,26 @@ def test_quote_patterns_follow_a_reader_of_characters():
     for _ in range(20000):
         line = "".join(r.choice('"",,ab') for _ in range(r.randrange(12)))
         assert (bool(out.search(line)), bool(in_.search(line))) == (ends_inside(line, False), ends_inside(line, True)), line
+
+
+def test_bucketed_tables_are_joined_and_grouped_in_place(spark):
+    from workloads.sources import bucketed_pair, bucketed_totals
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = bucketed_totals(*bucketed_pair(Tables(spark, SF)))
+        n = out.count()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "SelectedBucketsCount: 16 out of 16" in plan
+        assert n == Tables(spark, SF).orders.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_hot_key_is_written_whole(spark, tmp_path):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), "id").unionByName(
+        spark.createDataFrame([(None, -1), (None, -2)], "k long, id long"))
+    kept = tables.write_bucketed(df, "hot_rows", ["k"], 4, str(tmp_path / "hot"))
+    assert rows(kept, "k", "id") == rows(df, "k", "id") and kept.where("k = 7").count() == 2000
+    spark.sql("DROP TABLE hot_rows")

@@ -5,6 +5,8 @@ Files go to new folders below the session's shared checkpoint folder.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lakeloom.operators.reshape import child_table
@@ -208,3 +210,24 @@ def nested_parquet(t: Tables):
     contract = Contract("nested", "id string, source string, details array<struct<kind: string, amount: double>>",
                         "id string, source string, details array<struct<kind: string, amount: double>>", fmt="parquet", mode="append")
     return child_table(contract.shape(contract.read(t.spark, path)), "details", ["id", "source"], ["kind", "amount"], "parent")
+
+
+def bucketed_pair(t: Tables, buckets: int = 16):
+    """Orders and their lines as tables in hash buckets of the order, in the shared folder."""
+    mark = uuid.uuid4().hex
+    keep = lambda df, label, key: tables.write_bucketed(df.withColumnRenamed(key, "order_id"), f"{label}_{mark}", ["order_id"], buckets, scratch(t.spark, label))
+    lines = t.lineitem.select("l_orderkey", "l_quantity", c("l_extendedprice").cast("decimal(28,6)").alias("paid"), "l_shipdate", "l_returnflag")
+    return keep(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"), "orders", "o_orderkey"), keep(lines, "lines", "l_orderkey")
+
+
+@query("""SELECT o_orderkey AS order_id, o_custkey AS member, count(l_orderkey) AS n_lines, count(l_orderkey) FILTER (WHERE l_returnflag = 'R') AS n_returned,
+CAST(sum(CAST(l_extendedprice AS DECIMAL(28,6))) AS DOUBLE) AS paid, CAST(max(l_shipdate) AS DATE) AS last_day FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""", text=["last_day"])
+def bucketed_claims(t: Tables):
+    """Totals of each order from two bucketed tables: neither the join nor the grouping moves a row."""
+    return bucketed_totals(*bucketed_pair(t))
+
+
+def bucketed_totals(orders, lines):
+    return orders.join(lines, "order_id", "left").groupBy("order_id", c("o_custkey").alias("member")).agg(
+        F.count("paid").alias("n_lines"), F.count_if(c("l_returnflag") == "R").alias("n_returned"),
+        F.sum("paid").cast("double").alias("paid"), F.max(c("l_shipdate").cast("date")).alias("last_day"))
