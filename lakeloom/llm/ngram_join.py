@@ -21,7 +21,7 @@ CELL_BITS, BUFFER = 18, 1 << 20
 VERIFY_COST, TOKEN_COST = 50.0, 20.0
 MOST_MATCHES = 32
 #: A set's bits say which of so many longs' places an odd number of its shingles falls on.
-BIT_LONGS = 8
+BIT_LONGS = 32
 BITS = [f"bits{i}" for i in range(BIT_LONGS)]
 #: Shingles of a block; two blocks of a component are held against each other in one task.
 BLOCK_SHINGLES = 500_000
@@ -186,6 +186,15 @@ def may_link(n, o, bits, others, percent: int = PERCENT):
     return n + o - apart >= 2 * F.ceil((n + o) * percent / F.lit(100.0 + percent) - 1e-9)
 
 
+def same_sets():
+    """A name ``list`` of the sets that hold a token: the same for tokens of the same sets, whatever their order.
+
+    Should two lists of sets get one name, their tokens are only counted together: two sets share no more tokens under
+    a name than the lesser of the numbers they hold, so the count stays a bound from above.
+    """
+    return F.xxhash64(F.count(F.lit(1)), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))).alias("list")
+
+
 def _shared(front: DataFrame) -> DataFrame:
     """Rows (token, node, n, m), each once, of the tokens that several sets have in their prefixes.
 
@@ -204,6 +213,7 @@ def links(docs: DataFrame, rows: DataFrame, cells: np.ndarray, percent: int = PE
     Every set is held against one centre, the one it shares most tokens with, if these are at least half
     of what a link asks for; a token whose sets all came together asks for nothing more. Every pair that is left,
     in different components, of fitting sizes, whose bits allow a link, holding and sharing enough tokens, is verified in the last round.
+    There, tokens that the same sets hold are one list with a weight, so a pair meets once a list and not once a token.
     So no link is missed: two sets that link end in one component, by their own link or by a chain of links.
     """
     shared = cut(_shared(prefixes(docs, cells, percent)))
@@ -217,20 +227,22 @@ def links(docs: DataFrame, rows: DataFrame, cells: np.ndarray, percent: int = PE
     for last in (False, True):
         marked = open_.join(label, "node")
         hub = F.max(F.struct("held", "label", "node", F.col("n").alias("o"), F.col("m").alias("p"))).alias("hub")
-        spread = marked.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), hub).filter("lo <> hi")
-        marked = cut(marked.join(spread.select("token", "hub"), "token"))
+        spread = marked.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), same_sets() if last else hub).filter("lo <> hi")
+        marked = marked.join(spread.drop("lo", "hi"), "token")
         if not last:
+            marked = cut(marked)
             asked = marked.filter(F.col("label") != F.col("hub.label")).select(
                 "node", "n", "m", "held", F.col("hub.node").alias("other"), "hub.o", "hub.p", F.col("hub.held").alias("has")).filter(fits & holds)
             asked = asked.groupBy("node", "n", "m", "other", "o", "p").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") * 2 >= need)
             pairs = asked.groupBy("node").agg(F.max_by("other", F.struct("c", "other")).alias("other"))
         else:
             bits = rows.filter("node IS NOT NULL").groupBy("node").agg(*[F.first(b).alias(b) for b in BITS])
-            one = cut(marked.select("token", "node", "n", "m", "held", "label").join(bits, "node").select("token", "node", "n", "m", "held", "label", *BITS))
+            lists = marked.groupBy("list", "node", "n", "m", "held", "label").agg(F.count(F.lit(1)).alias("weight"))
+            one = cut(lists.join(bits, "node").select("list", "node", "n", "m", "held", "label", "weight", *BITS))
             theirs = [f"other_{b}" for b in BITS]
-            two = one.toDF("token", "other", "o", "p", "has", "rival", *theirs)
-            met = one.join(two, "token").filter("node < other AND label <> rival").filter(fits & holds & may_link(F.col("n"), F.col("o"), BITS, theirs, percent))
-            pairs = met.groupBy("node", "n", "m", "other", "o", "p").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= need)
+            two = one.toDF("list", "other", "o", "p", "has", "rival", "its_weight", *theirs)
+            met = one.join(two, "list").filter("node < other AND label <> rival").filter(fits & holds & may_link(F.col("n"), F.col("o"), BITS, theirs, percent))
+            pairs = met.groupBy("node", "n", "m", "other", "o", "p").agg(F.sum(F.least("weight", "its_weight")).alias("c")).filter(F.col("c") >= need)
         pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -241,7 +253,8 @@ def links(docs: DataFrame, rows: DataFrame, cells: np.ndarray, percent: int = PE
         edges = good if edges is None else edges.unionAll(good)
         joined = components(edges)
         label = cut(names.join(joined, "node", "left").select("node", "held", F.coalesce("label", "node").alias("label")))
-        open_ = marked.select("token", "node", "n", "m")
+        if not last:
+            open_ = marked.select("token", "node", "n", "m")
     return label
 
 

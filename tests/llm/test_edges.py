@@ -182,6 +182,24 @@ def test_copies_do_not_gather(spark):
     assert sorted(map(tuple, found.collect())) == [(1, 10, 5, 1), (1, 11, 6, 2)]
 
 
+def test_unlinked_texts_meet_once(spark, docs, monkeypatch):
+    """Two texts that share much and do not link enter the last join with a row each, not with one for every token they share."""
+    rng = random.Random(6)
+    common = ["c%d" % i for i in range(450)]
+    texts = [" ".join(common + ["%s%d" % (x, rng.randrange(10**6)) for _ in range(90)]) for x in "ab"]
+    held, cut = [], ngram_join.cut
+
+    def kept(df):
+        held.append(cut(df))
+        return held[-1]
+
+    monkeypatch.setattr(ngram_join, "cut", kept)
+    got = ngram_join.join(docs(list(enumerate(texts)))).collect()
+    assert sorted(r.component_id for r in got) == [0, 1]
+    last = [df for df in held if ngram_join.BITS[0] in df.columns and "label" in df.columns]
+    assert [df.count() for df in last] == [2]
+
+
 def test_prefix_keeps_links():
     """Whatever two linked sets ask for, their prefixes share."""
     rng = np.random.default_rng(5)
