@@ -14,20 +14,25 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm import range_coder
-from lakeloom.llm.token_counts import Memo
+from lakeloom.llm.token_counts import Memo, _byte_letters
 
 #: Ids of a run: documents are put together until there are so many, and a run's blocks are one row of a file.
 RUN = 1 << 16
 #: Words, and pieces of words, whose ids a task remembers, twice over.
 MEMO = 400_000
 _GAP = re.compile("[\n\t\r]")
-#: Letters, single digits and runs of other characters: the tokenizer's own cut for plain ASCII in lower case.
-_ASCII = re.compile("[a-z]+|[0-9]|[^a-z0-9]+")
+#: Texts of blanks, printing ASCII and Latin-1's letters beyond it, which no normal form changes.
+_PLAIN = re.compile("[\n\t\r -~À-ÖØ-öø-ÿ]*")
+#: Contractions, letters, single digits and runs of other characters: the tokenizer's own cut for such texts in lower case.
+_CUT = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\n\t\r a-z0-9ß-öø-ÿ]+")
+_LETTER = {b: c for c, b in _byte_letters().items()}
+#: The letters that stand for the bytes of the letters beyond ASCII.
+_BYTES = {ord(c): "".join(_LETTER[b] for b in c.encode()) for c in map(chr, range(0xDF, 0x100)) if c != "÷"}
 _SCHEMA = "part int, run long, tokens long, docs array<long>, lengths array<long>, blocks binary"
 
 
 class Encoder:
-    """Ids of texts for a tokenizer whose tokens never reach across blanks, remembered word by word."""
+    """Ids of texts for a tokenizer whose tokens never reach across blanks, remembered piece by piece and word by word."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -38,18 +43,25 @@ class Encoder:
         self.words, self.pieces = Memo(self._word, MEMO), Memo(self._piece, MEMO)
 
     def _piece(self, piece: str) -> bytes:
-        return _packed([x.id for x in self.merge(piece)])
+        return _packed([x.id for x in self.merge(piece if piece.isascii() else piece.translate(_BYTES))])
 
     def _word(self, word: str) -> bytes:
-        """Plain ASCII words are cut here and only merged by the library; it gets all others whole."""
-        if word.isascii() and word.isprintable() and "'" not in word and "<|" not in word:
-            return b"".join(map(self.pieces.__getitem__, _ASCII.findall(word.lower())))
-        return _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        return self._plain(word) if _is_plain(word) else _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, _CUT.findall(text.lower())))
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 16-bit ids of each text, without added special tokens."""
+        """Little-endian 16-bit ids of each text, without added special tokens.
+
+        Plain texts, and the plain words of others, are cut here and only merged by the library; it gets all other words whole.
+        """
         known = self.words.__getitem__
-        return [b"".join(map(known, _GAP.sub(" ", x).split(" "))) for x in texts]
+        return [self._plain(x) if _is_plain(x) else b"".join(map(known, _GAP.sub(" ", x).split(" "))) for x in texts]
+
+
+def _is_plain(text: str) -> bool:
+    return "<|" not in text and _PLAIN.fullmatch(text) is not None
 
 
 def _packed(ids: list[int]) -> bytes:

@@ -353,6 +353,22 @@ def test_words_stand_alone(word_tokenizer):
         assert np.frombuffer(own.ids([text])[0], "<u2").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_latin_texts_are_cut_here(word_tokenizer):
+    """Texts of ASCII and Latin-1 letters need the library for merging only; others still give its ids."""
+    library, own = Tokenizer.from_file(word_tokenizer), token_files.Encoder(word_tokenizer)
+    ids = lambda t: library.encode(t, add_special_tokens=False).ids
+    rng = random.Random(8)
+    parts = ["Ñandú", "ÜBER", "straße", "çà,", "été", "ÿ÷×", "it'S", "we'll", "!'re", "12", " ", "\n", "\t", "..", "a"]
+    plain = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    plain = [t for t in plain if not set(t) & set("÷×")] + ["Ñandú's ÜBER straße"]
+    others = [t + x for t, x in zip(plain, ["e\u0301", "÷", "\xa0", "İ", "<|endoftext|>", "\x0b", "中"] * 50)]
+    want = [ids(t) for t in plain + others]
+    assert [np.frombuffer(x, "<u2").tolist() for x in own.ids(plain + others)] == want
+    bare = token_files.Encoder(word_tokenizer)
+    bare.tokenizer = None
+    assert [np.frombuffer(x, "<u2").tolist() for x in bare.ids(plain)] == want[:len(plain)]
+
+
 def test_token_files_edges(spark, docs, word_tokenizer, monkeypatch):
     path = scratch(spark, "tokens")
     token_files.write(docs(ODD), path, word_tokenizer, end_id=2)
