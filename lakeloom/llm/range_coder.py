@@ -14,20 +14,25 @@ import numpy as np
 
 #: Ids of a block, blocks coded side by side, and entries of each order's table.
 BLOCK, LANES, ENTRIES = 2048, 4096, 512
-#: Digits of 16 bits in a 48-bit register; probabilities are shares of 2 ** SHARE.
-DIGIT, TOP, BOTTOM, MASK, SHARE = 16, 1 << 32, 1 << 16, (1 << 48) - 1, 15
+#: Digits of 16 bits; a span of 48 bits is widened below BOTTOM; probabilities are shares of 2 ** SHARE.
+DIGIT, TOP, BOTTOM, SHARE = 16, 1 << 48, 1 << 32, 15
 HEAD = struct.Struct("<IIIII")
 MAX_ID = (1 << 16) - 1
 
 #: Three cumulative probabilities of 16 bits each are held in one number, so that one step serves all three.
-_FIELDS = 0x0000_FFFF_FFFF_FFFF
 _PER_32 = 0x0000_07FF_07FF_07FF
 _PER_8 = 0x0000_1FFF_1FFF_1FFF
+_PER_2 = 0x0000_7FFF_7FFF_7FFF
+_PER_2048 = 0x0000_001F_001F_001F
 _START = 0x0000_C000_8000_4000
 #: What an outcome adds: 1/32 of all probability to the sums that include it.
 _GAIN = np.array([_PER_32, 0x0000_07FF_07FF_0000, 0x0000_07FF_0000_0000, 0], dtype=np.int64)
-#: Least shares of the four outcomes, added to the sums cut to the rest.
-_FLOOR = 8 | 16 << 16 | 24 << 32
+#: Least shares of the four outcomes, added to the sums cut to the rest, with the last one's bound in the sign's place.
+_FLOOR = (8 | 16 << 16 | 24 << 32) - (1 << 63)
+#: What keeps differences of bounds above 0, for the three and the last one, and for the bound before the first.
+_MIDDLE, _BEFORE = 0x2000_2000_2000_2000, 0x2000
+#: A one in each of the three, and their highest bits.
+_ONES, _HIGHEST = 0x0000_0001_0001_0001, 0x0000_8000_8000_8000
 
 
 class _Model:
@@ -36,79 +41,75 @@ class _Model:
     Order 2 and order 1 each name the id that followed their context last, with how often it held in a row. Order 0
     keeps the last id of each of 256 slots. What is coded is which order is right first (0: order 2, 1: order 1,
     2: order 0, its slot follows; 3: none, the id follows). Two adaptive predictions of that, one from the
-    orders' standing and one from the last two outcomes, are mixed by weights that follow their success.
+    orders' standing and one from the last two outcomes, are mixed by weights that follow their success at every
+    other id. Order 2 and order 1, and both predictions, stand one behind the other in arrays that one step serves.
     """
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.table = [np.zeros(lanes * ENTRIES, dtype=np.int32) for _ in range(2)]
+        self.table = np.zeros(2 * lanes * ENTRIES, dtype=np.int32)
         self.recent = np.zeros(lanes * 256, dtype=np.uint16)
-        self.by_standing = np.full(lanes * 32, _START, dtype=np.int64)
-        self.by_past = np.full(lanes * 16, _START, dtype=np.int64)
+        self.shares = np.full(lanes * 48, _START, dtype=np.int64)
+        self.lane, self.all, self.turn = np.arange(lanes), lanes, False
         self.weight = np.full(lanes, 4, dtype=np.int64)
         self.one, self.two, self.past = (np.zeros(lanes, dtype=np.int64) for _ in range(3))
+        self._place()
+
+    def _place(self) -> None:
+        n = len(self.lane)
+        self.slots = self.lane * 256
+        self.entries = np.stack([self.lane, self.lane + self.all]) * ENTRIES
+        self.rows = np.stack([self.lane * 48, self.lane * 48 + 32])
+        self.mixed, self.row = np.empty((2, n), dtype=np.int64), np.empty((2, n), dtype=np.int64)
+        self.named = np.empty((4, n), dtype=np.int32)
 
     def keep(self, lanes: int) -> None:
         """Only the first lanes go on."""
         for name in ("lane", "weight", "one", "two", "past"):
             setattr(self, name, getattr(self, name)[:lanes])
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray]:
-        """The ids that order 2 and order 1 name; sets the upper bounds of the four outcomes."""
-        base, mixed = self.lane * ENTRIES, self.one * 40503
-        self.at = base + ((mixed ^ self.two * 30011) >> 4 & ENTRIES - 1), base + (mixed >> 5 & ENTRIES - 1)
-        a, b = self.table[0].take(self.at[0]), self.table[1].take(self.at[1])
-        self.second, self.first, self.held = a & 0xFFFF, b & 0xFFFF, (a >> 16, b >> 16)
-        self.row = self.lane * 32 + (self.held[0] * 8 + self.held[1] * 2 + (self.first == self.second))
-        self.past_row = self.lane * 16 + self.past
-        self.a, self.b = self.by_standing.take(self.row), self.by_past.take(self.past_row)
-        sums = (self.a >> 3 & _PER_8) * self.weight + (self.b >> 3 & _PER_8) * (8 - self.weight)
-        low, middle, high = sums & 0xFFFF, sums >> 16 & 0xFFFF, sums >> 32
-        room = (1 << SHARE) - 32
-        self.bounds = (low * room >> 16) | (middle * room >> 16) << 16 | (high * room >> 16) << 32
-        self.bounds += _FLOOR
-        return self.second, self.first
+        self._place()
+
+    def predict(self) -> np.ndarray:
+        """The ids that order 2 and order 1 name, in the first two of four rows; sets the upper bounds of the four outcomes."""
+        np.multiply(self.one, 40503, out=self.mixed[1])
+        np.bitwise_xor(self.mixed[1], self.two, out=self.mixed[0])
+        self.at = ((self.mixed >> 5 & ENTRIES - 1) + self.entries).ravel()
+        kept = self.table.take(self.at).reshape(2, -1)
+        np.bitwise_and(kept, 0xFFFF, out=self.named[:2])
+        self.held = kept >> 16
+        np.add(self.rows[0], ((self.held[0] << 2) + self.held[1] << 1) + (self.named[0] == self.named[1]), out=self.row[0])
+        np.add(self.rows[1], self.past, out=self.row[1])
+        self.share = self.shares.take(self.row)
+        a, b = self.share >> 3 & _PER_8
+        self.apart = a - b
+        sums = self.apart * self.weight + (b << 3)
+        self.bounds = (sums >> 1 & _PER_2) - (sums >> 11 & _PER_2048) + _FLOOR
+        return self.named
 
     def learn(self, ids: np.ndarray, outcome: np.ndarray) -> None:
-        shift = outcome << 4
-        a, b = (((x << 16 >> shift) & 0xFFFF) - ((x >> shift) & 0xFFFF) for x in (self.a & _FIELDS, self.b & _FIELDS))
-        # lower less upper bound: the less, the more probable was the outcome
-        self.weight = np.minimum(7, np.maximum(1, self.weight + np.sign(b - a)))
-        gain = _GAIN.take(outcome)
-        self.by_standing[self.row] = self.a - (self.a >> 5 & _PER_32) + gain
-        self.by_past[self.past_row] = self.b - (self.b >> 5 & _PER_32) + gain
-        for table, at, named, held in zip(self.table, self.at, (self.second, self.first), self.held):
-            table[at] = ids | (np.minimum(held * (named == ids) + 1, 3) << 16)
-        self.recent[self.lane * 256 + (ids & 255)] = ids
+        """Takes in the ids (32 bits each) and the outcomes."""
+        if self.turn:
+            # lower less upper difference of the two predictions' bounds: above 0 where the second gave the outcome more
+            shift, apart = outcome << 4, self.apart + _MIDDLE
+            found = ((apart << 16 | _BEFORE) >> shift & 0xFFFF) - (apart >> shift & 0xFFFF)
+            self.weight = np.minimum(np.maximum(self.weight - np.sign(found), 1), 7)
+        self.turn = not self.turn
+        self.shares[self.row.ravel()] = (self.share - (self.share >> 5 & _PER_32) + _GAIN.take(outcome)).ravel()
+        kept = np.minimum(self.held, 2)
+        kept *= self.named[:2] == ids
+        kept += 1
+        kept <<= 16
+        kept |= ids
+        self.table[self.at] = kept.ravel()
+        self.two = self.one * 30011
+        self.one = ids.astype(np.int64)
+        self.recent[self.slots + (self.one & 255)] = ids
         self.past = (self.past << 2 | outcome) & 15
-        self.two, self.one = self.one, ids
 
-    def narrowed(self, low: np.ndarray, span: np.ndarray, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        shift = outcome << 4
+    def narrowed(self, span: np.ndarray, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the outcome's part of each span begins, and its size."""
+        shift, unit = outcome << 4, span >> SHARE
         start = (self.bounds << 16) >> shift & 0xFFFF
-        end = (self.bounds >> shift & 0xFFFF) + ((outcome == 3) << SHARE)
-        unit = span >> SHARE
-        return low + start * unit, (end - start) * unit
-
-
-def _settle(low: np.ndarray, span: np.ndarray):
-    """Shifts out the digits that are sure; where the span gets too small, it is cut to make one sure.
-
-    Yields the lanes that lose a digit and the digits, until none does.
-    """
-    at = None
-    while True:
-        l, s = (low, span) if at is None else (low[at], span[at])
-        sure = (l ^ (l + s)) < TOP
-        out = np.flatnonzero(sure | (s < BOTTOM))
-        if not len(out):
-            return
-        small = ~sure[out]
-        at = out if at is None else at[out]
-        l, s = l[out], s[out]
-        s[small] = -l[small] & BOTTOM - 1
-        yield at, l >> 32
-        low[at], span[at] = l << DIGIT & MASK, s << DIGIT
+        return start * unit, ((self.bounds >> shift & 0xFFFF) - start) * unit
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
@@ -125,34 +126,45 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
 def _encode(blocks: list[np.ndarray]) -> list[bytes]:
     lanes, length = len(blocks), np.array([len(x) for x in blocks])
     steps = int(length.max()) if lanes else 0
-    ids = np.zeros((steps, lanes), dtype="<u2")
+    ids = np.zeros((steps, lanes), dtype=np.int32)
     for i, x in enumerate(blocks):
         ids[:len(x), i] = x
     model = _Model(lanes)
-    digits = np.zeros((lanes, steps + 8), dtype="<u2")
+    # a digit may hold a carry for the one before it until all are there
+    digits = np.zeros((steps + 2, lanes), dtype=np.int32)
+    flat, width = digits.ravel(), lanes
     outcomes = np.zeros((steps, lanes), dtype=np.int8)
     n = np.zeros(lanes, dtype=np.int64)
-    low, span = np.zeros(lanes, dtype=np.int64), np.full(lanes, MASK, dtype=np.int64)
+    low, span = np.zeros(lanes, dtype=np.int64), np.full(lanes, TOP - 1, dtype=np.int64)
     for t in range(steps):
         if length[-1] <= t:  # blocks that have ended leave; the longest stand first
             live = int(np.searchsorted(-length, -t))
             model.keep(live)
             _flush(digits, n, low, live, lanes)
             low, span, length, lanes = low[:live], span[:live], length[:live], live
-        now = ids[t, :lanes].astype(np.int64)
-        second, first = model.predict()
-        known = model.recent[model.lane * 256 + (now & 255)]
-        outcome = np.where(now == second, 0, np.where(now == first, 1, 3 - (now == known)))
+        now = ids[t, :lanes]
+        named = model.predict()
+        known = model.recent.take(model.slots + (now & 255))
+        outcome = np.where(now == named[0], 0, np.where(now == named[1], 1, 3 - (now == known)))
         outcomes[t, :lanes] = outcome
-        low, span = model.narrowed(low, span, outcome)
-        for at, digit in _settle(low, span):
-            digits[at, n[at]] = digit
-            n[at] += 1
+        start, span = model.narrowed(span, outcome)
+        low = low + start
+        at = np.flatnonzero(span < BOTTOM)
+        if len(at):  # a share is never below 2 ** -12, so one digit is enough
+            sure, count = low.take(at), n.take(at)
+            flat[count * width + at] = sure >> 32
+            low[at] = (sure & BOTTOM - 1) << DIGIT
+            span[at] = span.take(at) << DIGIT
+            n[at] = count + 1
         model.learn(now, outcome)
     _flush(digits, n, low, 0, lanes)
+    for k in range(len(digits) - 1, 0, -1):
+        digits[k - 1] += digits[k] >> DIGIT
+    digits = digits.T.astype("<u2")  # what was carried goes
+    outcomes = np.ascontiguousarray(outcomes.T)
     out = []
     for i, x in enumerate(blocks):
-        kind = outcomes[:len(x), i]
+        kind = outcomes[i, :len(x)]
         raw, slots = x[kind == 3].astype("<u2").tobytes(), (x[kind == 2] & 255).astype(np.uint8).tobytes()
         body = digits[i, :n[i]].tobytes() + raw + slots
         out.append(HEAD.pack(len(x), n[i], len(raw) // 2, len(slots), zlib.crc32(body)) + body)
@@ -160,11 +172,11 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
 
 
 def _flush(digits: np.ndarray, n: np.ndarray, low: np.ndarray, begin: int, end: int) -> None:
-    """The register's three digits, which end a block."""
-    own = np.arange(begin, end)
-    for k in range(3):
-        digits[own, n[own] + k] = low[own] >> (32 - DIGIT * k) & 0xFFFF
-    n[own] += 3
+    """Two digits that end a block: whatever follows them, the number stays inside the span."""
+    own, last = np.arange(begin, end), low[begin:end] + BOTTOM // 2 ** DIGIT - 1
+    digits[n[own], own] = last >> 32
+    digits[n[own] + 1, own] = last >> DIGIT & 0xFFFF
+    n[own] += 2
 
 
 def split(data: bytes) -> list[tuple]:
@@ -195,7 +207,7 @@ def decode(blocks: list[tuple]) -> list[np.ndarray]:
 
 def _joined(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     size = np.array([len(x) for x in arrays])
-    return np.concatenate([*arrays, np.zeros(4, dtype=arrays[0].dtype)]).astype(np.int64), np.cumsum(size) - size
+    return np.concatenate([*arrays, np.zeros(4, dtype=arrays[0].dtype)]), np.cumsum(size) - size
 
 
 def _decode(blocks: list[tuple]) -> list[np.ndarray]:
@@ -204,25 +216,33 @@ def _decode(blocks: list[tuple]) -> list[np.ndarray]:
     ids = np.zeros((steps, lanes), dtype="<u2")
     model = _Model(lanes)
     (digits, d), (raw, r), (slots, s) = (_joined([x[k] for x in blocks]) for k in (1, 2, 3))
-    low, span = np.zeros(lanes, dtype=np.int64), np.full(lanes, MASK, dtype=np.int64)
-    code = digits[d] << 32 | digits[d + 1] << 16 | digits[d + 2]
+    span = np.full(lanes, TOP - 1, dtype=np.int64)
+    digits = digits.astype(np.int64)
+    code = digits[d] << 32 | digits[d + 1] << 16 | digits[d + 2]  # less the span's begin
     d = d + 3
     for t in range(steps):
         if length[-1] <= t:
             live = int(np.searchsorted(-length, -t))
             model.keep(live)
-            low, span, code, length, d, r, s = (x[:live] for x in (low, span, code, length, d, r, s))
+            span, code, length, d, r, s = (x[:live] for x in (span, code, length, d, r, s))
             lanes = live
-        second, first = model.predict()
-        share = (code - low) // (span >> SHARE)
-        outcome = sum((share >= (model.bounds >> k & 0xFFFF)).astype(np.int64) for k in (0, 16, 32))
-        known = model.recent[model.lane * 256 + slots[np.minimum(s, len(slots) - 1)]]
-        now = np.where(outcome == 0, second, np.where(outcome == 1, first, np.where(outcome == 2, known, raw[np.minimum(r, len(raw) - 1)])))
+        named = model.predict()
+        # 48 bits over 33 at most: as floating-point numbers, the quotient is cut to the same whole number
+        share = (code / (span >> SHARE)).astype(np.int64)
+        outcome = np.bitwise_count((share * _ONES + _HIGHEST) - model.bounds & _HIGHEST).astype(np.int64)
+        named[2] = model.recent.take(model.slots + slots.take(s, mode="clip"))
+        named[3] = raw.take(r, mode="clip")
+        now = named.ravel().take(outcome * lanes + model.lane)
         s, r = s + (outcome == 2), r + (outcome == 3)
         ids[t, :lanes] = now
-        low, span = model.narrowed(low, span, outcome)
-        for at, _ in _settle(low, span):
-            code[at] = code[at] << DIGIT & MASK | digits[np.minimum(d[at], len(digits) - 1)]
-            d[at] += 1
+        start, span = model.narrowed(span, outcome)
+        code = code - start
+        at = np.flatnonzero(span < BOTTOM)
+        if len(at):
+            place = d.take(at)
+            code[at] = code.take(at) << DIGIT | digits.take(place, mode="clip")
+            span[at] = span.take(at) << DIGIT
+            d[at] = place + 1
         model.learn(now, outcome)
-    return [ids[:x[0], i] for i, x in enumerate(blocks)]
+    ids = np.ascontiguousarray(ids.T)
+    return [ids[i, :x[0]] for i, x in enumerate(blocks)]

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,17 @@ _CUT = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\n\t\r a-z0-9
 _LETTER = {b: c for c, b in _byte_letters().items()}
 #: The letters that stand for the bytes of the letters beyond ASCII.
 _BYTES = {ord(c): "".join(_LETTER[b] for b in c.encode()) for c in map(chr, range(0xDF, 0x100)) if c != "÷"}
+#: Bytes of texts that are cut together.
+STEP = 1 << 22
+#: What a byte of such words is: blank, letter (as is every byte of one beyond ASCII), digit or other.
+_BLANK, _ALPHA, _DIGIT, _OTHER = range(4)
+_KINDS = bytes(_BLANK if b <= 32 else _DIGIT if 48 <= b < 58 else _ALPHA if b > 127 or chr(b).isalpha() else _OTHER for b in range(256))
+#: The first byte of a Latin-1 letter beyond ASCII; the second of the one that is no upper-case letter below the lower-case ones.
+_LEAD, _SHARP = 0xC3, 0x9F
+#: The letters of contractions.
+_SHORT, _LONG = list(b"stmd"), [a * 256 + b for a, b in (b"re", b"ve", b"ll")]
+#: Bytes beyond ASCII that stand for themselves as Latin-1, but for these.
+_HIDDEN = {chr(b): c for b, c in _LETTER.items() if b > 127 and chr(b) != c}
 _SCHEMA = "part int, run long, tokens long, docs array<long>, lengths array<long>, blocks binary"
 
 
@@ -36,11 +48,17 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
         self.words, self.pieces = Memo(self._word, MEMO), Memo(self._piece, MEMO)
+        # the same model for many pieces at once; the last token of a piece shows that it is the last
+        self.merger = Tokenizer(self.tokenizer.model)
+        self.merger.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        vocabulary, mark = self.tokenizer.get_vocab(), self.tokenizer.model.end_of_word_suffix
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.last[[i for token, i in vocabulary.items() if mark and token.endswith(mark)]] = True
 
     def _piece(self, piece: str) -> bytes:
         return _packed([x.id for x in self.merge(piece if piece.isascii() else piece.translate(_BYTES))])
@@ -51,13 +69,79 @@ class Encoder:
     def _plain(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, _CUT.findall(text.lower())))
 
+    def _merged(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece by one call of the library."""
+        text = " ".join(pieces)
+        if not text.isascii():
+            text = text.encode().decode("latin-1")
+            for byte, letter in _HIDDEN.items():
+                text = text.replace(byte, letter)
+        ids = np.array(self.merger.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u2")
+        data, ends = ids.tobytes(), (2 * np.flatnonzero(self.last[ids]) + 2).tolist()
+        if len(ends) != len(pieces):  # a tokenizer without that mark
+            return list(map(self._piece, pieces))
+        return list(map(data.__getitem__, map(slice, [0, *ends], ends)))
+
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each of some different pieces; those that are not remembered are merged together."""
+        memo = self.pieces
+        found = list(map(memo.get, pieces))
+        if memo.old:
+            found = [memo.old.get(x) if y is None else y for x, y in zip(pieces, found)]
+        new = [x for x, y in zip(pieces, found) if y is None]
+        if new:
+            merged = self._merged(new)
+            if len(memo) >= MEMO:
+                memo.old = dict(memo)
+                memo.clear()
+            memo.update(zip(new, merged))
+            rest = iter(merged)
+            found = [next(rest) if y is None else y for y in found]
+        return found
+
+    def _side_by_side(self, texts: list[str]) -> list[bytes]:
+        """The ids of plain texts, which are cut together."""
+        parts = [x.encode() for x in texts]
+        body = b"\n%b\n\n\n" % b"\n".join(parts)
+        raw, kinds = np.frombuffer(body, np.uint8), np.frombuffer(body.translate(_KINDS), np.uint8)
+        lower = np.frombuffer(bytearray(body.lower()), np.uint8)
+        second = np.flatnonzero(raw == _LEAD) + 1
+        letter = raw.take(second)
+        lower[second] = np.where(letter == _SHARP, letter, letter | 32)
+        begin = kinds == _DIGIT
+        begin[1:] |= kinds[1:] != kinds[:-1]
+        # an apostrophe that begins a piece takes the letters of a contraction with it
+        quote = np.flatnonzero((raw == ord("'")) & begin)
+        quote = quote[kinds.take(quote + 1) == _ALPHA]
+        one, two = lower.take(quote + 1), lower.take(quote + 1) * np.int64(256) + lower.take(quote + 2)
+        short, long = quote[np.isin(one, _SHORT)], quote[np.isin(two, _LONG)]
+        begin[short + 1] = begin[long + 1] = False
+        begin[short + 2] = begin[long + 3] = True
+        full = kinds != _BLANK
+        begin &= full
+        # without the blanks, a piece ends where the next one begins
+        offsets = np.flatnonzero(np.append(begin[full], True)).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(lower.tobytes().translate(None, b"\n\t\r "))).dictionary_encode()
+        known = self._known(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, sizes = np.frombuffer(b"".join(known), "<u2"), np.array([len(x) // 2 for x in known], dtype=np.int64)
+        number = pieces.indices.to_numpy()
+        n = sizes.take(number)
+        ends = np.append(0, np.cumsum(n))
+        place = np.repeat((np.cumsum(sizes) - sizes).take(number) - ends[:-1], n) + np.arange(ends[-1])
+        data = ids.take(place).tobytes()
+        text = np.cumsum([1] + [len(x) + 1 for x in parts])  # where each begins
+        bounds = (2 * ends.take(np.searchsorted(np.flatnonzero(begin), text))).tolist()
+        return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 16-bit ids of each text, without added special tokens.
 
         Plain texts, and the plain words of others, are cut here and only merged by the library; it gets all other words whole.
         """
         known = self.words.__getitem__
-        return [self._plain(x) if _is_plain(x) else b"".join(map(known, _GAP.sub(" ", x).split(" "))) for x in texts]
+        plain = [_is_plain(x) for x in texts]
+        cut = iter(self._side_by_side([x for x, own in zip(texts, plain) if own]) if any(plain) else [])
+        return [next(cut) if own else b"".join(map(known, _GAP.sub(" ", x).split(" "))) for x, own in zip(texts, plain)]
 
 
 def _is_plain(text: str) -> bool:
@@ -104,8 +188,10 @@ def _writer(tokenizer: str, end_id: int | None):
             runs, waiting = [], 0
 
         for batch in batches:
-            for low in range(0, batch.num_rows, 64):
-                rows = batch.slice(low, 64)
+            sizes = np.cumsum(pc.binary_length(batch.column(2)).fill_null(0).to_numpy().astype(np.int64))
+            begins = [0, *(np.flatnonzero(np.diff(sizes // STEP)) + 1).tolist(), batch.num_rows]
+            for low, high in zip(begins, begins[1:]):
+                rows = batch.slice(low, high - low)
                 part = rows.column(0)[0].as_py()
                 for doc, ids in zip(rows.column(1).to_pylist(), encoder.ids([x or "" for x in rows.column(2).to_pylist()])):
                     docs.append(doc)

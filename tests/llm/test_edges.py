@@ -369,6 +369,23 @@ def test_latin_texts_are_cut_here(word_tokenizer):
     assert [np.frombuffer(x, "<u2").tolist() for x in bare.ids(plain)] == want[:len(plain)]
 
 
+def test_new_pieces_are_merged_in_one_call(word_tokenizer, monkeypatch):
+    """Plain texts need one call of the library for all their pieces, texts that stand side by side apart."""
+    monkeypatch.setattr(token_files, "MEMO", 20)
+    library, own = Tokenizer.from_file(word_tokenizer), token_files.Encoder(word_tokenizer)
+    texts = ["don'", "t it's", "", "we'LL'RE '", "re ''s 5's'st", "\n", "ÇÀ ßÿ\tà\xed", "'", "ll", "[a]{Z}@~"]
+    rng = random.Random(9)
+    texts += ["".join(rng.choice("aeST'l  é9!") for _ in range(rng.randint(0, 30))) for _ in range(200)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    own.tokenizer = own.merge = None
+    for size in (len(texts), 7, 1):  # remembered, forgotten and merged anew
+        found = [x for i in range(0, len(texts), size) for x in own.ids(texts[i:i + size])]
+        assert [np.frombuffer(x, "<u2").tolist() for x in found] == want
+    bare = token_files.Encoder(word_tokenizer)
+    bare.last[:] = False  # as for a tokenizer whose tokens do not show where a piece ends
+    assert bare.ids(texts) == found
+
+
 def test_token_files_edges(spark, docs, word_tokenizer, monkeypatch):
     path = scratch(spark, "tokens")
     token_files.write(docs(ODD), path, word_tokenizer, end_id=2)
