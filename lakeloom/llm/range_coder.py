@@ -16,17 +16,19 @@ import numpy as np
 BLOCK, LANES, ENTRIES = 2048, 4096, 512
 #: Digits of 16 bits; a span of 48 bits is widened below BOTTOM; probabilities are shares of 2 ** SHARE.
 DIGIT, TOP, BOTTOM, SHARE = 16, 1 << 48, 1 << 32, 15
-HEAD = struct.Struct("<IIIII")
+HEAD = struct.Struct("<IIII")
 MAX_ID = (1 << 16) - 1
 
+#: Multipliers of the last id and the one before it in the places of contexts.
+_NEAR, _FAR = 40503, 30011
+#: Blocks that are looked through at once.
+AHEAD = 128
 #: Three cumulative probabilities of 16 bits each are held in one number, so that one step serves all three.
 _PER_32 = 0x0000_07FF_07FF_07FF
 _PER_8 = 0x0000_1FFF_1FFF_1FFF
 _PER_2 = 0x0000_7FFF_7FFF_7FFF
 _PER_2048 = 0x0000_001F_001F_001F
 _START = 0x0000_C000_8000_4000
-#: What an outcome adds: 1/32 of all probability to the sums that include it.
-_GAIN = np.array([_PER_32, 0x0000_07FF_07FF_0000, 0x0000_07FF_0000_0000, 0], dtype=np.int64)
 #: Least shares of the four outcomes, added to the sums cut to the rest, with the last one's bound in the sign's place.
 _FLOOR = (8 | 16 << 16 | 24 << 32) - (1 << 63)
 #: What keeps differences of bounds above 0, for the three and the last one, and for the bound before the first.
@@ -35,81 +37,130 @@ _MIDDLE, _BEFORE = 0x2000_2000_2000_2000, 0x2000
 _ONES, _HIGHEST = 0x0000_0001_0001_0001, 0x0000_8000_8000_8000
 
 
-class _Model:
+class _Orders:
     """What the last two ids, the last id and the block so far say about the next one.
 
     Order 2 and order 1 each name the id that followed their context last, with how often it held in a row. Order 0
     keeps the last id of each of 256 slots. What is coded is which order is right first (0: order 2, 1: order 1,
-    2: order 0, its slot follows; 3: none, the id follows). Two adaptive predictions of that, one from the
-    orders' standing and one from the last two outcomes, are mixed by weights that follow their success at every
-    other id. Order 2 and order 1, and both predictions, stand one behind the other in arrays that one step serves.
+    2: order 0, its slot follows; 3: none, the id follows). Both orders' tables stand one behind the other in one array.
     """
 
     def __init__(self, lanes: int):
         self.table = np.zeros(2 * lanes * ENTRIES, dtype=np.int32)
         self.recent = np.zeros(lanes * 256, dtype=np.uint16)
-        self.shares = np.full(lanes * 48, _START, dtype=np.int64)
-        self.lane, self.all, self.turn = np.arange(lanes), lanes, False
-        self.weight = np.full(lanes, 4, dtype=np.int64)
-        self.one, self.two, self.past = (np.zeros(lanes, dtype=np.int64) for _ in range(3))
+        self.lane, self.all = np.arange(lanes), lanes
+        self.one, self.two = (np.zeros(lanes, dtype=np.int64) for _ in range(2))
         self._place()
 
     def _place(self) -> None:
         n = len(self.lane)
         self.slots = self.lane * 256
         self.entries = np.stack([self.lane, self.lane + self.all]) * ENTRIES
-        self.rows = np.stack([self.lane * 48, self.lane * 48 + 32])
-        self.mixed, self.row = np.empty((2, n), dtype=np.int64), np.empty((2, n), dtype=np.int64)
-        self.named = np.empty((4, n), dtype=np.int32)
+        self.mixed, self.named = np.empty((2, n), dtype=np.int64), np.empty((4, n), dtype=np.int32)
 
     def keep(self, lanes: int) -> None:
         """Only the first lanes go on."""
-        for name in ("lane", "weight", "one", "two", "past"):
-            setattr(self, name, getattr(self, name)[:lanes])
+        self.lane, self.one, self.two = self.lane[:lanes], self.one[:lanes], self.two[:lanes]
         self._place()
 
-    def predict(self) -> np.ndarray:
-        """The ids that order 2 and order 1 name, in the first two of four rows; sets the upper bounds of the four outcomes."""
-        np.multiply(self.one, 40503, out=self.mixed[1])
+    def look(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids that order 2 and order 1 name, in the first two of four rows, and the orders' standing."""
+        np.multiply(self.one, _NEAR, out=self.mixed[1])
         np.bitwise_xor(self.mixed[1], self.two, out=self.mixed[0])
         self.at = ((self.mixed >> 5 & ENTRIES - 1) + self.entries).ravel()
         kept = self.table.take(self.at).reshape(2, -1)
         np.bitwise_and(kept, 0xFFFF, out=self.named[:2])
         self.held = kept >> 16
-        np.add(self.rows[0], ((self.held[0] << 2) + self.held[1] << 1) + (self.named[0] == self.named[1]), out=self.row[0])
-        np.add(self.rows[1], self.past, out=self.row[1])
-        self.share = self.shares.take(self.row)
-        a, b = self.share >> 3 & _PER_8
-        self.apart = a - b
-        sums = self.apart * self.weight + (b << 3)
-        self.bounds = (sums >> 1 & _PER_2) - (sums >> 11 & _PER_2048) + _FLOOR
-        return self.named
+        return self.named, ((self.held[0] << 2) + self.held[1] << 1) + (self.named[0] == self.named[1])
 
-    def learn(self, ids: np.ndarray, outcome: np.ndarray) -> None:
-        """Takes in the ids (32 bits each) and the outcomes."""
-        if self.turn:
-            # lower less upper difference of the two predictions' bounds: above 0 where the second gave the outcome more
-            shift, apart = outcome << 4, self.apart + _MIDDLE
-            found = ((apart << 16 | _BEFORE) >> shift & 0xFFFF) - (apart >> shift & 0xFFFF)
-            self.weight = np.minimum(np.maximum(self.weight - np.sign(found), 1), 7)
-        self.turn = not self.turn
-        self.shares[self.row.ravel()] = (self.share - (self.share >> 5 & _PER_32) + _GAIN.take(outcome)).ravel()
+    def learn(self, ids: np.ndarray) -> None:
         kept = np.minimum(self.held, 2)
         kept *= self.named[:2] == ids
         kept += 1
         kept <<= 16
         kept |= ids
         self.table[self.at] = kept.ravel()
-        self.two = self.one * 30011
+        self.two = self.one * _FAR
         self.one = ids.astype(np.int64)
         self.recent[self.slots + (self.one & 255)] = ids
-        self.past = (self.past << 2 | outcome) & 15
+
+
+def _foreseen(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The orders' standing before each id of the blocks, a row each, and which of them is right: as stepping through ``_Orders`` finds it."""
+    rows = np.arange(len(ids))[:, None] * ids.shape[1]
+
+    def latest(place):
+        # ids of one place in their order: each is named by the one before it
+        at = np.argsort(place, axis=1, kind="stable") + rows
+        place, value = place.ravel().take(at), ids.ravel().take(at)
+        known = np.zeros(ids.shape, dtype=bool)
+        np.equal(place[:, 1:], place[:, :-1], out=known[:, 1:])
+        again, named, held = np.zeros_like(known), np.zeros_like(value), np.zeros(ids.shape, dtype=np.uint8)
+        named[:, 1:] = value[:, :-1] * known[:, 1:]
+        again[:, 1:] = known[:, 1:] & (value[:, 1:] == value[:, :-1])
+        held[:, 1:] = known[:, 1:] * (np.uint8(1) + again[:, :-1])
+        held[:, 2:] += known[:, 2:] & again[:, 1:-1] & again[:, :-2]
+        out = np.empty_like(value), np.empty_like(held)
+        out[0].ravel()[at], out[1].ravel()[at] = named, held
+        return out
+
+    one, two = np.zeros(ids.shape, dtype=np.uint32), np.zeros(ids.shape, dtype=np.uint32)
+    one[:, 1:], two[:, 2:] = ids[:, :-1], ids[:, :-2]
+    one *= np.uint32(_NEAR)
+    two *= np.uint32(_FAR)
+    (second, often), (first, held) = (latest((x >> 5 & ENTRIES - 1).astype(np.uint16)) for x in (one ^ two, one))
+    known, _ = latest((ids & 255).astype(np.uint8))
+    outcome = np.where(ids == second, 0, np.where(ids == first, 1, 3 - (ids == known))).astype(np.uint8)
+    return often * np.uint8(8) + held * np.uint8(2) + (second == first), outcome
+
+
+class _Mixer:
+    """Two adaptive predictions of the outcome, one from the orders' standing and one from the last two outcomes.
+
+    They are mixed by weights that follow their success at every other id, and stand one behind the other in arrays that one step serves.
+    """
+
+    def __init__(self, lanes: int):
+        self.shares = np.full(lanes * 48, _START, dtype=np.int64)
+        self.lane, self.turn = np.arange(lanes), False
+        self.weight, self.past = np.full(lanes, 4, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
+        self._place()
+
+    def _place(self) -> None:
+        self.rows = np.stack([self.lane * 48, self.lane * 48 + 32])
+        self.row = np.empty_like(self.rows)
+
+    def keep(self, lanes: int) -> None:
+        """Only the first lanes go on."""
+        self.lane, self.weight, self.past = self.lane[:lanes], self.weight[:lanes], self.past[:lanes]
+        self._place()
+
+    def predict(self, standing: np.ndarray) -> np.ndarray:
+        """The upper bounds of the four outcomes."""
+        np.add(self.rows[0], standing, out=self.row[0])
+        np.add(self.rows[1], self.past, out=self.row[1])
+        self.share = self.shares.take(self.row)
+        a, b = self.share >> 3 & _PER_8
+        self.apart = a - b
+        sums = self.apart * self.weight + (b << 3)
+        self.bounds = (sums >> 1 & _PER_2) - (sums >> 11 & _PER_2048) + _FLOOR
+        return self.bounds
 
     def narrowed(self, span: np.ndarray, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the outcome's part of each span begins, and its size."""
+        """Where the outcome's part of each span begins, and its size; takes in the outcome."""
         shift, unit = outcome << 4, span >> SHARE
         start = (self.bounds << 16) >> shift & 0xFFFF
-        return start * unit, ((self.bounds >> shift & 0xFFFF) - start) * unit
+        size = ((self.bounds >> shift & 0xFFFF) - start) * unit
+        if self.turn:
+            # lower less upper difference of the two predictions' bounds: above 0 where the second gave the outcome more
+            apart = self.apart + _MIDDLE
+            found = ((apart << 16 | _BEFORE) >> shift & 0xFFFF) - (apart >> shift & 0xFFFF)
+            self.weight = np.minimum(np.maximum(self.weight - np.sign(found), 1), 7)
+        self.turn = not self.turn
+        # an outcome adds 1/32 of all probability to the sums that include it
+        self.shares[self.row.ravel()] = (self.share - (self.share >> 5 & _PER_32) + (_PER_32 << shift & _PER_32)).ravel()
+        self.past = (self.past << 2 | outcome) & 15
+        return start * unit, size
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
@@ -126,28 +177,29 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
 def _encode(blocks: list[np.ndarray]) -> list[bytes]:
     lanes, length = len(blocks), np.array([len(x) for x in blocks])
     steps = int(length.max()) if lanes else 0
-    ids = np.zeros((steps, lanes), dtype=np.int32)
-    for i, x in enumerate(blocks):
-        ids[:len(x), i] = x
-    model = _Model(lanes)
+    standing, outcomes = (np.zeros((steps, lanes), dtype=np.uint8) for _ in range(2))
+    kinds = np.zeros((lanes, steps), dtype=np.uint8)
+    for i in range(0, lanes, AHEAD):
+        ids = np.zeros((min(AHEAD, lanes - i), length[i]), dtype=np.uint16)
+        for row, x in zip(ids, blocks[i:]):
+            row[:len(x)] = x
+        found, kind = _foreseen(ids)
+        kinds[i:i + AHEAD, :length[i]] = kind
+        standing[:length[i], i:i + AHEAD], outcomes[:length[i], i:i + AHEAD] = found.T, kind.T
+    mixer = _Mixer(lanes)
     # a digit may hold a carry for the one before it until all are there
     digits = np.zeros((steps + 2, lanes), dtype=np.int32)
     flat, width = digits.ravel(), lanes
-    outcomes = np.zeros((steps, lanes), dtype=np.int8)
     n = np.zeros(lanes, dtype=np.int64)
     low, span = np.zeros(lanes, dtype=np.int64), np.full(lanes, TOP - 1, dtype=np.int64)
     for t in range(steps):
         if length[-1] <= t:  # blocks that have ended leave; the longest stand first
             live = int(np.searchsorted(-length, -t))
-            model.keep(live)
+            mixer.keep(live)
             _flush(digits, n, low, live, lanes)
             low, span, length, lanes = low[:live], span[:live], length[:live], live
-        now = ids[t, :lanes]
-        named = model.predict()
-        known = model.recent.take(model.slots + (now & 255))
-        outcome = np.where(now == named[0], 0, np.where(now == named[1], 1, 3 - (now == known)))
-        outcomes[t, :lanes] = outcome
-        start, span = model.narrowed(span, outcome)
+        mixer.predict(standing[t, :lanes])
+        start, span = mixer.narrowed(span, outcomes[t, :lanes].astype(np.int64))
         low = low + start
         at = np.flatnonzero(span < BOTTOM)
         if len(at):  # a share is never below 2 ** -12, so one digit is enough
@@ -156,18 +208,17 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
             low[at] = (sure & BOTTOM - 1) << DIGIT
             span[at] = span.take(at) << DIGIT
             n[at] = count + 1
-        model.learn(now, outcome)
     _flush(digits, n, low, 0, lanes)
     for k in range(len(digits) - 1, 0, -1):
         digits[k - 1] += digits[k] >> DIGIT
     digits = digits.T.astype("<u2")  # what was carried goes
-    outcomes = np.ascontiguousarray(outcomes.T)
     out = []
     for i, x in enumerate(blocks):
-        kind = outcomes[i, :len(x)]
-        raw, slots = x[kind == 3].astype("<u2").tobytes(), (x[kind == 2] & 255).astype(np.uint8).tobytes()
-        body = digits[i, :n[i]].tobytes() + raw + slots
-        out.append(HEAD.pack(len(x), n[i], len(raw) // 2, len(slots), zlib.crc32(body)) + body)
+        kind = kinds[i, :len(x)]
+        # the slot of each id that order 0 names, and each id that none does, one after the other
+        rest = x.astype("<u2").view(np.uint8).reshape(-1, 2)[np.stack([kind > 1, kind == 3], axis=1)]
+        body = digits[i, :n[i]].tobytes() + rest.tobytes()
+        out.append(HEAD.pack(len(x), n[i], len(rest), zlib.crc32(body)) + body)
     return out
 
 
@@ -180,16 +231,15 @@ def _flush(digits: np.ndarray, n: np.ndarray, low: np.ndarray, begin: int, end:
 
 
 def split(data: bytes) -> list[tuple]:
-    """(ids, digits, raw ids, slots) of the blocks that stand one after the other; a wrong checksum is an error."""
+    """(ids, digits, slots and ids that follow) of the blocks that stand one after the other; a wrong checksum is an error."""
     out, at = [], 0
     while at < len(data):
-        count, n, raw, slots, check = HEAD.unpack_from(data, at)
+        count, n, rest, check = HEAD.unpack_from(data, at)
         at += HEAD.size
-        end = at + 2 * n + 2 * raw + slots
+        end = at + 2 * n + rest
         if end > len(data) or zlib.crc32(data[at:end]) != check:
             raise ValueError(f"block at byte {at - HEAD.size} is damaged")
-        out.append((count, np.frombuffer(data, "<u2", n, at), np.frombuffer(data, "<u2", raw, at + 2 * n),
-                    np.frombuffer(data, np.uint8, slots, at + 2 * n + 2 * raw)))
+        out.append((count, np.frombuffer(data, "<u2", n, at), np.frombuffer(data, np.uint8, rest, at + 2 * n)))
         at = end
     return out
 
@@ -214,8 +264,9 @@ def _decode(blocks: list[tuple]) -> list[np.ndarray]:
     lanes, length = len(blocks), np.array([x[0] for x in blocks])
     steps = int(length.max())
     ids = np.zeros((steps, lanes), dtype="<u2")
-    model = _Model(lanes)
-    (digits, d), (raw, r), (slots, s) = (_joined([x[k] for x in blocks]) for k in (1, 2, 3))
+    orders, mixer = _Orders(lanes), _Mixer(lanes)
+    (digits, d), (rest, r) = (_joined([x[k] for x in blocks]) for k in (1, 2))
+    pairs = rest[:-1] | rest[1:].astype(np.uint16) << 8  # a byte and its successor
     span = np.full(lanes, TOP - 1, dtype=np.int64)
     digits = digits.astype(np.int64)
     code = digits[d] << 32 | digits[d + 1] << 16 | digits[d + 2]  # less the span's begin
@@ -223,26 +274,28 @@ def _decode(blocks: list[tuple]) -> list[np.ndarray]:
     for t in range(steps):
         if length[-1] <= t:
             live = int(np.searchsorted(-length, -t))
-            model.keep(live)
-            span, code, length, d, r, s = (x[:live] for x in (span, code, length, d, r, s))
+            orders.keep(live)
+            mixer.keep(live)
+            span, code, length, d, r = (x[:live] for x in (span, code, length, d, r))
             lanes = live
-        named = model.predict()
+        named, standing = orders.look()
+        bounds = mixer.predict(standing)
         # 48 bits over 33 at most: as floating-point numbers, the quotient is cut to the same whole number
         share = (code / (span >> SHARE)).astype(np.int64)
-        outcome = np.bitwise_count((share * _ONES + _HIGHEST) - model.bounds & _HIGHEST).astype(np.int64)
-        named[2] = model.recent.take(model.slots + slots.take(s, mode="clip"))
-        named[3] = raw.take(r, mode="clip")
-        now = named.ravel().take(outcome * lanes + model.lane)
-        s, r = s + (outcome == 2), r + (outcome == 3)
+        outcome = np.bitwise_count((share * _ONES + _HIGHEST) - bounds & _HIGHEST).astype(np.int64)
+        named[3] = pair = pairs.take(r)
+        named[2] = orders.recent.take(orders.slots + (pair & 255))
+        now = named.ravel().take(outcome * lanes + orders.lane)
+        r = r + (outcome * outcome >> 2)  # two bytes of an id, one of a slot
         ids[t, :lanes] = now
-        start, span = model.narrowed(span, outcome)
+        start, span = mixer.narrowed(span, outcome)
         code = code - start
         at = np.flatnonzero(span < BOTTOM)
         if len(at):
             place = d.take(at)
-            code[at] = code.take(at) << DIGIT | digits.take(place, mode="clip")
+            code[at] = code.take(at) << DIGIT | digits.take(place)
             span[at] = span.take(at) << DIGIT
             d[at] = place + 1
-        model.learn(now, outcome)
+        orders.learn(now)
     ids = np.ascontiguousarray(ids.T)
     return [ids[i, :x[0]] for i, x in enumerate(blocks)]
