@@ -245,6 +245,40 @@ def test_suffix_dedup_edges(spark, docs):
     assert suffix_dedup.dedup(docs(ODD).limit(0)).count() == 0
 
 
+def test_runs_of_a_large_group_meet_in_several_tasks(spark, docs, monkeypatch):
+    """One passage that stands some 40 000 times, in tables too large to be broadcast: no task gathers its group's runs."""
+    wrote, cut = [], suffix_dedup.cut
+    monkeypatch.setattr(suffix_dedup, "cut", lambda df: wrote.append(cut(df)) or wrote[-1])
+    rng = random.Random(4)
+    texts = ["0123456789" * 2000 + f"{i:03}" * 20 for i in range(20)] + 2 * ["".join(rng.choice("abcdefgh") for _ in range(200)) for _ in range(1000)]
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "20000"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        found = suffix_dedup.dedup(docs(list(enumerate(texts))), width=40, anchor=8, symbol=10)
+        got = [(r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in sorted(found.collect())]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == list(repeated(texts, 40))
+    groups = next(x for x in wrote if "mixed" in x.columns and "turn" in x.columns)
+    tasks = [r["count"] for r in groups.groupBy(F.input_file_name().alias("file")).count().collect()]
+    assert sum(tasks) > 50_000 and max(tasks) < 0.25 * sum(tasks)
+
+
+def test_copies_of_a_text_are_dealt_out(spark, docs, monkeypatch):
+    """Whatever the deals, every copy, null id and text without a span comes out once."""
+    monkeypatch.setattr(suffix_dedup, "DEAL_BYTES", 1000)
+    monkeypatch.setattr(suffix_dedup, "DEAL_ROWS", 3)
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcd ") for _ in range(n)) for n in (300, 90, 41, 39)]
+    texts = [(None if i % 7 == 0 else i // 2, base[i % 4] if i % 5 else base[i % 4][:60] + str(i)) for i in range(200)] + [(1, None), (None, None), (2, "")]
+    found = suffix_dedup.dedup(docs(texts), width=40, anchor=8, symbol=10)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in found.collect()), key=str)
+    assert got == sorted(((i, *r) for (i, _), r in zip(texts, repeated([t for _, t in texts], 40))), key=str)
+
+
 def test_long_texts_are_scanned_in_parts(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SCAN_BYTES", 50)
     data = np.random.default_rng(2).integers(0, 3, 2000).astype(np.uint8)
