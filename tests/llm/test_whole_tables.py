@@ -60,6 +60,14 @@ def test_suffix_dedup(spark, texts):
     assert all(len(r.text) < len(whole[r.doc_id]) for r in got if r.n_removed)
 
 
+def test_suffix_dedup_tells_what_is_left(spark, texts):
+    """n_bytes is the input's size; n_kept and text tell what a repeated passage leaves."""
+    want = {i: n - gone for (i, _), (n, gone, _, _) in zip(texts, repeated([t for _, t in texts], 400))}
+    got = queries.QUERIES["op4_suffix_dedup"](spark, SF).collect()
+    assert {r.doc_id: r.n_kept for r in got} == want
+    assert any(r.n_kept < r.n_bytes for r in got) and any(r.n_kept == r.n_bytes for r in got)
+
+
 def repeated(texts, width):
     """Brute force: count every string of that many bytes, cover those that occur twice."""
     bodies = [(t or "").encode() for t in texts]
