@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeloom import session as s
-from lakeloom.operators import catalog, history
+from lakeloom.operators import catalog, history, windows
 from lakeloom.sources import files, tables
 from lakeloom.sources.contracts import Contract, enforce
 from lakeloom.streaming import history_store, jobs, resubmissions
@@ -157,6 +157,31 @@ def test_streamed_resubmissions_wait_for_late_requests(spark, folder):
         assert dict(rows(jobs.newest_values(spark, f"{folder}/out", ["k", "row"]), "row", "resubmission")) == want
 
 
+@pytest.mark.parametrize("kinds", ["k long, s string, t date", "k double, s binary, t timestamp"])
+def test_streamed_resubmissions_keep_a_state_for_many_keys(spark, folder, kinds):
+    import random
+
+    r, nan, day = random.Random(7), float("nan"), lambda i: dt.date(2024, 1, 1) + dt.timedelta(i)
+    whole = "long" in kinds
+    key = lambda i: (r.choice([None, i, 2**53 + i, -i] if whole else [None, nan, 0.0, -0.0, i / 2]), r.choice([None, "", "b"] if whole else [None, b"", b"b"]))
+    late = lambda i: None if i % 4 == 0 else day(i) if whole else dt.datetime(1500, 1, 1, 0, 0, 0, i)
+    made = [(*key(i % 40), late(i), i, day(r.randrange(60)) if i % 50 else dt.date(9999, 12, 31) if i == 350 else None, None if i % 3 == 0 else day(r.randrange(90)), r.choice([True, True, None]))
+            for i in range(400)]
+    names = f"{kinds}, id long, asked date, decided date, needs boolean"
+    for part in (made[:200], made[200:]):
+        spark.createDataFrame(part, names).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        numbers = resubmissions.resubmissions(jobs.new_files(spark, f"{folder}/in", spark.createDataFrame([], names).schema), ["k", "s"], "asked", "decided",
+                                              F.col("needs"), ["t", "id"], "100 days", buckets=8)
+        done = jobs.update_each(numbers, f"{folder}/out", f"{folder}/ck")
+        done.awaitTermination()
+        # a packed value and the two entries of a timer for each bucket, where every key had its own
+        assert done.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3 * 8
+    every = spark.createDataFrame(made, names).where("asked is not null")
+    assert every.select("k", "s").distinct().count() > 50
+    want = windows.resubmissions(every, ["k", "s"], "asked", "decided", F.coalesce("needs", F.lit(False)), ["t", "id"])
+    assert rows(jobs.newest_values(spark, f"{folder}/out", ["k", "s", "t", "id"]), "t", "id", "resubmission") == rows(want, "t", "id", "resubmission")
+
+
 RECORDS = ['1,"a\nb",x', '2,plain 5" pipe,"""q"",\n\n"', '3,"",', '4,"open, then\n""quoted""\n,end"tail,z', '5,,"\n"', '6,"' + 'w\n' * 40 + '",y', "7,too,many,fields", '8,"\r\n",last\r']
 WIDE = '9,"' + '"",' * 50000 + '",' + "w" * 9
 
